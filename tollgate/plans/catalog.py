@@ -253,7 +253,7 @@ def queries() -> dict[str, Query]:
 # --- oracle SQL (DuckDB) -----------------------------------------------------------
 
 _BASE = """
-WITH transfers AS (
+WITH RECURSIVE transfers AS (
   SELECT CAST(event_id AS VARCHAR) AS id,
          CAST(user_id AS VARCHAR) AS from_id,
          CAST((event_id * 31 + 7) % (SELECT max(user_id) + 1 FROM events) AS VARCHAR) AS to_id,
