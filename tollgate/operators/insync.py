@@ -1,9 +1,11 @@
 """Has the sender's previous request reached the ledger? (mark join)
 
 ``in_sync`` is true when there is no previous request, else true iff a
-visible ledger row carries the previous request's id. Visibility models the
-ledger's ingestion delay: a row with ``visible_at`` NULL is always visible,
-otherwise from ``visible_at`` (epoch ms) on.
+visible ledger row carries the previous request's id. The ledger snapshot
+is always visible; a request this job itself sent to the ledger becomes
+visible ``ingest_delay_ms`` after its own timestamp (the ledger ingests the
+topic with a delay). The previous request's timestamp comes with its id
+from ``last_request``, so no self join of the requests is needed.
 """
 
 from __future__ import annotations
@@ -15,64 +17,63 @@ from tollgate.operators.filters import split_flag
 from tollgate.schema import TRANSFER_IN_PROGRESS
 
 
-def visible_ids(ledger: DataFrame, pending: DataFrame | None = None, ingest_delay_ms: int | None = None) -> DataFrame:
-    """``(id, visible_at)`` of the ledger, plus ``pending`` transfers (written
-    to the ledger by this job) which become visible ``ingest_delay_ms`` after
-    their own timestamp; with no delay given they are not visible at all
-    (strict snapshot)."""
-    v = ledger.select("id", F.lit(None).cast("long").alias("visible_at"))
-    if pending is not None and ingest_delay_ms is not None:
-        v = v.unionByName(
-            pending.select("id", (F.col("timestamp") + F.lit(int(ingest_delay_ms))).alias("visible_at"))
-        )
-    return v
+def visible_ids(ledger: DataFrame) -> DataFrame:
+    """Distinct ids of the ledger snapshot (one shuffle of the narrow id column,
+    map-side deduplicated)."""
+    return ledger.select("id").distinct()
 
 
-def _lookups(df: DataFrame, visible: DataFrame, last_col: str, ts: str) -> DataFrame:
-    # Keep only the ledger ids someone asks for: a semi join on the narrow
-    # id column, so only (id, visible_at) of the ledger is shuffled.
-    asked = df.select(F.col(last_col).alias("id")).where(F.col("id").isNotNull())
-    seen = visible.join(asked.distinct(), "id", "left_semi")
-    return seen
+def _marked(df: DataFrame, ledger_ids: DataFrame, last_col: str) -> DataFrame:
+    ids = ledger_ids.select(F.col("id").alias("_sid"), F.lit(True).alias("_in_ledger"))
+    return df.join(ids, F.col(last_col) == F.col("_sid"), "left").drop("_sid")
+
+
+def _pending_visible(last_ts: str, ts: str, ingest_delay_ms: int | None):
+    """The previous request was written to the ledger by this job; it can be
+    read back ``ingest_delay_ms`` after its own time (None: not in this batch)."""
+    if ingest_delay_ms is None:
+        return F.lit(False)
+    return F.coalesce(F.col(last_ts) + F.lit(int(ingest_delay_ms)) <= F.col(ts), F.lit(False))
 
 
 def lookup_row_count(
-    df: DataFrame, visible: DataFrame, last_col: str = "last_id", ts: str = "timestamp"
+    df: DataFrame,
+    ledger_ids: DataFrame,
+    last_col: str = "last_id",
+    ts: str = "timestamp",
+    last_ts: str = "last_ts",
+    ingest_delay_ms: int | None = None,
 ) -> DataFrame:
-    """Per request: number of visible ledger rows whose id is ``last_id``."""
-    seen = _lookups(df, visible, last_col, ts)
-    counted = (
-        df.select("id", last_col, ts)
-        .join(seen.select(F.col("id").alias("_sid"), "visible_at"), F.col(last_col) == F.col("_sid"), "left")
-        .groupBy("id", last_col)
-        .agg(
-            F.count(
-                F.when(F.col("visible_at").isNull() | (F.col("visible_at") <= F.col(ts)), F.col("_sid"))
-            ).alias("row_count")
-        )
+    """Per request: how many visible ledger rows carry ``last_id`` (ids are
+    unique, so 0 or 1; the existence test of the in-sync check)."""
+    m = _marked(df, ledger_ids, last_col)
+    seen = F.col(last_col).isNotNull() & (
+        F.coalesce(F.col("_in_ledger"), F.lit(False)) | _pending_visible(last_ts, ts, ingest_delay_ms)
     )
-    return counted
+    return m.select("id", last_col, F.when(seen, 1).otherwise(0).cast("long").alias("row_count"))
 
 
 def ledger_in_sync(
-    df: DataFrame, visible: DataFrame, last_col: str = "last_id", ts: str = "timestamp", out_col: str = "in_sync"
+    df: DataFrame,
+    ledger_ids: DataFrame,
+    last_col: str = "last_id",
+    ts: str = "timestamp",
+    last_ts: str = "last_ts",
+    ingest_delay_ms: int | None = None,
+    out_col: str = "in_sync",
 ) -> DataFrame:
-    """Attach ``in_sync``: ``last_id IS NULL`` or a visible row with that id
-    exists (existence only: the visible ids are reduced to one row each)."""
-    seen = _lookups(df, visible, last_col, ts)
-    # earliest visibility per id (NULL = always) -> one row per id
-    first_seen = seen.groupBy(F.col("id").alias("_sid")).agg(
-        F.when(F.count(F.lit(1)) > F.count("visible_at"), F.lit(None).cast("long"))
-        .otherwise(F.min("visible_at"))
-        .alias("_visible_at")
-    )
-    j = df.join(first_seen, F.col(last_col) == F.col("_sid"), "left")
-    ok = F.col(last_col).isNull() | (
-        F.col("_sid").isNotNull() & (F.col("_visible_at").isNull() | (F.col("_visible_at") <= F.col(ts)))
+    """Attach ``in_sync``: ``last_id IS NULL``, or the ledger has a row with that
+    id, or (with an ingest delay) the previous request is old enough to have
+    been ingested."""
+    m = _marked(df, ledger_ids, last_col)
+    ok = (
+        F.col(last_col).isNull()
+        | F.coalesce(F.col("_in_ledger"), F.lit(False))
+        | _pending_visible(last_ts, ts, ingest_delay_ms)
     )
-    return j.withColumn(out_col, ok).drop("_sid", "_visible_at")
+    return m.withColumn(out_col, ok).drop("_in_ledger")
 
 
-def in_progress_split(df: DataFrame, visible: DataFrame, error_col: str = "error", **kw) -> DataFrame:
+def in_progress_split(df: DataFrame, ledger_ids: DataFrame, error_col: str = "error", **kw) -> DataFrame:
     """``ledger_in_sync`` then route: not in sync -> ``TRANSFER_IN_PROGRESS``."""
-    return split_flag(ledger_in_sync(df, visible, **kw), "in_sync", TRANSFER_IN_PROGRESS, error_col)
+    return split_flag(ledger_in_sync(df, ledger_ids, **kw), "in_sync", TRANSFER_IN_PROGRESS, error_col)

@@ -118,23 +118,25 @@ def q_balance_rule_split(spark, d):
 
 
 def _with_last(spark, d):
-    return history.last_request(EV.requests(spark, d))
+    return history.last_request(EV.requests(spark, d), ts_out_col="last_ts")
 
 
-def _visible(spark, d):
-    return insync.visible_ids(EV.ledger(spark, d), EV.requests(spark, d), INGEST_DELAY_MS)
+def _ids(spark, d):
+    return insync.visible_ids(EV.ledger(spark, d))
 
 
 def q_ledger_in_sync(spark, d):
-    return insync.ledger_in_sync(_with_last(spark, d), _visible(spark, d)).select("id", "last_id", "in_sync")
+    s = insync.ledger_in_sync(_with_last(spark, d), _ids(spark, d), ingest_delay_ms=INGEST_DELAY_MS)
+    return s.select("id", "last_id", "in_sync")
 
 
 def q_lookup_row_count(spark, d):
-    return insync.lookup_row_count(_with_last(spark, d), _visible(spark, d))
+    return insync.lookup_row_count(_with_last(spark, d), _ids(spark, d), ingest_delay_ms=INGEST_DELAY_MS)
 
 
 def q_in_progress_split(spark, d):
-    return insync.in_progress_split(_with_last(spark, d), _visible(spark, d)).select("id", "error")
+    s = insync.in_progress_split(_with_last(spark, d), _ids(spark, d), ingest_delay_ms=INGEST_DELAY_MS)
+    return s.select("id", "error")
 
 
 def _pipeline(spark, d):

@@ -15,13 +15,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.operators.filters import main, not_self_transfer, side
+from tollgate.operators.filters import not_self_transfer
 from tollgate.operators.history import last_request
-from tollgate.operators.insync import in_progress_split, visible_ids
+from tollgate.operators.insync import ledger_in_sync, visible_ids
 from tollgate.operators.ledger import account_totals, balance_per_account, balance_per_request
 from tollgate.operators.rules import balance_rule_split
-from tollgate.operators.throttle import throttle_split
-from tollgate.schema import DEFAULT_COOLDOWN_MS, TRANSFER_COLUMNS
+from tollgate.operators.throttle import throttle
+from tollgate.schema import (
+    DEFAULT_COOLDOWN_MS,
+    INSUFFICIENT_BALANCE,
+    TOO_MANY_REQUESTS,
+    TRANSFER_COLUMNS,
+    TRANSFER_IN_PROGRESS,
+)
 from tollgate.sinks.messages import error_records, ledger_records
 
 
@@ -64,28 +70,33 @@ def transfer_pipeline(
     cols = list(TRANSFER_COLUMNS)
     reqs = not_self_transfer(requests.select(*cols))
 
-    throttled = throttle_split(reqs, cooldown_ms, seeds=throttle_seeds).drop("allowed")
-    passed = main(throttled)
+    # One linear flow: each stage only adds a flag to the same rows, so the
+    # plan holds every stage once (no union of per-stage side outputs).
+    throttled = throttle(reqs, cooldown_ms, seeds=throttle_seeds)
 
     totals = account_totals(ledger)
     if balance_mode == "wired":
-        with_bal = balance_per_request(passed, ledger, totals=totals)
+        with_bal = balance_per_request(throttled, ledger, totals=totals)
     else:
-        with_bal = balance_per_account(passed, ledger, totals=totals).drop("balance_text")
-    ruled = balance_rule_split(with_bal, rules, on_missing_rule=on_missing_rule, seq_col=rules_seq_col)
-    balanced = main(ruled).select(*cols)
+        with_bal = balance_per_account(throttled, ledger, totals=totals).drop("balance_text")
+    ruled = balance_rule_split(
+        with_bal, rules, on_missing_rule=on_missing_rule, seq_col=rules_seq_col, error_col="_rule_error"
+    )
+    ruled = ruled.withColumn("_balanced", F.col("allowed") & F.col("_rule_error").isNull())
 
-    with_last = last_request(balanced, seeds=last_request_seeds)
-    visible = visible_ids(ledger, balanced, ingest_delay_ms)
-    synced = in_progress_split(with_last, visible)
-    in_sync = main(synced).select(*cols)
+    with_last = last_request(ruled, seeds=last_request_seeds, only="_balanced", ts_out_col="last_ts")
+    synced = ledger_in_sync(with_last, visible_ids(ledger), ingest_delay_ms=ingest_delay_ms)
 
-    errors = (
-        side(throttled).select(*cols, "error")
-        .unionByName(side(ruled).select(*cols, "error"))
-        .unionByName(side(synced).select(*cols, "error"))
+    error = (
+        F.when(~F.col("allowed"), F.lit(TOO_MANY_REQUESTS))
+        .when(~F.col("_balanced"), F.lit(INSUFFICIENT_BALANCE))
+        .when(~F.col("in_sync"), F.lit(TRANSFER_IN_PROGRESS))
     )
-    outcomes = errors.unionByName(in_sync.withColumn("error", F.lit(None).cast("string")))
+    flowed = synced.select(*cols, "_balanced", error.alias("error"))
+    outcomes = flowed.select(*cols, "error")
+    balanced = flowed.filter(F.col("_balanced")).select(*cols)
+    in_sync = flowed.filter(F.col("error").isNull()).select(*cols)
+    errors = outcomes.filter(F.col("error").isNotNull())
     to_ledger = balanced if ledger_from == "balanced" else in_sync
     return PipelineResult(
         balanced=balanced,
