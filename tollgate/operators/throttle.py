@@ -62,7 +62,16 @@ def throttle(
     if c <= 0:
         return df.withColumn(out_col, F.lit(True))
 
-    base = df.select(F.col(key).alias("_k"), F.col(ts).alias("_t"), F.col(id_col).alias("_id"), F.lit(False).alias("_seed"))
+    teff = ts
+    if seeds is not None:
+        # one seed per sender; a request older than its seed counts as at the
+        # seed's time (and so is refused)
+        seed_t = seeds.groupBy(F.col(key).alias("_sk")).agg(F.max(ts).alias("_seed_t"))
+        df = df.join(seed_t, F.col(key) == F.col("_sk"), "left").drop("_sk")
+        df = df.withColumn("_teff", F.greatest(F.col(ts), F.col("_seed_t"))).drop("_seed_t")
+        teff = "_teff"
+
+    base = df.select(F.col(key).alias("_k"), F.col(teff).alias("_t"), F.col(id_col).alias("_id"), F.lit(False).alias("_seed"))
     if seeds is not None:
         base = base.unionByName(
             seeds.select(F.col(key).alias("_k"), F.col(ts).alias("_t"), F.lit(None).cast(df.schema[id_col].dataType).alias("_id"), F.lit(True).alias("_seed"))
@@ -102,10 +111,9 @@ def throttle(
     winners = allowed.filter(F.col("_win").isNotNull()).select(
         F.col("_k").alias(key + "__k"), F.col("_t").alias(ts + "__t"), F.col("_win").alias("_win")
     )
-    out = df.join(winners, (F.col(key) == F.col(key + "__k")) & (F.col(ts) == F.col(ts + "__t")), "left")
-    return out.withColumn(out_col, F.coalesce(F.col(id_col) == F.col("_win"), F.lit(False))).drop(
-        key + "__k", ts + "__t", "_win"
-    )
+    out = df.join(winners, (F.col(key) == F.col(key + "__k")) & (F.col(teff) == F.col(ts + "__t")), "left")
+    out = out.withColumn(out_col, F.coalesce(F.col(id_col) == F.col("_win"), F.lit(False)))
+    return out.drop(key + "__k", ts + "__t", "_win", "_teff")
 
 
 def _fold_bursts(pts_b: DataFrame, c: int) -> DataFrame:

@@ -1 +1,73 @@
-"""Registered streaming queries (filled in below)."""
+"""Registered streaming queries. Each stages transfers derived from the
+driver's ``events`` table as files (one file per day), runs the streaming
+job to completion (``availableNow``, four day files per micro-batch) and returns
+what the job wrote."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tollgate.functions.columns import transfer_json
+from tollgate.schema import TRANSFER_COLUMNS
+from tollgate.session import work_dir
+from tollgate.sources import events as EV
+from tollgate.sources.messages import read_transfers_file, transfer_messages
+from tollgate.sources.rules import rules_table
+from tollgate.streaming import driver as D
+
+COOLDOWN_MS = 6 * 3_600_000
+_TC = list(TRANSFER_COLUMNS)
+
+
+def _stage_days(df: DataFrame, path: str) -> None:
+    """Write rows as JSON-lines text, one file per day of ``timestamp``."""
+    day = F.to_date(F.timestamp_millis("timestamp")).cast("string")
+    body = df.select(transfer_json().alias("value"), day.alias("day"))
+    body.repartition("day").write.mode("overwrite").partitionBy("day").text(path)
+
+
+def _request_stream(spark: SparkSession, d: str) -> DataFrame:
+    src = work_dir(spark, "stream-requests")
+    _stage_days(EV.requests(spark, d), src)
+    s = spark.readStream.schema("value string, day string").option("maxFilesPerTrigger", 4).text(src)
+    # text source gives ``value``; parse it like the file source does
+    from tollgate.sources.messages import parse_transfers
+
+    return parse_transfers(s).drop("_corrupt")
+
+
+def _run(stream: DataFrame, fn, spark: SparkSession) -> None:
+    q = D.run_foreach_batch(stream, fn, work_dir(spark, "stream-ckpt"), {"availableNow": True})
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def q_ledger_ingest(spark: SparkSession, d: str) -> DataFrame:
+    src, sink, ck = work_dir(spark, "topic-twin"), work_dir(spark, "ledger"), work_dir(spark, "ingest-ckpt")
+    transfer_messages(EV.transfers(spark, d)).write.mode("overwrite").json(src)
+    q = D.ledger_ingest(spark, src, sink, ck, fmt="json", trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
+def q_throttle_stream(spark: SparkSession, d: str) -> DataFrame:
+    out, st = work_dir(spark, "throttle-out"), work_dir(spark, "throttle-state")
+    _run(_request_stream(spark, d), D.ThrottleBatch(out, st, COOLDOWN_MS), spark)
+    return spark.read.parquet(out).select("id", "from_id", "timestamp", "allowed")
+
+
+def q_last_request_stream(spark: SparkSession, d: str) -> DataFrame:
+    out, st = work_dir(spark, "last-out"), work_dir(spark, "last-state")
+    _run(_request_stream(spark, d), D.LastRequestBatch(out, st), spark)
+    return spark.read.parquet(out).select("id", "from_id", "last_id")
+
+
+def q_transfer_pipeline_stream(spark: SparkSession, d: str) -> DataFrame:
+    out, st = work_dir(spark, "pipe-out"), work_dir(spark, "pipe-state")
+    ledger_dir = work_dir(spark, "pipe-ledger")
+    EV.ledger(spark, d).write.mode("overwrite").parquet(ledger_dir)
+    fn = D.PipelineBatch(ledger_dir, rules_table(spark), out, st, cooldown_ms=COOLDOWN_MS)
+    _run(_request_stream(spark, d), fn, spark)
+    return spark.read.parquet(f"{out}/outcomes").select("id", "from_id", "to_id", "amount", "timestamp", "error")

@@ -1,0 +1,112 @@
+"""Keyed state of a ``foreachBatch`` job, kept as Parquet in a shared folder.
+
+Layout under ``path``:
+  ``delta/batch_id=N/``  rows a micro-batch N wrote (only the keys it touched)
+  ``base/upto=N/``       a compacted snapshot of all deltas with batch_id <= N
+
+Batch N reads the newest base with ``upto < N`` plus the deltas in
+``(upto, N)``, so a replayed batch N sees exactly what it saw the first time
+(it never reads its own or later output), and overwriting only its own
+``batch_id=N`` partition makes the replay idempotent. Batch ids may skip:
+reads use ranges, never ``N - 1``. Every ``compact_every`` batches a new base
+is written, which keeps each read bounded by the number of keys, not by the
+number of batches. Reads can be restricted to the keys of the current batch
+(a semi join), so a batch only carries seeds for its own senders.
+"""
+
+from __future__ import annotations
+
+import os
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def _local(path: str) -> str | None:
+    if path.startswith("file:"):
+        return path[len("file:"):]
+    if path.startswith("/"):
+        return path
+    return None
+
+
+def _list_partitions(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Partition values ``name=V`` present under ``path`` (via the Hadoop
+    file system of the session, so it works on any shared store)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        m = re.fullmatch(rf"{name}=(-?\d+)", st.getPath().getName())
+        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(m.group(1)))
+    return sorted(out)
+
+
+class KeyedState:
+    """Newest-row-per-key state (``combine="newest"``, by an order column) or
+    running maximum (``combine="max"`` of ``value_cols``)."""
+
+    def __init__(self, path: str, key: str, value_cols: list[str], order_col: str | None = None, compact_every: int = 20):
+        self.path = path.rstrip("/")
+        self.key = key
+        self.value_cols = list(value_cols)
+        self.order_col = order_col
+        self.compact_every = compact_every
+
+    def _fold(self, df: DataFrame) -> DataFrame:
+        if self.order_col is None:
+            return df.groupBy(self.key).agg(
+                *[F.max(c).alias(c) for c in self.value_cols], F.max("batch_id").alias("batch_id")
+            )
+        order = F.struct(F.col(self.order_col), F.col("batch_id"))
+        return df.groupBy(self.key).agg(
+            *[F.max_by(F.col(c), order).alias(c) for c in self.value_cols], F.max("batch_id").alias("batch_id")
+        )
+
+    def read(self, spark: SparkSession, batch_id: int, keys: DataFrame | None = None) -> DataFrame | None:
+        """State as of before ``batch_id``: one row per key; None if empty."""
+        bases = [u for u in _list_partitions(spark, f"{self.path}/base", "upto") if u < batch_id]
+        deltas = [b for b in _list_partitions(spark, f"{self.path}/delta", "batch_id") if b < batch_id]
+        lo = bases[-1] if bases else None
+        parts = []
+        if lo is not None:
+            parts.append(spark.read.parquet(f"{self.path}/base/upto={lo}"))
+        keep = [b for b in deltas if lo is None or b > lo]
+        if keep:
+            d = spark.read.option("basePath", f"{self.path}/delta").parquet(
+                *[f"{self.path}/delta/batch_id={b}" for b in keep]
+            )
+            parts.append(d)
+        if not parts:
+            return None
+        cols = [self.key, *self.value_cols] + ([self.order_col] if self.order_col and self.order_col not in self.value_cols else []) + ["batch_id"]
+        u = parts[0].select(*cols)
+        for p in parts[1:]:
+            u = u.unionByName(p.select(*cols))
+        if keys is not None:
+            u = u.join(keys.select(self.key).distinct(), self.key, "left_semi")
+        return self._fold(u)
+
+    def write(self, spark: SparkSession, batch_id: int, rows: DataFrame) -> None:
+        """Rows of keys touched by ``batch_id`` (replaces that batch's delta)."""
+        cols = [self.key, *self.value_cols] + ([self.order_col] if self.order_col and self.order_col not in self.value_cols else [])
+        rows.select(*cols).write.mode("overwrite").parquet(f"{self.path}/delta/batch_id={batch_id}")
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            self.compact(spark, batch_id)
+
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        snap = self.read(spark, upto + 1)
+        if snap is not None:
+            snap.write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
+
+
+def ensure_dir(path: str) -> None:
+    local = _local(path)
+    if local:
+        os.makedirs(local, exist_ok=True)
