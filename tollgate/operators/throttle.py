@@ -97,15 +97,18 @@ def throttle(
         .withColumn("_small", (F.col("_bn") <= max_fold_points) & (F.col("_bb") <= max_fold_buckets))
     )
 
-    pts_b = pts.join(buckets.select("_k", "_b", "_burst", "_small"), ["_k", "_b"])
+    # Points with their burst, written once to the shared checkpoint folder:
+    # the large-burst test, the fold and the exact path all read this table
+    # instead of re-running the aggregates (and a lost executor costs no
+    # recomputation from the source).
+    pts_b = _checkpoint(pts.join(buckets.select("_k", "_b", "_burst", "_small", "_start"), ["_k", "_b"]))
 
     # (4) fold normal bursts
     allowed = _fold_bursts(pts_b.filter(F.col("_small")), c)
 
     # (5) exact path for huge bursts, only run when there is one
-    large_buckets = buckets.filter(~F.col("_small"))
-    if max_fold_points <= 0 or max_fold_buckets <= 0 or not large_buckets.isEmpty():
-        large = _chain_by_doubling(pts_b.filter(~F.col("_small")), buckets, c)
+    if max_fold_points <= 0 or max_fold_buckets <= 0 or not pts_b.filter(~F.col("_small")).isEmpty():
+        large = _chain_by_doubling(pts_b.filter(~F.col("_small")), c)
         allowed = allowed.unionByName(large)
 
     winners = allowed.filter(F.col("_win").isNotNull()).select(
@@ -136,8 +139,10 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _chain_by_doubling(nodes: DataFrame, buckets: DataFrame, c: int) -> DataFrame:
+def _chain_by_doubling(nodes: DataFrame, c: int) -> DataFrame:
     """Allowed points of huge bursts, exactly, by pointer doubling."""
+    # bucket rows of the huge bursts only (every burst bucket has points)
+    buckets = nodes.groupBy("_k", "_b", "_burst", "_start").agg(F.min("_t").alias("_f"), F.max("_t").alias("_l"))
     w = Window.partitionBy("_k").orderBy("_b")
     look = buckets.select(
         "_k",
@@ -178,7 +183,7 @@ def _chain_by_doubling(nodes: DataFrame, buckets: DataFrame, c: int) -> DataFram
         levels.append(_checkpoint(nxt))
 
     # chain roots: the first point of every huge burst
-    roots = buckets.filter(F.col("_start") & ~F.col("_small")).select("_k", F.col("_f").alias("_t"))
+    roots = buckets.filter(F.col("_start")).select("_k", F.col("_f").alias("_t"))
     path = _checkpoint(roots)
     for lvl in reversed(levels):
         step = path.join(lvl, ["_k", "_t"]).where(F.col("_j").isNotNull()).select("_k", F.col("_j").alias("_t"))
