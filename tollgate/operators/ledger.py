@@ -6,9 +6,12 @@ amounts an account sent, "received" the sum it received; both are NULL (not
 0) for an account without such rows, which keeps "no rows" apart from
 "sum is 0" as SQL does.
 
-Scale: the ledger is scanned once into ``(account, sent, received)`` by one
-hash aggregate with map-side partial aggregation, so a hot account costs no
-more than others. Request-side joins carry no hint: AQE picks a broadcast at
+Scale: per account, the ledger is reduced by hash aggregates with map-side
+partial aggregation, so a hot account costs no more than others. Where both
+sides of one account are needed, one scan is exploded into
+``(account, sent, received)`` legs and aggregated once; where the two sides
+join on different keys (wired balance), each side gets its own narrow
+aggregate. Request-side joins carry no hint: AQE picks a broadcast at
 run time when the account table is small, and sort-merge (with skew-split
 partitions) otherwise.
 """
@@ -93,14 +96,22 @@ def _attach(requests: DataFrame, totals: DataFrame, on: str, prefix: str, cols:
     return requests.join(side, F.col(on) == F.col(f"_{prefix}_account"), "left").drop(f"_{prefix}_account")
 
 
-def balance_per_request(
-    requests: DataFrame, ledger: DataFrame, out_col: str = "balance", totals: DataFrame | None = None
-) -> DataFrame:
+def sent_totals(ledger: DataFrame) -> DataFrame:
+    """``(account, sent)`` by sender: one partial aggregate, no explode."""
+    return ledger.groupBy(F.col("from_id").alias("account")).agg(F.sum(money("amount")).alias("sent"))
+
+
+def received_totals(ledger: DataFrame) -> DataFrame:
+    """``(account, received)`` by receiver."""
+    return ledger.groupBy(F.col("to_id").alias("account")).agg(F.sum(money("amount")).alias("received"))
+
+
+def balance_per_request(requests: DataFrame, ledger: DataFrame, out_col: str = "balance") -> DataFrame:
     """Wired balance of each request: ``-sent(from_id) + received(to_id)``,
-    each side 0 when the account has no rows."""
-    t = totals if totals is not None else account_totals(ledger)
-    r = _attach(requests, t, "from_id", "f", ("sent",))
-    r = _attach(r, t, "to_id", "t", ("received",))
+    each side 0 when the account has no rows. The two sides join on different
+    keys, so each gets its own narrow aggregate (sender / receiver)."""
+    r = _attach(requests, sent_totals(ledger), "from_id", "f", ("sent",))
+    r = _attach(r, received_totals(ledger), "to_id", "t", ("received",))
     bal = -F.coalesce(F.col("_f_sent"), F.lit(0).cast(MONEY)) + F.coalesce(F.col("_t_received"), F.lit(0).cast(MONEY))
     return r.withColumn(out_col, bal.cast("double")).drop("_f_sent", "_t_received")
 
@@ -121,14 +132,11 @@ def balance_per_account(
     )
 
 
-def balance_cross_account(
-    requests: DataFrame, ledger: DataFrame, out_col: str = "balance", totals: DataFrame | None = None
-) -> DataFrame:
+def balance_cross_account(requests: DataFrame, ledger: DataFrame, out_col: str = "balance") -> DataFrame:
     """``sum(-sent(from_id) UNION received(to_id))`` per request: the account
     balance with the two accounts differing."""
-    t = totals if totals is not None else account_totals(ledger)
-    r = _attach(requests, t, "from_id", "f", ("sent",))
-    r = _attach(r, t, "to_id", "t", ("received",))
+    r = _attach(requests, sent_totals(ledger), "from_id", "f", ("sent",))
+    r = _attach(r, received_totals(ledger), "to_id", "t", ("received",))
     bal = union_sum(-F.col("_f_sent"), F.col("_t_received"))
     return r.withColumn(out_col, bal.cast("double")).drop("_f_sent", "_t_received")
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tollgate.operators.filters import not_self_transfer
 from tollgate.operators.history import last_request
 from tollgate.operators.insync import ledger_in_sync, visible_ids
-from tollgate.operators.ledger import account_totals, balance_per_account, balance_per_request
+from tollgate.operators.ledger import balance_per_account, balance_per_request
 from tollgate.operators.rules import balance_rule_split
 from tollgate.operators.throttle import throttle
 from tollgate.schema import (
@@ -74,15 +74,18 @@ def transfer_pipeline(
     # plan holds every stage once (no union of per-stage side outputs).
     throttled = throttle(reqs, cooldown_ms, seeds=throttle_seeds)
 
-    totals = account_totals(ledger)
     if balance_mode == "wired":
-        with_bal = balance_per_request(throttled, ledger, totals=totals)
+        with_bal = balance_per_request(throttled, ledger)
     else:
-        with_bal = balance_per_account(throttled, ledger, totals=totals).drop("balance_text")
+        with_bal = balance_per_account(throttled, ledger).drop("balance_text")
     ruled = balance_rule_split(
         with_bal, rules, on_missing_rule=on_missing_rule, seq_col=rules_seq_col, error_col="_rule_error"
     )
-    ruled = ruled.withColumn("_balanced", F.col("allowed") & F.col("_rule_error").isNull())
+    ruled = ruled.select(*cols, "allowed", (F.col("allowed") & F.col("_rule_error").isNull()).alias("_balanced"))
+    # The previous-request step reads its input twice (rows and a per-bucket
+    # summary); write the rows once to the shared checkpoint folder so the
+    # throttle and balance stages are not run twice.
+    ruled = ruled.checkpoint(eager=True)
 
     with_last = last_request(ruled, seeds=last_request_seeds, only="_balanced", ts_out_col="last_ts")
     synced = ledger_in_sync(with_last, visible_ids(ledger), ingest_delay_ms=ingest_delay_ms)
