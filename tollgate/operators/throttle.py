@@ -76,10 +76,11 @@ def throttle(
         base = base.unionByName(
             seeds.select(F.col(key).alias("_k"), F.col(ts).alias("_t"), F.lit(None).cast(df.schema[id_col].dataType).alias("_id"), F.lit(True).alias("_seed"))
         )
-    # One exchange on (sender, bucket): the point and bucket aggregates below
-    # and the point/bucket join are then local (a hash partitioning on
-    # (sender, bucket) clusters every finer key too).
-    base = base.withColumn("_b", F.floor(F.col("_t") / F.lit(c)).cast("long")).repartition("_k", "_b")
+    # No repartition of raw rows here: the aggregates below pre-aggregate
+    # map-side, so many requests of one sender at one millisecond never meet
+    # in one task, and every (sender, bucket) group holds at most
+    # ``cooldown_ms`` distinct points.
+    base = base.withColumn("_b", F.floor(F.col("_t") / F.lit(c)).cast("long"))
 
     # (2) points: a seed at a time leaves no candidate among requests there
     pts = base.groupBy("_k", "_b", "_t").agg(
