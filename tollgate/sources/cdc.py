@@ -68,14 +68,13 @@ def change_events(transfers: DataFrame, table: str = "transfers") -> DataFrame:
             before.alias("before"), after.alias("after"),
         )
 
-    creates = transfers.select(F.col("id"), env("c", F.col("timestamp"), seq, nul, img).alias("_e"))
-    updates = transfers.filter(F.col("pool_type") == "medium").select(
-        F.col("id"), env("u", F.col("timestamp") + 1000, seq + 1, img, upd).alias("_e")
+    # one scan: every row yields its create, plus an update or a delete
+    kinds = F.array(
+        env("c", F.col("timestamp"), seq, nul, img),
+        F.when(F.col("pool_type") == "medium", env("u", F.col("timestamp") + 1000, seq + 1, img, upd)),
+        F.when(F.col("pool_type") == "hard", env("d", F.col("timestamp") + 2000, seq + 2, img, nul)),
     )
-    deletes = transfers.filter(F.col("pool_type") == "hard").select(
-        F.col("id"), env("d", F.col("timestamp") + 2000, seq + 2, img, nul).alias("_e")
-    )
-    allev = creates.unionByName(updates).unionByName(deletes)
+    allev = transfers.select(F.col("id"), F.explode(kinds).alias("_e")).filter(F.col("_e").isNotNull())
     wrapped = F.to_json(F.struct(F.struct(F.lit("struct").alias("type")).alias("schema"), F.col("_e").alias("payload")))
     bare = F.to_json(F.col("_e"))
     return allev.select(F.when(F.col("id").cast("long") % 2 == 0, wrapped).otherwise(bare).alias("value"))
