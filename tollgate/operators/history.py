@@ -1,12 +1,12 @@
 """Previous request of the same sender (``last_request``).
 
 A plain ``lag`` over ``Window.partitionBy(sender)`` puts a hot sender's whole
-history into one task. Instead rows are windowed per (sender, time bucket),
-and only the first row of a bucket takes its predecessor from a small
-bucket-level table (one row per non-empty bucket), windowed per sender. Per
+history into one task. Instead rows are windowed per (sender, minute), and
+only the first row of a minute takes its predecessor from a small
+bucket-level table (one row per non-empty minute), windowed per sender. Per
 sender that table is bounded by time span / bucket width, not by the number
 of requests, so a sender holding a third of all rows is still split over
-many tasks.
+many tasks (one minute of its requests per window group).
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_MS = 3_600_000
+DEFAULT_BUCKET_MS = 60_000
 
 
 def last_request(

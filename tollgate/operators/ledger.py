@@ -106,18 +106,24 @@ def received_totals(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy(F.col("to_id").alias("account")).agg(F.sum(money("amount")).alias("received"))
 
 
-def balance_per_request(requests: DataFrame, ledger: DataFrame, out_col: str = "balance") -> DataFrame:
+def balance_per_request(
+    requests: DataFrame, ledger: DataFrame | None, out_col: str = "balance", totals: DataFrame | None = None
+) -> DataFrame:
     """Wired balance of each request: ``-sent(from_id) + received(to_id)``,
     each side 0 when the account has no rows. The two sides join on different
-    keys, so each gets its own narrow aggregate (sender / receiver)."""
-    r = _attach(requests, sent_totals(ledger), "from_id", "f", ("sent",))
-    r = _attach(r, received_totals(ledger), "to_id", "t", ("received",))
+    keys, so each gets its own narrow aggregate (sender / receiver), unless
+    ``totals`` (``account, sent, received``, e.g. carried streaming state)
+    is given."""
+    sent = totals.select("account", "sent") if totals is not None else sent_totals(ledger)
+    received = totals.select("account", "received") if totals is not None else received_totals(ledger)
+    r = _attach(requests, sent, "from_id", "f", ("sent",))
+    r = _attach(r, received, "to_id", "t", ("received",))
     bal = -F.coalesce(F.col("_f_sent"), F.lit(0).cast(MONEY)) + F.coalesce(F.col("_t_received"), F.lit(0).cast(MONEY))
     return r.withColumn(out_col, bal.cast("double")).drop("_f_sent", "_t_received")
 
 
 def balance_per_account(
-    requests: DataFrame, ledger: DataFrame, out_col: str = "balance", totals: DataFrame | None = None
+    requests: DataFrame, ledger: DataFrame | None, out_col: str = "balance", totals: DataFrame | None = None
 ) -> DataFrame:
     """Account balance of each request's sender: ``sum(-sent UNION received)``,
     both for ``from_id``; NULL when the account has no rows. Also gives the

@@ -53,6 +53,8 @@ def transfer_pipeline(
     throttle_seeds: DataFrame | None = None,
     last_request_seeds: DataFrame | None = None,
     rules_seq_col: str | None = "seq",
+    totals: DataFrame | None = None,
+    ledger_ids: DataFrame | None = None,
 ) -> PipelineResult:
     """Validate ``requests`` against a ``ledger`` snapshot and ``rules``.
 
@@ -62,6 +64,9 @@ def transfer_pipeline(
     their timestamp (None: not within this batch).
     ``ledger_from``: ``"balanced"`` (ledger topic fed before the in-sync
     check) or ``"in_sync"``.
+    ``totals`` / ``ledger_ids``: account totals (``account, sent, received``)
+    and visible ledger ids given directly instead of derived from ``ledger``
+    (a streaming job carries them as state; ``ledger`` may then be None).
     """
     if balance_mode not in ("wired", "account"):
         raise ValueError("balance_mode must be 'wired' or 'account'")
@@ -75,9 +80,9 @@ def transfer_pipeline(
     throttled = throttle(reqs, cooldown_ms, seeds=throttle_seeds)
 
     if balance_mode == "wired":
-        with_bal = balance_per_request(throttled, ledger)
+        with_bal = balance_per_request(throttled, ledger, totals=totals)
     else:
-        with_bal = balance_per_account(throttled, ledger).drop("balance_text")
+        with_bal = balance_per_account(throttled, ledger, totals=totals).drop("balance_text")
     ruled = balance_rule_split(
         with_bal, rules, on_missing_rule=on_missing_rule, seq_col=rules_seq_col, error_col="_rule_error"
     )
@@ -88,7 +93,8 @@ def transfer_pipeline(
     ruled = ruled.checkpoint(eager=True)
 
     with_last = last_request(ruled, seeds=last_request_seeds, only="_balanced", ts_out_col="last_ts")
-    synced = ledger_in_sync(with_last, visible_ids(ledger), ingest_delay_ms=ingest_delay_ms)
+    ids = ledger_ids if ledger_ids is not None else visible_ids(ledger)
+    synced = ledger_in_sync(with_last, ids, ingest_delay_ms=ingest_delay_ms)
 
     error = (
         F.when(~F.col("allowed"), F.lit(TOO_MANY_REQUESTS))

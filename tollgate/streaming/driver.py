@@ -8,8 +8,10 @@ batch functions as in ``tollgate.plans.pipeline``, with per-sender state
 check) carried between batches in ``KeyedState`` tables, and a ledger
 snapshot that holds the ledger rows written by earlier batches only (a
 written row becomes readable from the next batch on, like the ledger's
-delayed ingestion). Outputs are written per batch id and overwrite only
-their own partition, so a replayed batch gives the same files.
+delayed ingestion). Account totals are carried as sum-state, so the ledger
+is never rescanned per batch. Outputs are written per batch id and
+overwrite only their own partition, so a replayed batch gives the same
+files.
 """
 
 from __future__ import annotations
@@ -19,9 +21,10 @@ from pyspark.sql import functions as F
 
 from tollgate.functions.columns import event_time
 from tollgate.operators.history import last_request
+from tollgate.operators.ledger import account_totals
 from tollgate.operators.throttle import throttle
 from tollgate.plans.pipeline import transfer_pipeline
-from tollgate.schema import DEFAULT_COOLDOWN_MS, TRANSFER_COLUMNS
+from tollgate.schema import DEFAULT_COOLDOWN_MS, TOO_MANY_REQUESTS, TRANSFER_COLUMNS, TRANSFER_IN_PROGRESS
 from tollgate.sources.messages import parse_transfers, read_messages
 from tollgate.streaming.state import KeyedState
 
@@ -48,8 +51,9 @@ def ledger_ingest(
     """Continuously append the topic's JSON transfers to a Parquet ledger,
     from the earliest offset. ``fmt="kafka"``: ``source`` is the topic;
     otherwise ``source`` is a folder of message files (format ``fmt``).
-    ``trigger`` defaults to one hour of processing time; pass
-    ``{"availableNow": True}`` for a catch-up run."""
+    Rows become queryable per micro-batch (default trigger 10 s, at most
+    ``max_per_trigger`` messages each, like the store's 50,000-row segments);
+    pass ``trigger={"availableNow": True}`` for a catch-up run."""
     opts = dict(options or {})
     if fmt == "kafka":
         if max_per_trigger:
@@ -59,7 +63,7 @@ def ledger_ingest(
         msgs = read_messages(spark, source, fmt, opts, streaming=True)
     rows = parse_transfers(msgs).filter(F.col("_corrupt").isNull()).select(*_TC)
     w = rows.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).outputMode("append")
-    w = w.trigger(**(trigger or {"processingTime": "3600 seconds"}))
+    w = w.trigger(**(trigger or {"processingTime": "10 seconds"}))
     return w.start()
 
 
@@ -120,8 +124,16 @@ class PipelineBatch:
     """``foreachBatch`` body of the whole validation chain.
 
     Writes per batch: ``outcomes`` (every request with its error, NULL =
-    accepted) and ``ledger`` (rows sent to the ledger topic); the ledger
-    snapshot of batch N = ``ledger_path`` + ``ledger`` rows of batches < N.
+    accepted) and ``ledger`` (rows sent to the ledger topic). The ledger is
+    never rescanned per batch:
+
+    - account totals are sum-state: the base ledger is aggregated once into a
+      base snapshot, every batch adds the totals of the rows it sent to the
+      ledger, and a batch reads totals only for its own accounts;
+    - the in-sync lookup needs no ledger scan: a sender's previous request
+      from an earlier batch is its last-request seed, and the state records
+      whether that request was sent to the ledger (so it is visible now);
+      one from the same batch is not visible yet (strict snapshot).
     """
 
     def __init__(self, ledger_path: str, rules: DataFrame, out_path: str, state_path: str,
@@ -131,35 +143,53 @@ class PipelineBatch:
         self.rules = rules
         self.out = out_path.rstrip("/")
         self.th_state = KeyedState(f"{state_path}/throttle", "from_id", ["timestamp"])
-        self.lr_state = KeyedState(f"{state_path}/last_request", "from_id", ["last_id", "last_ts"], order_col="last_ts")
+        self.lr_state = KeyedState(
+            f"{state_path}/last_request", "from_id", ["last_id", "last_ts", "written"], order_col="last_ts"
+        )
+        self.accounts = KeyedState(f"{state_path}/accounts", "account", ["sent", "received"], combine="sum")
+        self.ledger_from = ledger_from
         self.kw = dict(cooldown_ms=cooldown_ms, balance_mode=balance_mode, ledger_from=ledger_from,
                        on_missing_rule=on_missing_rule)
 
-    def ledger_snapshot(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        base = spark.read.parquet(self.ledger_path).select(*_TC)
-        written = _read_batches(spark, f"{self.out}/ledger", batch_id)
-        return base if written is None else base.unionByName(written.select(*_TC))
+    def _init_accounts(self, spark: SparkSession) -> None:
+        if not self.accounts.has_base(spark, -1):
+            self.accounts.write_base(spark, -1, account_totals(spark.read.parquet(self.ledger_path)))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        self._init_accounts(spark)
         batch = batch.select(*_TC).persist()
+        accounts = batch.select(F.col("from_id").alias("account")).unionByName(batch.select(F.col("to_id").alias("account")))
+        totals = self.accounts.read(spark, batch_id, keys=accounts).drop("batch_id")
+        lr_seeds = self.lr_state.read(spark, batch_id, keys=batch)
+        if lr_seeds is None:
+            ids = spark.createDataFrame([], "id string")
+        else:
+            ids = lr_seeds.filter(F.col("written")).select(F.col("last_id").alias("id"))
         res = transfer_pipeline(
-            batch, self.ledger_snapshot(spark, batch_id), self.rules,
+            batch, None, self.rules,
             throttle_seeds=self.th_state.read(spark, batch_id, keys=batch),
-            last_request_seeds=self.lr_state.read(spark, batch_id, keys=batch),
+            last_request_seeds=lr_seeds, totals=totals, ledger_ids=ids,
             ingest_delay_ms=None, **self.kw,
         )
         _write_partition(res.outcomes, f"{self.out}/outcomes", batch_id)
         done = spark.read.parquet(f"{self.out}/outcomes/batch_id={batch_id}")
-        balanced = done.filter(F.col("error").isNull() | (F.col("error") == "TRANSFER_IN_PROGRESS"))
-        to_ledger = balanced if self.kw["ledger_from"] == "balanced" else done.filter(F.col("error").isNull())
+        balanced = done.filter(F.col("error").isNull() | (F.col("error") == TRANSFER_IN_PROGRESS))
+        to_ledger = balanced if self.ledger_from == "balanced" else done.filter(F.col("error").isNull())
         _write_partition(to_ledger.select(*_TC), f"{self.out}/ledger", batch_id)
-        allowed = done.filter(F.col("error").isNull() | (F.col("error") != "TOO_MANY_REQUESTS"))
+        written_rows = spark.read.parquet(f"{self.out}/ledger/batch_id={batch_id}")
+
+        allowed = done.filter(F.col("error").isNull() | (F.col("error") != TOO_MANY_REQUESTS))
         self.th_state.write(spark, batch_id, allowed.groupBy("from_id").agg(F.max("timestamp").alias("timestamp")))
+        written = F.lit(True) if self.ledger_from == "balanced" else F.col("error").isNull()
         newest = balanced.groupBy("from_id").agg(
-            F.max_by(F.struct(F.col("id").alias("last_id"), F.col("timestamp").alias("last_ts")), F.struct("timestamp", "id")).alias("n")
+            F.max_by(
+                F.struct(F.col("id").alias("last_id"), F.col("timestamp").alias("last_ts"), written.alias("written")),
+                F.struct("timestamp", "id"),
+            ).alias("n")
         )
-        self.lr_state.write(spark, batch_id, newest.select("from_id", "n.last_id", "n.last_ts"))
+        self.lr_state.write(spark, batch_id, newest.select("from_id", "n.last_id", "n.last_ts", "n.written"))
+        self.accounts.write(spark, batch_id, account_totals(written_rows))
         batch.unpersist()
 
 

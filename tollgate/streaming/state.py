@@ -49,18 +49,35 @@ def _list_partitions(spark: SparkSession, path: str, name: str) -> list[int]:
 
 
 class KeyedState:
-    """Newest-row-per-key state (``combine="newest"``, by an order column) or
-    running maximum (``combine="max"`` of ``value_cols``)."""
+    """Per-key state folded over batches: newest row by ``order_col``
+    (``combine="newest"``), running maximum (``"max"``) or running sum
+    (``"sum"``) of ``value_cols``."""
 
-    def __init__(self, path: str, key: str, value_cols: list[str], order_col: str | None = None, compact_every: int = 20):
+    def __init__(self, path: str, key: str, value_cols: list[str], order_col: str | None = None,
+                 compact_every: int = 20, combine: str | None = None):
         self.path = path.rstrip("/")
         self.key = key
         self.value_cols = list(value_cols)
         self.order_col = order_col
         self.compact_every = compact_every
+        self.combine = combine or ("newest" if order_col else "max")
+
+    def has_base(self, spark: SparkSession, upto: int) -> bool:
+        return upto in _list_partitions(spark, f"{self.path}/base", "upto")
+
+    def write_base(self, spark: SparkSession, upto: int, rows: DataFrame) -> None:
+        """A snapshot of the state before any batch (``upto=-1``) or after ``upto``."""
+        cols = [self.key, *self.value_cols] + ([self.order_col] if self.order_col and self.order_col not in self.value_cols else [])
+        rows.select(*cols, F.lit(upto).cast("long").alias("batch_id")).write.mode("overwrite").parquet(
+            f"{self.path}/base/upto={upto}"
+        )
 
     def _fold(self, df: DataFrame) -> DataFrame:
-        if self.order_col is None:
+        if self.combine == "sum":
+            return df.groupBy(self.key).agg(
+                *[F.sum(c).alias(c) for c in self.value_cols], F.max("batch_id").alias("batch_id")
+            )
+        if self.combine == "max":
             return df.groupBy(self.key).agg(
                 *[F.max(c).alias(c) for c in self.value_cols], F.max("batch_id").alias("batch_id")
             )
@@ -76,13 +93,13 @@ class KeyedState:
         lo = bases[-1] if bases else None
         parts = []
         if lo is not None:
-            parts.append(spark.read.parquet(f"{self.path}/base/upto={lo}"))
+            parts.append(spark.read.parquet(f"{self.path}/base/upto={lo}").withColumn("batch_id", F.col("batch_id").cast("long")))
         keep = [b for b in deltas if lo is None or b > lo]
         if keep:
             d = spark.read.option("basePath", f"{self.path}/delta").parquet(
                 *[f"{self.path}/delta/batch_id={b}" for b in keep]
             )
-            parts.append(d)
+            parts.append(d.withColumn("batch_id", F.col("batch_id").cast("long")))
         if not parts:
             return None
         cols = [self.key, *self.value_cols] + ([self.order_col] if self.order_col and self.order_col not in self.value_cols else []) + ["batch_id"]
@@ -103,7 +120,7 @@ class KeyedState:
     def compact(self, spark: SparkSession, upto: int) -> None:
         snap = self.read(spark, upto + 1)
         if snap is not None:
-            snap.write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
+            self.write_base(spark, upto, snap)
 
 
 def ensure_dir(path: str) -> None:
