@@ -32,3 +32,19 @@ def test_rules_broadcast(spark):
 def test_pipeline_plan_is_linear(spark):
     p = plan(catalog.queries()["transfer_pipeline"](spark, SF))
     assert p.count("Window") <= 12
+
+
+def test_scale_shape_of_every_query(spark):
+    """No cartesian product and no window without a partition key (which
+    would run in a single task) in any registered batch query."""
+    import re
+
+    skip = {"throttle_stream", "last_request_stream", "transfer_pipeline_stream", "ledger_ingest",
+            "read_transfers_file", "ledger_table"}
+    for name, q in catalog.queries().items():
+        if name in skip:
+            continue
+        p = plan(q(spark, SF))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+        for spec in re.findall(r"\bWindow \[.*?\], \[(.*?)\], \[", p):
+            assert spec.strip(), f"{name}: window without partition key"
