@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.operators import filters, history, insync, ledger as L, rules as R, throttle as TH
+from tollgate.operators.partitioning import spread
 from tollgate.plans.pipeline import transfer_pipeline
 from tollgate.schema import TRANSFER_COLUMNS
 from tollgate.sinks import ledger_table as LT
@@ -163,7 +164,7 @@ def q_with_sender_key(spark, d):
 
 
 def _messages(spark, d):
-    return M.transfer_messages(EV.transfers(spark, d))
+    return M.transfer_messages(spread(EV.transfers(spark, d)))
 
 
 def q_read_transfers_json(spark, d):
@@ -179,11 +180,11 @@ def q_key_greeting(spark, d):
 
 
 def q_cdc_parse(spark, d):
-    return cdc.cdc_parse(cdc.change_events(EV.transfers(spark, d)))
+    return cdc.cdc_parse(cdc.change_events(spread(EV.transfers(spark, d))))
 
 
 def q_cdc_current_state(spark, d):
-    return cdc.cdc_current_state(cdc.cdc_parse(cdc.change_events(EV.transfers(spark, d))))
+    return cdc.cdc_current_state(cdc.cdc_parse(cdc.change_events(spread(EV.transfers(spark, d)))))
 
 
 def q_read_transfers_file(spark, d):
