@@ -1,6 +1,5 @@
 """Golden rows from the reference's README/sample data and hand-derived cases."""
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tollgate.functions.columns import error_message, key_greeting, transfer_json

@@ -1,7 +1,5 @@
 """Every registered query with an oracle equals its DuckDB SQL at sf0.001."""
 
-import pytest
-
 from tollgate.tools.compare import compare
 
 SF = "/root/testdata/sf0.001"

@@ -2,9 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tollgate.operators import throttle as TH
 from tollgate.plans import catalog
-from tollgate.schema import TRANSFER
 from tollgate.session import work_dir
 from tollgate.sources import events as EV
 from tollgate.sources.rules import rules_table

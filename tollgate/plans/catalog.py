@@ -13,14 +13,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tollgate.operators import filters, history, insync, ledger as L, rules as R, throttle as TH
 from tollgate.operators.partitioning import spread
 from tollgate.plans.pipeline import transfer_pipeline
-from tollgate.schema import TRANSFER_COLUMNS
 from tollgate.sinks import ledger_table as LT
-from tollgate.sinks.messages import error_records, ledger_records
+from tollgate.sinks.messages import error_records
 from tollgate.sources import cdc, events as EV, messages as M
 from tollgate.sources.rules import rules_table
 
@@ -33,7 +31,6 @@ LOOKUP_ID = "1234"
 LATEST_N = 100
 
 Query = Callable[[SparkSession, str], DataFrame]
-_TC = list(TRANSFER_COLUMNS)
 
 
 # --- queries -----------------------------------------------------------------

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.functions.columns import epoch_ms_ntz
-from tollgate.schema import DEFAULT_POOL_ID, TRANSFER_COLUMNS
+from tollgate.schema import DEFAULT_POOL_ID
 
 # Middle of the events' time range: 2024-01-15T12:00:00Z.
 SPLIT_MS = 1_705_320_000_000
@@ -70,6 +70,3 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transfers_from_events(read_table(spark, sf_dir, "events"), F.col("ts") >= split_ts())
 
-
-def columns() -> list[str]:
-    return list(TRANSFER_COLUMNS)

@@ -71,15 +71,6 @@ def _write_partition(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
-def _read_batches(spark: SparkSession, path: str, before: int) -> DataFrame | None:
-    from tollgate.streaming.state import _list_partitions
-
-    ids = [b for b in _list_partitions(spark, path, "batch_id") if b < before]
-    if not ids:
-        return None
-    return spark.read.option("basePath", path).parquet(*[f"{path.rstrip('/')}/batch_id={b}" for b in ids])
-
-
 class ThrottleBatch:
     """``foreachBatch`` body: throttle with the allowed-time state carried."""
 

@@ -9,15 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.functions.columns import transfer_json
-from tollgate.schema import TRANSFER_COLUMNS
 from tollgate.session import work_dir
 from tollgate.sources import events as EV
-from tollgate.sources.messages import read_transfers_file, transfer_messages
+from tollgate.sources.messages import parse_transfers, transfer_messages
 from tollgate.sources.rules import rules_table
 from tollgate.streaming import driver as D
 
 COOLDOWN_MS = 6 * 3_600_000
-_TC = list(TRANSFER_COLUMNS)
 
 
 def _stage_days(df: DataFrame, path: str) -> None:
@@ -31,9 +29,7 @@ def _request_stream(spark: SparkSession, d: str) -> DataFrame:
     src = work_dir(spark, "stream-requests")
     _stage_days(EV.requests(spark, d), src)
     s = spark.readStream.schema("value string, day string").option("maxFilesPerTrigger", 4).text(src)
-    # text source gives ``value``; parse it like the file source does
-    from tollgate.sources.messages import parse_transfers
-
+    # the text source gives ``value``: parse it like a message value
     return parse_transfers(s).drop("_corrupt")
 
 

@@ -16,21 +16,12 @@ number of batches. Reads can be restricted to the keys of the current batch
 
 from __future__ import annotations
 
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _local(path: str) -> str | None:
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if path.startswith("/"):
-        return path
-    return None
-
-
 def _list_partitions(spark: SparkSession, path: str, name: str) -> list[int]:
     """Partition values ``name=V`` present under ``path`` (via the Hadoop
     file system of the session, so it works on any shared store)."""
@@ -122,8 +113,3 @@ class KeyedState:
         if snap is not None:
             self.write_base(spark, upto, snap)
 
-
-def ensure_dir(path: str) -> None:
-    local = _local(path)
-    if local:
-        os.makedirs(local, exist_ok=True)
