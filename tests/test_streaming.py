@@ -84,3 +84,20 @@ def test_pipeline_state_equals_snapshot_semantics(spark):
     assert streamed == sorted(expect)
     errs = {e for _, e in streamed}
     assert {"TOO_MANY_REQUESTS", "INSUFFICIENT_BALANCE", "TRANSFER_IN_PROGRESS", None} <= errs
+
+
+def test_stateful_throttle_stream_equals_batch(spark):
+    s = SQ.q_throttle_stateful_stream(spark, SF)
+    b = catalog.queries()["throttle"](spark, SF)
+    assert rows(s, ["id", "allowed"]) == rows(b, ["id", "allowed"])
+
+
+def test_allowed_chain_with_state_and_late_rows():
+    import numpy as np
+
+    from tollgate.streaming.stateful import allowed_chain
+
+    ts = np.array([0, 5000, 19999, 20000, 20000, 39000, 40000])
+    assert allowed_chain(ts, 20000, None).tolist() == [True, False, False, True, False, False, True]
+    # remembered allowed time 15000: everything before 35000 is refused
+    assert allowed_chain(ts, 20000, 15000).tolist() == [False, False, False, False, False, True, False]

@@ -206,7 +206,8 @@ def q_ledger_table(spark, d):
 def _streaming_queries() -> dict[str, Query]:
     from tollgate.streaming import queries as SQ
 
-    names = ("ledger_ingest", "throttle_stream", "last_request_stream", "transfer_pipeline_stream")
+    names = ("ledger_ingest", "throttle_stream", "throttle_stateful_stream", "last_request_stream",
+             "transfer_pipeline_stream")
     return {n: getattr(SQ, f"q_{n}") for n in names if hasattr(SQ, f"q_{n}")}
 
 
@@ -446,5 +447,6 @@ def oracle_sql() -> dict[str, str]:
         "last_request_stream": None,
     }
     o["throttle_stream"] = o["throttle"]
+    o["throttle_stateful_stream"] = o["throttle"]
     o["last_request_stream"] = o["last_request"]
     return o

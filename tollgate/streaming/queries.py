@@ -19,10 +19,33 @@ COOLDOWN_MS = 6 * 3_600_000
 
 
 def _stage_days(df: DataFrame, path: str) -> None:
-    """Write rows as JSON-lines text, one file per day of ``timestamp``."""
+    """Write rows as JSON-lines text, one file per day of ``timestamp``.
+
+    The file source hands files to micro-batches in modification-time order,
+    and parallel writers finish in any order; so the day files get their
+    modification times set in day order, as files arriving day by day would
+    have them (otherwise a later day could come first, and its senders'
+    earlier requests would be late)."""
     day = F.to_date(F.timestamp_millis("timestamp")).cast("string")
     body = df.select(transfer_json().alias("value"), day.alias("day"))
     body.repartition("day").write.mode("overwrite").partitionBy("day").text(path)
+    _order_by_name(df.sparkSession, path)
+
+
+def _order_by_name(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    it = fs.listFiles(root, True)
+    files = []
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().getName()
+        if not name.startswith(("_", ".")):
+            files.append((st.getPath().toString(), st.getPath()))
+    t0 = 1_000_000_000_000
+    for i, (_, p) in enumerate(sorted(files, key=lambda f: f[0])):
+        fs.setTimes(p, t0 + i * 1000, -1)
 
 
 def _request_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -67,3 +90,16 @@ def q_transfer_pipeline_stream(spark: SparkSession, d: str) -> DataFrame:
     fn = D.PipelineBatch(ledger_dir, rules_table(spark), out, st, cooldown_ms=COOLDOWN_MS)
     _run(_request_stream(spark, d), fn, spark)
     return spark.read.parquet(f"{out}/outcomes").select("id", "from_id", "to_id", "amount", "timestamp", "error")
+
+
+def q_throttle_stateful_stream(spark: SparkSession, d: str) -> DataFrame:
+    from tollgate.streaming.stateful import throttle_with_state
+
+    out, ck = work_dir(spark, "stateful-out"), work_dir(spark, "stateful-ckpt")
+    s = throttle_with_state(_request_stream(spark, d), COOLDOWN_MS)
+    q = (s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(out).select("id", "from_id", "timestamp", "allowed")
