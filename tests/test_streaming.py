@@ -101,3 +101,35 @@ def test_allowed_chain_with_state_and_late_rows():
     assert allowed_chain(ts, 20000, None).tolist() == [True, False, False, True, False, False, True]
     # remembered allowed time 15000: everything before 35000 is refused
     assert allowed_chain(ts, 20000, 15000).tolist() == [False, False, False, False, False, True, False]
+
+
+def test_ledger_ingest_quarantines_malformed(spark):
+    src, sink, ck, bad = (work_dir(spark, n) for n in ("q-src", "q-sink", "q-ck", "q-bad"))
+    good = EV.transfers(spark, SF).limit(50)
+    from tollgate.sources.messages import transfer_messages
+
+    msgs = transfer_messages(good).unionByName(
+        spark.createDataFrame([("k", "{broken", "transfers_4", 0, 1, None)], "key string, value string, topic string, partition int, offset long, timestamp timestamp")
+    )
+    msgs.write.mode("overwrite").json(src)
+    q1, q2 = D.ledger_ingest(spark, src, sink, ck, fmt="json", trigger={"availableNow": True}, quarantine=bad)
+    q1.awaitTermination()
+    q2.awaitTermination()
+    assert spark.read.parquet(sink).count() == 50
+    assert [r["value"] for r in spark.read.parquet(bad).collect()] == ["{broken"]
+
+
+def test_point_lookup_pushed_to_table_scan(spark):
+    import uuid
+
+    from tollgate.operators import filters
+    from tollgate.sinks import ledger_table as LT
+
+    name = f"t_lookup_{uuid.uuid4().hex[:8]}"
+    LT.create_ledger(spark, name, work_dir(spark, "t-lookup"))
+    LT.insert_ledger(spark, name, EV.ledger(spark, SF))
+    df = filters.ledger_point_lookup(LT.read_ledger(spark, name), "123")
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(id,123)" in p
+    assert df.count() == 1
+    LT.drop_ledger(spark, name)

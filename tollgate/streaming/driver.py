@@ -47,13 +47,19 @@ def ledger_ingest(
     options: dict | None = None,
     trigger: dict | None = None,
     max_per_trigger: int | None = 50_000,
+    quarantine: str | None = None,
 ):
     """Continuously append the topic's JSON transfers to a Parquet ledger,
     from the earliest offset. ``fmt="kafka"``: ``source`` is the topic;
     otherwise ``source`` is a folder of message files (format ``fmt``).
     Rows become queryable per micro-batch (default trigger 10 s, at most
     ``max_per_trigger`` messages each, like the store's 50,000-row segments);
-    pass ``trigger={"availableNow": True}`` for a catch-up run."""
+    pass ``trigger={"availableNow": True}`` for a catch-up run.
+
+    Malformed messages are not dropped silently: with ``quarantine`` they are
+    appended there (raw text) by a second query on the same source, with its
+    own checkpoint; both file sinks are exactly-once. Returns the ledger
+    query, or ``(ledger_query, quarantine_query)`` when ``quarantine`` is set."""
     opts = dict(options or {})
     if fmt == "kafka":
         if max_per_trigger:
@@ -61,10 +67,17 @@ def ledger_ingest(
         msgs = read_messages(spark, source, "kafka", opts, starting_offsets="earliest", streaming=True)
     else:
         msgs = read_messages(spark, source, fmt, opts, streaming=True)
-    rows = parse_transfers(msgs).filter(F.col("_corrupt").isNull()).select(*_TC)
-    w = rows.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).outputMode("append")
-    w = w.trigger(**(trigger or {"processingTime": "10 seconds"}))
-    return w.start()
+    parsed = parse_transfers(msgs)
+
+    def start(df: DataFrame, path: str, ck: str):
+        w = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", ck).outputMode("append")
+        return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+
+    main_q = start(parsed.filter(F.col("_corrupt").isNull()).select(*_TC), sink, checkpoint)
+    if quarantine is None:
+        return main_q
+    bad = parsed.filter(F.col("_corrupt").isNotNull()).select(F.col("_corrupt").alias("value"))
+    return main_q, start(bad, quarantine, checkpoint.rstrip("/") + "-quarantine")
 
 
 def _write_partition(df: DataFrame, path: str, batch_id: int) -> None:
