@@ -133,3 +133,9 @@ def test_point_lookup_pushed_to_table_scan(spark):
     assert "EqualTo(id,123)" in p
     assert df.count() == 1
     LT.drop_ledger(spark, name)
+
+
+def test_stateful_last_request_stream_equals_batch(spark):
+    s = SQ.q_last_request_stateful_stream(spark, SF)
+    b = catalog.queries()["last_request"](spark, SF)
+    assert rows(s, ["id", "last_id"]) == rows(b, ["id", "last_id"])

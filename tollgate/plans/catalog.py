@@ -207,7 +207,7 @@ def _streaming_queries() -> dict[str, Query]:
     from tollgate.streaming import queries as SQ
 
     names = ("ledger_ingest", "throttle_stream", "throttle_stateful_stream", "last_request_stream",
-             "transfer_pipeline_stream")
+             "last_request_stateful_stream", "transfer_pipeline_stream")
     return {n: getattr(SQ, f"q_{n}") for n in names if hasattr(SQ, f"q_{n}")}
 
 
@@ -449,4 +449,5 @@ def oracle_sql() -> dict[str, str]:
     o["throttle_stream"] = o["throttle"]
     o["throttle_stateful_stream"] = o["throttle"]
     o["last_request_stream"] = o["last_request"]
+    o["last_request_stateful_stream"] = o["last_request"]
     return o

@@ -103,3 +103,16 @@ def q_throttle_stateful_stream(spark: SparkSession, d: str) -> DataFrame:
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.parquet(out).select("id", "from_id", "timestamp", "allowed")
+
+
+def q_last_request_stateful_stream(spark: SparkSession, d: str) -> DataFrame:
+    from tollgate.streaming.stateful import last_request_with_state
+
+    out, ck = work_dir(spark, "stateful-last-out"), work_dir(spark, "stateful-last-ckpt")
+    s = last_request_with_state(_request_stream(spark, d))
+    q = (s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(out).select("id", "from_id", "last_id")

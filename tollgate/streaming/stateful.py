@@ -59,3 +59,29 @@ def throttle_with_state(
     return stream.groupBy(key).applyInPandasWithState(
         step, out_schema, "last_allowed long", "append", GroupStateTimeout.NoTimeout
     )
+
+
+def last_request_with_state(
+    stream: DataFrame,
+    key: str = "from_id",
+    ts: str = "timestamp",
+    id_col: str = "id",
+) -> DataFrame:
+    """Streaming previous request per sender on the state store: the input
+    rows plus ``last_id`` (the sender's previous request in ``(ts, id)``
+    order, carried across micro-batches; no expiry)."""
+    out_schema = T.StructType(stream.schema.fields + [T.StructField("last_id", T.StringType())])
+    cols = [f.name for f in stream.schema.fields]
+
+    def step(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values([ts, id_col], kind="mergesort")
+        ids = pdf[id_col].astype(object)
+        prev = ids.shift(1)
+        if len(prev):
+            prev.iloc[0] = state.get[0] if state.exists else None
+            state.update((str(ids.iloc[-1]),))
+        yield pdf[cols].assign(last_id=prev.to_numpy())
+
+    return stream.groupBy(key).applyInPandasWithState(
+        step, out_schema, "last_id string", "append", GroupStateTimeout.NoTimeout
+    )
