@@ -56,18 +56,38 @@ def _request_stream(spark: SparkSession, d: str) -> DataFrame:
     return parse_transfers(s).drop("_corrupt")
 
 
+def _until_done(start, attempts: int = 3) -> None:
+    """Run a query to its end; if it fails, start it again from its
+    checkpoint (file sinks are exactly-once and the ``foreachBatch`` bodies
+    overwrite only their own batch, so a restart repeats no output)."""
+    for i in range(attempts):
+        q = start()
+        try:
+            q.awaitTermination()
+        except Exception:
+            if i == attempts - 1:
+                raise
+            continue
+        if q.exception() is None:
+            return
+        if i == attempts - 1:
+            raise RuntimeError(str(q.exception()))
+
+
 def _run(stream: DataFrame, fn, spark: SparkSession) -> None:
-    q = D.run_foreach_batch(stream, fn, work_dir(spark, "stream-ckpt"), {"availableNow": True})
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    ck = work_dir(spark, "stream-ckpt")
+    _until_done(lambda: D.run_foreach_batch(stream, fn, ck, {"availableNow": True}))
+
+
+def _to_parquet(stream: DataFrame, out: str, ck: str):
+    return (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+            .outputMode("append").trigger(availableNow=True).start())
 
 
 def q_ledger_ingest(spark: SparkSession, d: str) -> DataFrame:
     src, sink, ck = work_dir(spark, "topic-twin"), work_dir(spark, "ledger"), work_dir(spark, "ingest-ckpt")
     transfer_messages(EV.transfers(spark, d)).write.mode("overwrite").json(src)
-    q = D.ledger_ingest(spark, src, sink, ck, fmt="json", trigger={"availableNow": True})
-    q.awaitTermination()
+    _until_done(lambda: D.ledger_ingest(spark, src, sink, ck, fmt="json", trigger={"availableNow": True}))
     return spark.read.parquet(sink)
 
 
@@ -97,11 +117,7 @@ def q_throttle_stateful_stream(spark: SparkSession, d: str) -> DataFrame:
 
     out, ck = work_dir(spark, "stateful-out"), work_dir(spark, "stateful-ckpt")
     s = throttle_with_state(_request_stream(spark, d), COOLDOWN_MS)
-    q = (s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _until_done(lambda: _to_parquet(s, out, ck))
     return spark.read.parquet(out).select("id", "from_id", "timestamp", "allowed")
 
 
@@ -110,9 +126,5 @@ def q_last_request_stateful_stream(spark: SparkSession, d: str) -> DataFrame:
 
     out, ck = work_dir(spark, "stateful-last-out"), work_dir(spark, "stateful-last-ckpt")
     s = last_request_with_state(_request_stream(spark, d))
-    q = (s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _until_done(lambda: _to_parquet(s, out, ck))
     return spark.read.parquet(out).select("id", "from_id", "last_id")
