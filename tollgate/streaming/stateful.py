@@ -11,16 +11,22 @@ allowed one is refused (it counts as late).
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tollgate.schema import DEFAULT_COOLDOWN_MS
 
+# The per-sender functions run in Python workers: ship this module's code by
+# value, so workers need only numpy/pandas, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def allowed_chain(ts: np.ndarray, cooldown_ms: int, last_allowed: int | None) -> np.ndarray:
     """``ts`` sorted ascending (ties already ordered by id). Returns the
@@ -48,9 +54,12 @@ def throttle_with_state(
     cols = [f.name for f in stream.schema.fields]
 
     def step(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values([ts, id_col], kind="mergesort")
-        last = state.get[0] if state.exists else None
-        t = pdf[ts].to_numpy(dtype=np.int64)
+        frames = [f for f in pdfs if len(f)]
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True).sort_values([ts, id_col], kind="mergesort")
+        last = int(state.get[0]) if state.exists and state.get[0] is not None else None
+        t = pdf[ts].astype("int64").to_numpy()
         ok = allowed_chain(t, c, last)
         if ok.any():
             state.update((int(t[ok][-1]),))
@@ -74,12 +83,14 @@ def last_request_with_state(
     cols = [f.name for f in stream.schema.fields]
 
     def step(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values([ts, id_col], kind="mergesort")
+        frames = [f for f in pdfs if len(f)]
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True).sort_values([ts, id_col], kind="mergesort")
         ids = pdf[id_col].astype(object)
         prev = ids.shift(1)
-        if len(prev):
-            prev.iloc[0] = state.get[0] if state.exists else None
-            state.update((str(ids.iloc[-1]),))
+        prev.iloc[0] = state.get[0] if state.exists else None
+        state.update((str(ids.iloc[-1]),))
         yield pdf[cols].assign(last_id=prev.to_numpy())
 
     return stream.groupBy(key).applyInPandasWithState(
