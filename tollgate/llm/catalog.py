@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tollgate.llm import quality_rules_query
+from tollgate.llm import decontaminate_query, packing_query, quality_rules_query, simhash_query
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,10 +14,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op5_quality_rules": quality_rules_query.op5_quality_rules,
+        "op6_decontaminate": decontaminate_query.op6_decontaminate,
+        "op9_best_two_fit": packing_query.op9_best_two_fit,
+        "op10_simhash": simhash_query.op10_simhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_quality_rules": quality_rules_query.SQL,
+        "op6_decontaminate": decontaminate_query.SQL,
     }
