@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tollgate.llm import decontaminate_query, packing_query, quality_rules_query, simhash_query
+from tollgate.llm import decontaminate_query, packing_query, quality_rules_query, simhash_query, suffix_dedup_query
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_suffix_dedup": suffix_dedup_query.op1_suffix_dedup,
         "op5_quality_rules": quality_rules_query.op5_quality_rules,
         "op6_decontaminate": decontaminate_query.op6_decontaminate,
         "op9_best_two_fit": packing_query.op9_best_two_fit,
