@@ -146,5 +146,8 @@ def ablations(led: DataFrame, policy: str = CURRENT) -> DataFrame:
 def filter_documents(docs: DataFrame, text_col: str = "text", policy: str = CURRENT) -> DataFrame:
     """The documents a policy keeps, with exactly the input's columns."""
     d = docs.select(F.struct("*").alias("_row"), F.col(f"`{text_col}`").alias("_t"))
-    judged = _measure(d, "_t").select("_row", "_m.*").withColumn("failed_bits", _bits())
-    return apply_policy(judged, policy).filter("kept").select("_row.*")
+    judged = apply_policy(_measure(d, "_t").select("_row", "_m.*").withColumn("failed_bits", _bits()), policy)
+    # A filter moves below deterministic projections and takes a copy of their
+    # expressions along for each use. The row number in its condition keeps it
+    # above the ledger, where every measurement is made once.
+    return judged.select("_row", "kept", F.monotonically_increasing_id().alias("_n")).filter("kept and _n >= 0").select("_row.*")
