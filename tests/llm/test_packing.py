@@ -65,3 +65,19 @@ def test_best_two_fit_swaps():
     used = np.bincount(sequence, lengths)
     assert used.max() <= 128 and used.sum() == lengths.sum()
     assert len(used) <= -(-lengths.sum() // 128) * 1.02 + 1
+
+
+def test_fast_ids_equal_tokenizers(spark):
+    encode, tok = P.Encoder(PATH), Tokenizer.from_file(PATH)
+    assert encode.fast
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    texts += ["", " ", "a\u00a0b\u2003 c", "\u3000x \u200b y", "don't I'LL we've", "x\r\n\r\n y\t\t z  ", "\u0661\u0662 \u00b2 \u2167", "e\u0301 \u0928\u093f", "\U0001f600\U0001f468\u200d\U0001f469", "<|endoftext|>"]
+    for t in texts:
+        assert encode(t) == np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t[:50]
+
+
+def test_other_tokenizer_files():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encode = P.Encoder(path)
+    assert encode.fast is None
+    assert encode("Hello wide world") == np.array(Tokenizer.from_file(path).encode("Hello wide world", add_special_tokens=False).ids, "<u4").tobytes()
