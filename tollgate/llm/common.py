@@ -104,7 +104,9 @@ def components(edges: DataFrame, name: str, watch: Callable[[int], None] | None
         step += 1
         e = cur.df
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # Written, so that the join can be split at a node with very many edges.
+        least = Written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), f"{name}-m{step}")
+        least, least_files = least.df, least
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Every node keeps a link to its smallest neighbour, itself excluded.
         large = Written(star(large.unionByName(least.select("a", F.col("m").alias("b")))), f"{name}-l{step}")
@@ -113,8 +115,8 @@ def components(edges: DataFrame, name: str, watch: Callable[[int], None] | None
         small = e.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         nxt = Written(star(small.unionByName(low.select("a", F.col("m").alias("b")))), f"{name}-s{step}")
         now = mark(nxt.df)
-        large.drop()
-        cur.drop()
+        for t in (large, cur, least_files):
+            t.drop()
         cur = nxt
         if watch:
             watch(step)

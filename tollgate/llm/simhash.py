@@ -184,7 +184,7 @@ def links(fps: DataFrame, radius: int = 2, tree: int = TREE) -> DataFrame:
     pairs = [(x, y) for x in range(4) for y in range(x)]
     shards = F.array(*(F.lit(k << 32) + block[x] * 65536 + block[y] for k, (x, y) in enumerate(pairs)))
     members = fps.select("fp", F.explode(shards).alias("shard"))
-    sizes = members.groupBy("shard").agg(F.count("*").alias("n")).filter("n > 1")
+    sizes = Written(members.groupBy("shard").agg(F.count("*").alias("n")).filter("n > 1"), "shards").df
     cuts = F.ceil(F.col("n") / tree).cast("int")
     rows = (
         members.join(sizes, "shard")
@@ -218,7 +218,9 @@ def group_fingerprints(fps: DataFrame, radius: int, tree: int = TREE) -> DataFra
     linked = comp.join(fps, comp.node == fps.fp).select("fp", "root", "least")
     whole = linked.groupBy("root").agg(F.min("least").alias("whole"))
     linked = linked.join(whole, "root").select("fp", "whole")
-    return fps.join(linked, "fp", "left").select("fp", F.coalesce("whole", "least").alias("least"))
+    groups = fps.join(linked, "fp", "left").select("fp", F.coalesce("whole", "least").alias("least"))
+    # Written, so that a join of all rows with it can be split at hot fingerprints.
+    return Written(groups, "groups").df
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,

@@ -243,19 +243,21 @@ def repeated_bytes(texts: DataFrame, length: int, gram: int, piece: int, group:
     """From rows (digest, doc_id, t): (digest, spans) for every text with bytes
     to remove; ``spans`` is an array of (begin, end), which may overlap."""
     raw = Written(texts.filter(F.length("t") >= length).mapInArrow(find_spans(length, gram), SPANS), "spans")
-    shared = raw.df.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    # A join side that is itself an aggregate is written first: with an exchange
+    # right below both sides, adaptive execution can split hot keys.
+    shared = Written(raw.df.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "shared-grams").df
     kept = Written(raw.df.join(shared, "gram", "left_semi"), "shared-spans")
     raw.drop()
     key = ["gram", "span"]
     first = F.min(F.struct("digest", "doc_id", "a", "lo", "hi")).alias("rep")
     spans = Written(kept.df.groupBy(*key).agg(F.count("*").alias("n"), first), "distinct-spans").df
-    several = spans.groupBy("gram").agg(F.count("*").alias("k")).filter("k > 1").select("gram")
+    several = Written(spans.groupBy("gram").agg(F.count("*").alias("k")).filter("k > 1").select("gram"), "mixed-grams").df
     mixed = spans.join(several, "gram", "left_semi")
     by_text = mixed.groupBy(F.col("rep.digest").alias("d"), F.col("rep.doc_id").alias("i")).agg(
         F.collect_list(F.struct("gram", "span", "rep.a", "rep.lo", "rep.hi")).alias("spans"))
     fetched = texts.join(by_text, (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("i"))).select("t", "spans")
     pieces = Written(fetched.mapInArrow(cut_pieces(length, piece), PIECES), "pieces").df
-    sizes = pieces.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1")
+    sizes = Written(pieces.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1"), "cores").df
     grouped = pieces.join(sizes, "core")
     dealt = grouped.filter(F.col("n") <= group).drop("n").repartition("core").sortWithinPartitions("core")
     ranges = dealt.mapInArrow(merge_pieces(piece, unit, shard), RANGES)
@@ -264,6 +266,7 @@ def repeated_bytes(texts: DataFrame, length: int, gram: int, piece: int, group:
     single = windows.join(common, "window", "left_semi").select("gram", "span", "near", F.col("near").alias("far"))
     whole = spans.filter("n > 1").select("gram", "span", F.lit(0).alias("near"), F.lit(length).alias("far"))
     found = whole.unionByName(ranges).unionByName(single).groupBy(*key).agg(F.collect_list(F.struct("near", "far")).alias("ranges"))
+    found = Written(found, "ranges").df
     placed = kept.df.join(found, key).select("digest", "a", "lo", "hi", F.explode("ranges").alias("r")).select(
         "digest",
         (F.col("a") - F.least("r.far", F.col("a") - F.col("lo"))).alias("begin"),
