@@ -27,7 +27,7 @@ def test_held_out(spark):
 def test_normal_equations_and_isotonic(spark):
     rng = np.random.default_rng(2)
     x, y = rng.normal(size=(200, len(Q.STATISTICS))), rng.integers(0, 2, 200).astype(float)
-    df = spark.createDataFrame([(r.tolist(), v) for r, v in zip(x, y)], "x array<double>, y double").repartition(3)
+    df = spark.createDataFrame([(r.tolist(), float(v)) for r, v in zip(x, y)], "x array<double>, y double").repartition(3)
     f = Q.Fourier(np.zeros(len(Q.STATISTICS)), np.ones(len(Q.STATISTICS)), 16, 2.0, 1)
     a, b = Q.normal_equations(df, f)
     z = f(x)
