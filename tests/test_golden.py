@@ -10,6 +10,7 @@ from tollgate.sources.rules import rules_table
 
 WITH_BALANCE = T.StructType(TRANSFER.fields + [T.StructField("balance", T.DoubleType())])
 
+# The ledger rows and the sample requests must equal the documented examples.
 LEDGER_ROWS = [
     ("foo", "a", "b", "coro", None, 10.00, 1234567890),
     ("abcdef", "a", "b", "coro", None, 3.00, 1234567890),
@@ -172,7 +173,7 @@ def test_sample_json_lines(spark, tmp_path):
         '{    "id": "foo",    "fromId": "me",    "toId": "you",    "poolId": "coro", "poolType": "easy", "amount": 12.34,   "timestamp": 1620050945000}\n'
         '{    "id": "bar",    "fromId": "you",    "toId": "me",    "poolId": "coro", "poolType": "easy", "amount": 12.35,   "timestamp": 1620050945001}\n'
     )
-    rows = read_transfers_file(spark, str(p)).orderBy("timestamp").collect()
+    rows = read_transfers_file(spark, str(p))[0].orderBy("timestamp").collect()
     assert [(r["id"], r["from_id"], r["amount"]) for r in rows] == [("foo", "me", 12.34), ("bar", "you", 12.35)]
 
 

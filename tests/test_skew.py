@@ -36,7 +36,7 @@ def test_hot_sender_throttle_auto_exact(spark, monkeypatch):
 def test_hot_sender_last_request(spark):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, TRANSFER)
-    got = {r["id"]: r["last_id"] for r in history.last_request(df, bucket_ms=5_000).collect()}
+    got = {r["id"]: r["last_id"] for r in history.last_request(df).collect()}
     expect = {}
     by = {}
     for r in rows:

@@ -1,11 +1,8 @@
-"""Stream = batch, and replay of a micro-batch changes nothing."""
-
-from pyspark.sql import functions as F
+"""Stream = batch; state, totals and topics of the job."""
 
 from tollgate.plans import catalog
 from tollgate.session import work_dir
 from tollgate.sources import events as EV
-from tollgate.sources.rules import rules_table
 from tollgate.streaming import driver as D
 from tollgate.streaming import queries as SQ
 
@@ -28,62 +25,59 @@ def test_last_request_stream_equals_batch(spark):
     assert rows(s, ["id", "last_id"]) == rows(b, ["id", "last_id"])
 
 
-def test_pipeline_batch_replay_is_idempotent(spark):
-    out, st, led = work_dir(spark, "t-out"), work_dir(spark, "t-state"), work_dir(spark, "t-ledger")
-    EV.ledger(spark, SF).write.mode("overwrite").parquet(led)
-    reqs = EV.requests(spark, SF)
-    day1 = reqs.filter(F.col("timestamp") < EV.SPLIT_MS + 86_400_000 * 3)
-    day2 = reqs.filter(F.col("timestamp") >= EV.SPLIT_MS + 86_400_000 * 3)
-    fn = D.PipelineBatch(led, rules_table(spark), out, st, cooldown_ms=catalog.COOLDOWN_MS)
-    fn(day1, 0)
-    fn(day2, 1)
-    first = rows(spark.read.parquet(f"{out}/outcomes"), ["id", "error"])
-    fn(day2, 1)  # replay
-    assert rows(spark.read.parquet(f"{out}/outcomes"), ["id", "error"]) == first
-    assert len(first) == reqs.filter("from_id <> to_id").count()
-
-
 def test_ledger_ingest(spark):
     got = SQ.q_ledger_ingest(spark, SF)
     assert got.count() == EV.transfers(spark, SF).count()
 
 
-def test_pipeline_state_equals_snapshot_semantics(spark):
-    """Micro-batches with carried state == re-running the batch chain on the
-    base ledger plus the ledger rows written by earlier batches."""
-    from tollgate.plans.pipeline import transfer_pipeline
-
-    cd = catalog.COOLDOWN_MS
-    reqs = EV.requests(spark, SF)
-    bounds = [EV.SPLIT_MS, EV.SPLIT_MS + 4 * 86_400_000, EV.SPLIT_MS + 9 * 86_400_000, 2 * EV.SPLIT_MS]
-    parts = [reqs.filter((F.col("timestamp") >= lo) & (F.col("timestamp") < hi)) for lo, hi in zip(bounds, bounds[1:])]
-
-    out, st, led = work_dir(spark, "e-out"), work_dir(spark, "e-state"), work_dir(spark, "e-ledger")
-    EV.ledger(spark, SF).write.mode("overwrite").parquet(led)
-    fn = D.PipelineBatch(led, rules_table(spark), out, st, cooldown_ms=cd)
-    for i, p in enumerate(parts):
-        fn(p, i * 2)  # batch ids may skip
-    streamed = rows(spark.read.parquet(f"{out}/outcomes"), ["id", "error"])
-
-    ledger = EV.ledger(spark, SF)
-    th = lr = None
-    expect = []
-    for p in parts:
-        res = transfer_pipeline(p, ledger, rules_table(spark), cooldown_ms=cd, throttle_seeds=th, last_request_seeds=lr)
-        o = res.outcomes.checkpoint()
-        expect += rows(o, ["id", "error"])
-        bal = o.filter(F.col("error").isNull() | (F.col("error") == "TRANSFER_IN_PROGRESS"))
-        ledger = ledger.unionByName(bal.drop("error")).checkpoint()
-        allowed = o.filter(F.col("error").isNull() | (F.col("error") != "TOO_MANY_REQUESTS"))
-        new_th = allowed.groupBy("from_id").agg(F.max("timestamp").alias("timestamp"))
-        th = new_th if th is None else th.unionByName(new_th).groupBy("from_id").agg(F.max("timestamp").alias("timestamp"))
-        th = th.checkpoint()
-        new_lr = bal.groupBy("from_id").agg(F.max_by(F.struct(F.col("id").alias("last_id"), F.col("timestamp").alias("last_ts")), F.struct("timestamp", "id")).alias("n")).select("from_id", "n.last_id", "n.last_ts")
-        lr = new_lr if lr is None else lr.unionByName(new_lr).groupBy("from_id").agg(F.max_by(F.struct("last_id", "last_ts"), F.col("last_ts")).alias("n")).select("from_id", "n.last_id", "n.last_ts")
-        lr = lr.checkpoint()
-    assert streamed == sorted(expect)
-    errs = {e for _, e in streamed}
-    assert {"TOO_MANY_REQUESTS", "INSUFFICIENT_BALANCE", "TRANSFER_IN_PROGRESS", None} <= errs
+def test_replayed_batch_replaces_its_files(spark):
+    from tollgate.streaming import job as J
+
+    out = work_dir(spark, "t-topic")
+    df = spark.createDataFrame([("k", "v", "t")], "key string, value string, topic string")
+    for batch_id in (0, 1, 1):
+        J._put(df, out, batch_id, "parquet", None)
+    assert spark.read.parquet(out).count() == 2
+
+
+def test_totals_are_sums_of_the_ledger_topic(spark):
+    """Rows that arrive later, from anyone, count; NULL stays apart from 0."""
+    from tollgate.operators.ledger import account_totals
+    from tollgate.schema import TRANSFER
+    from tollgate.streaming import job as J
+
+    src, ck = work_dir(spark, "t-ledger"), work_dir(spark, "t-totals")
+    first = spark.createDataFrame([("1", "a", "b", "coro", "easy", 0.004, 1), ("2", "a", "c", "coro", "easy", 2.5, 2)], TRANSFER)
+    second = spark.createDataFrame([("3", "b", "a", "coro", "easy", 1.25, 3)], TRANSFER)
+    for rows in (first, second):
+        rows.write.mode("append").parquet(src)
+        J.keep_totals(spark.readStream.schema(TRANSFER).parquet(src), ck, {"availableNow": True}).awaitTermination()
+    key = lambda r: r["account"]
+    got = sorted(J.read_totals(spark, ck).collect(), key=key)
+    want = sorted(account_totals(first.unionByName(second)).collect(), key=key)
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_previous_request_is_by_arrival(spark):
+    """A request that comes late is the previous one of what follows it."""
+    from tollgate.schema import TRANSFER
+    from tollgate.streaming.stateful import last_request_with_state
+
+    src, out, ck = (work_dir(spark, n) for n in ("t-arrivals", "t-arrivals-out", "t-arrivals-ck"))
+    for i, t in (("r1", 100), ("r2", 50), ("r3", 200)):
+        spark.createDataFrame([(i, "s", "x", "coro", "easy", 1.0, t)], TRANSFER).write.mode("append").parquet(src)
+        stream = last_request_with_state(spark.readStream.schema(TRANSFER).parquet(src))
+        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination()
+    assert {r["id"]: r["last_id"] for r in spark.read.parquet(out).collect()} == {"r1": None, "r2": "r1", "r3": "r2"}
+
+
+def test_state_may_not_expire_within_the_cooldown(spark):
+    import pytest
+
+    from tollgate.streaming.stateful import throttle_with_state
+
+    with pytest.raises(ValueError):
+        throttle_with_state(EV.transfers(spark, SF), 1000, expire_ms=999)
 
 
 def test_stateful_throttle_stream_equals_batch(spark):

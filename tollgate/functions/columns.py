@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tollgate.schema import MONEY, TRANSFER_JSON_FIELDS
+from tollgate.schema import GREETING, MONEY, TRANSFER_JSON_FIELDS
 
 _MS_PER_DAY = 86_400_000
 
@@ -31,7 +31,7 @@ def event_time(ms: str | Column) -> Column:
 
 
 def money(c: str | Column) -> Column:
-    """Exact two-decimal amount, so that sums do not depend on order."""
+    """Exact decimal amount, so that sums do not depend on order."""
     return col_(c).cast(MONEY)
 
 
@@ -42,7 +42,7 @@ def not_self(from_col: str = "from_id", to_col: str = "to_id") -> Column:
 
 def key_greeting(key: str | Column) -> Column:
     """``"Hi " + key``; a null key gives null."""
-    return F.concat(F.lit("Hi "), col_(key).cast("string"))
+    return F.concat(F.lit(GREETING), col_(key).cast("string"))
 
 
 def transfer_struct_json() -> Column:

@@ -1,12 +1,11 @@
 """Previous request of the same sender (``last_request``).
 
 A plain ``lag`` over ``Window.partitionBy(sender)`` puts a hot sender's whole
-history into one task. Instead rows are windowed per (sender, minute), and
-only the first row of a minute takes its predecessor from a small
-bucket-level table (one row per non-empty minute), windowed per sender. Per
-sender that table is bounded by time span / bucket width, not by the number
-of requests, so a sender holding a third of all rows is still split over
-many tasks (one minute of its requests per window group).
+history into one task. Instead the rows are range-partitioned by (sender, time,
+id) and written once with their range's number; the window runs inside (sender,
+range), and only the first row of a range takes its predecessor from a small
+table of one row per (sender, range). A range holds about as many rows as any
+other, however they fall on senders and minutes.
 """
 
 from __future__ import annotations
@@ -14,8 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_MS = 60_000
-
 
 def last_request(
     df: DataFrame,
@@ -23,7 +20,6 @@ def last_request(
     ts: str = "timestamp",
     id_col: str = "id",
     out_col: str = "last_id",
-    bucket_ms: int = DEFAULT_BUCKET_MS,
     seeds: DataFrame | None = None,
     only: str | None = None,
     ts_out_col: str | None = None,
@@ -35,8 +31,10 @@ def last_request(
     ``only``: name of a boolean column; then only rows where it is true count
     as requests to remember (the others still get the previous one attached).
     ``ts_out_col``: also attach the previous request's timestamp (seeds then
-    need a ``last_ts`` column)."""
-    d = df.withColumn("_lb", F.floor(F.col(ts) / F.lit(int(bucket_ms))).cast("long"))
+    need a ``last_ts`` column). Building the plan runs one job: the rows are
+    checkpointed with their ranges, which must not change between two reads."""
+    dealt = df.repartitionByRange(key, ts, id_col).withColumn("_lb", F.spark_partition_id().cast("long"))
+    d = dealt.checkpoint(eager=True)
     keep = F.lit(True) if only is None else F.col(only)
     # previous request as (ts, id) struct: carries its time along with its id
     cand = F.when(keep, F.struct(F.col(ts).alias("t"), F.col(id_col).alias("i")))
@@ -46,7 +44,7 @@ def last_request(
     )
     d = d.withColumn("_prev_in", F.last("_cand", ignorenulls=True).over(w_in))
 
-    # the struct orders by (ts, id): max is the bucket's last request
+    # the struct orders by (ts, id): max is the range's last request
     per_bucket = d.groupBy(key, "_lb").agg(F.max("_cand").alias("_bucket_last"))
     if seeds is not None:
         seed_ts = F.col("last_ts") if "last_ts" in seeds.columns else F.lit(None).cast(df.schema[ts].dataType)

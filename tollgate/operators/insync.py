@@ -24,8 +24,13 @@ def visible_ids(ledger: DataFrame) -> DataFrame:
 
 
 def _marked(df: DataFrame, ledger_ids: DataFrame, last_col: str) -> DataFrame:
-    ids = ledger_ids.select(F.col("id").alias("_sid"), F.lit(True).alias("_in_ledger"))
-    return df.join(ids, F.col(last_col) == F.col("_sid"), "left").drop("_sid")
+    """Mark rows whose previous id is in the ledger. Ids may repeat: they are
+    made distinct. Rows without a previous id take no part in the join (they
+    would be one hot null key)."""
+    ids = ledger_ids.select(F.col("id").alias("_sid")).distinct().select("_sid", F.lit(True).alias("_in_ledger"))
+    some = df.filter(F.col(last_col).isNotNull()).join(ids, F.col(last_col) == F.col("_sid"), "left").drop("_sid")
+    none = df.filter(F.col(last_col).isNull()).withColumn("_in_ledger", F.lit(None).cast("boolean"))
+    return some.unionByName(none)
 
 
 def _pending_visible(last_ts: str, ts: str, ingest_delay_ms: int | None):

@@ -1,21 +1,9 @@
-"""Join helpers: broadcast only behind a size check, with a shuffle join beyond it."""
+"""Set helpers. Joins carry no broadcast hint: adaptive execution broadcasts a
+side whose size it has seen, and falls back to a sort-merge join otherwise."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Rows a side may have to be broadcast by an explicit hint.
-DEFAULT_BROADCAST_MAX_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows, else leave the
-    join to Spark (sort-merge, or AQE's own runtime broadcast when the
-    materialised side turns out small). The check reads at most
-    ``max_rows + 1`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 def union_distinct(a: DataFrame, b: DataFrame) -> DataFrame:

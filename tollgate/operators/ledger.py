@@ -1,7 +1,7 @@
 """Ledger questions and balances, as set-based aggregates and joins.
 
-All sums run on exact two-decimal money (DECIMAL) and are cast to double at
-the end, so results do not depend on summation order. "Sent" is the sum of
+All sums run on exact decimals that keep the amounts' digits (``MONEY``) and
+are cast to double at the end, so results do not depend on summation order. "Sent" is the sum of
 amounts an account sent, "received" the sum it received; both are NULL (not
 0) for an account without such rows, which keeps "no rows" apart from
 "sum is 0" as SQL does.
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tollgate.functions.columns import money
 from tollgate.operators.joins import union_distinct as _union_distinct
-from tollgate.schema import MONEY
+from tollgate.schema import MONEY, MONEY_TEXT
 
 
 def _none() -> Column:
@@ -133,7 +133,7 @@ def balance_per_account(
     bal = union_sum(-F.col("_a_sent"), F.col("_a_received"))
     return (
         r.withColumn(out_col, bal.cast("double"))
-        .withColumn(f"{out_col}_text", bal.cast("string"))
+        .withColumn(f"{out_col}_text", bal.cast(MONEY_TEXT).cast("string"))
         .drop("_a_sent", "_a_received")
     )
 

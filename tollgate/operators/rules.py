@@ -1,5 +1,6 @@
-"""Per-pool minimum-balance rules: newest rule per pool type, broadcast join,
-strict comparison."""
+"""Per-pool minimum-balance rules: newest rule per pool type, joined to each
+request (adaptive execution broadcasts the one row per pool type where it is
+small), strict comparison."""
 
 from __future__ import annotations
 
@@ -7,22 +8,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.operators.filters import min_balance_predicate, split_flag
-from tollgate.operators.joins import broadcast_if_small
 from tollgate.schema import INSUFFICIENT_BALANCE
 
-# A rules table has one row per pool type after ``rules_latest``; more than
-# this many pool types is not broadcast by hint.
-MAX_BROADCAST_RULES = 10_000
-
 
 def rules_latest(rules: DataFrame, seq_col: str | None = "seq") -> DataFrame:
     """Keyed upsert, last write wins per ``pool_type``. ``seq_col`` orders the
-    writes; without it the rules must already be one row per pool type."""
+    writes and may not be null; without such a column the rules must be one row
+    per pool type. Both are errors otherwise: no order says which rule holds."""
     if seq_col is None or seq_col not in rules.columns:
-        return rules.select("pool_type", "min_balance").dropDuplicates(["pool_type"])
-    return rules.groupBy("pool_type").agg(
-        F.max_by("min_balance", F.col(seq_col)).alias("min_balance")
+        one = rules.groupBy("pool_type").agg(F.count(F.lit(1)).alias("n"), F.first("min_balance").alias("min_balance"))
+        checked = F.when(F.col("n") > 1, F.raise_error(F.concat(F.lit("several rules without an order for pool type "), _name()))).otherwise(F.col("min_balance"))
+        return one.select("pool_type", checked.alias("min_balance"))
+    newest = rules.groupBy("pool_type").agg(
+        F.max_by("min_balance", F.col(seq_col)).alias("min_balance"), F.count_if(F.col(seq_col).isNull()).alias("unordered")
     )
+    checked = F.when(F.col("unordered") > 0, F.raise_error(F.concat(F.lit("a rule without an order for pool type "), _name()))).otherwise(F.col("min_balance"))
+    return newest.select("pool_type", checked.alias("min_balance"))
+
+
+def _name():
+    return F.coalesce(F.col("pool_type"), F.lit("null"))
 
 
 def balance_rule_split(
@@ -41,8 +46,7 @@ def balance_rule_split(
     """
     if on_missing_rule not in ("fail", "refuse"):
         raise ValueError("on_missing_rule must be 'fail' or 'refuse'")
-    latest = broadcast_if_small(rules_latest(rules, seq_col), MAX_BROADCAST_RULES)
-    latest = latest.select(F.col("pool_type").alias("_rule_pool"), F.col("min_balance").alias("_min_balance"))
+    latest = rules_latest(rules, seq_col).select(F.col("pool_type").alias("_rule_pool"), F.col("min_balance").alias("_min_balance"))
     j = df.join(latest, F.col("pool_type") == F.col("_rule_pool"), "left")
     ok = min_balance_predicate(balance_col, "_min_balance")
     if on_missing_rule == "fail":

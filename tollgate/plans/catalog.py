@@ -1,11 +1,12 @@
 """Registered queries and their independent SQL oracles.
 
-Every query reads the driver's tables (``events``) in full: transfers are
-derived from events, the ledger is the part before ``SPLIT_MS`` and the
-requests the part from it on (see ``tollgate.sources.events``). Oracle SQL
-is written for DuckDB against the same parquet files and recomputes each
-result from ``events`` on its own (recursive CTE for the throttle, UNION
-subqueries for the README balances, window ``lag`` for the previous request).
+Every query reads the driver's ``events`` table in full, as transfers (see
+``tollgate.sources.events``). Queries that need a ledger and requests take the
+first half of the time span as the ledger and the rest as requests, split at a
+point that comes from the data. Oracle SQL is written for DuckDB against the
+same parquet files and recomputes each result from ``events`` on its own
+(recursive CTE for the throttle, UNION subqueries for the balances, window
+``lag`` for the previous request).
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tollgate.operators import filters, history, insync, ledger as L, rules as R, throttle as TH
 from tollgate.operators.partitioning import spread
@@ -20,6 +22,7 @@ from tollgate.plans.pipeline import transfer_pipeline
 from tollgate.sinks import ledger_table as LT
 from tollgate.sinks.messages import error_records
 from tollgate.sources import cdc, events as EV, messages as M
+from tollgate.staging.change_events import change_events
 from tollgate.sources.rules import rules_table
 
 # Parameters of the registered queries (the API defaults stay those of the
@@ -36,27 +39,27 @@ Query = Callable[[SparkSession, str], DataFrame]
 # --- queries -----------------------------------------------------------------
 
 def q_not_self_transfer(spark, d):
-    return filters.not_self_transfer(EV.requests(spark, d))
+    return filters.not_self_transfer(EV.transfers(spark, d))
 
 
 def q_sent_by_account(spark, d):
-    return L.sent_by_account(EV.ledger(spark, d))
+    return L.sent_by_account(EV.transfers(spark, d))
 
 
 def q_received_by_account(spark, d):
-    return L.received_by_account(EV.ledger(spark, d))
+    return L.received_by_account(EV.transfers(spark, d))
 
 
 def q_balance_sum(spark, d):
-    return L.balance_sum(EV.ledger(spark, d))
+    return L.balance_sum(EV.transfers(spark, d))
 
 
 def q_volume_union(spark, d):
-    return L.volume_union(EV.ledger(spark, d))
+    return L.volume_union(EV.transfers(spark, d))
 
 
 def q_ledger_count(spark, d):
-    return L.ledger_count(EV.ledger(spark, d))
+    return L.ledger_count(EV.transfers(spark, d))
 
 
 def q_balance_per_request(spark, d):
@@ -72,42 +75,42 @@ def q_balance_cross_account(spark, d):
 
 
 def q_union_distinct(spark, d):
-    return L.signed_account_amounts(EV.ledger(spark, d))
+    return L.signed_account_amounts(EV.transfers(spark, d))
 
 
 def q_ledger_latest_first(spark, d):
-    return L.ledger_latest_first(EV.ledger(spark, d))
+    return L.ledger_latest_first(EV.transfers(spark, d))
 
 
 def q_ledger_latest_n(spark, d):
-    return L.ledger_latest_n(EV.ledger(spark, d), LATEST_N)
+    return L.ledger_latest_n(EV.transfers(spark, d), LATEST_N)
 
 
 def q_ledger_point_lookup(spark, d):
-    return filters.ledger_point_lookup(EV.ledger(spark, d), LOOKUP_ID)
+    return filters.ledger_point_lookup(EV.transfers(spark, d), LOOKUP_ID)
 
 
 def q_throttle(spark, d):
-    t = TH.throttle(EV.requests(spark, d), COOLDOWN_MS)
+    t = TH.throttle(EV.transfers(spark, d), COOLDOWN_MS)
     return t.select("id", "from_id", "timestamp", "allowed")
 
 
 def q_throttle_split(spark, d):
-    return TH.throttle_split(EV.requests(spark, d), COOLDOWN_MS).select("id", "from_id", "timestamp", "error")
+    return TH.throttle_split(EV.transfers(spark, d), COOLDOWN_MS).select("id", "from_id", "timestamp", "error")
 
 
 def q_split_flag(spark, d):
-    t = TH.throttle_split(EV.requests(spark, d), COOLDOWN_MS)
+    t = TH.throttle_split(EV.transfers(spark, d), COOLDOWN_MS)
     return filters.side(t).select("id", "error")
 
 
 def q_error_message(spark, d):
-    t = filters.side(TH.throttle_split(EV.requests(spark, d), COOLDOWN_MS))
+    t = filters.side(TH.throttle_split(EV.transfers(spark, d), COOLDOWN_MS))
     return error_records(t).select("value")
 
 
 def q_last_request(spark, d):
-    return history.last_request(EV.requests(spark, d)).select("id", "from_id", "last_id")
+    return history.last_request(EV.transfers(spark, d)).select("id", "from_id", "last_id")
 
 
 def q_balance_rule_split(spark, d):
@@ -157,7 +160,7 @@ def q_write_errors(spark, d):
 
 
 def q_with_sender_key(spark, d):
-    return filters.with_sender_key(EV.requests(spark, d)).select("id", "key")
+    return filters.with_sender_key(EV.transfers(spark, d)).select("id", "key")
 
 
 def _messages(spark, d):
@@ -165,23 +168,43 @@ def _messages(spark, d):
 
 
 def q_read_transfers_json(spark, d):
-    return M.read_transfers_json(_messages(spark, d))
+    good, _ = M.read_transfers_json(_messages(spark, d))  # q_read_transfers_quarantine has the others
+    return good
+
+
+def _with_malformed(messages):
+    """Messages of which some are cut short and some have text as the amount."""
+    n = F.col("offset") % 10
+    cut_short = F.substring("value", 1, 30)
+    wrong = F.regexp_replace("value", '"amount":[^,]*,', '"amount":"abc",')
+    return messages.withColumn("value", F.when(n == 3, cut_short).when(n == 7, wrong).otherwise(F.col("value")))
+
+
+def q_read_transfers_quarantine(spark, d):
+    good, bad = M.read_transfers_json(_with_malformed(_messages(spark, d)))
+    return good.select("id", F.lit(None).cast("string").alias("malformed")).unionByName(
+        bad.select(F.lit(None).cast("string").alias("id"), F.col(M.CORRUPT_COL).alias("malformed")))
+
+
+def q_balance_sum_fine(spark, d):
+    """Amounts far below a cent: none is rounded away."""
+    return L.balance_sum(EV.transfers(spark, d).withColumn("amount", F.col("amount") / 1000))
 
 
 def q_read_keyed_transfers(spark, d):
-    return M.read_keyed_transfers(_messages(spark, d))
+    return M.read_keyed_transfers(_messages(spark, d))[0]
 
 
 def q_key_greeting(spark, d):
-    return M.read_keyed_transfers(_messages(spark, d)).select("id", "greeting")
+    return M.read_keyed_transfers(_messages(spark, d))[0].select("id", "greeting")
 
 
 def q_cdc_parse(spark, d):
-    return cdc.cdc_parse(cdc.change_events(spread(EV.transfers(spark, d))))
+    return cdc.cdc_parse(change_events(spread(EV.transfers(spark, d))))
 
 
 def q_cdc_current_state(spark, d):
-    return cdc.cdc_current_state(cdc.cdc_parse(cdc.change_events(spread(EV.transfers(spark, d)))))
+    return cdc.cdc_current_state(cdc.cdc_parse(change_events(spread(EV.transfers(spark, d)))))
 
 
 def q_read_transfers_file(spark, d):
@@ -189,7 +212,7 @@ def q_read_transfers_file(spark, d):
 
     path = work_dir(spark, "requests-json")
     EV.transfers(spark, d).select(M.transfer_json().alias("value")).write.mode("overwrite").text(path)
-    return M.read_transfers_file(spark, path)
+    return M.read_transfers_file(spark, path)[0]
 
 
 def q_ledger_table(spark, d):
@@ -199,15 +222,15 @@ def q_ledger_table(spark, d):
 
     name = f"ledger_{uuid.uuid4().hex[:10]}"
     LT.create_ledger(spark, name, work_dir(spark, "ledger-table"))
-    LT.insert_ledger(spark, name, EV.ledger(spark, d))
+    LT.insert_ledger(spark, name, EV.transfers(spark, d))
     return LT.read_ledger(spark, name)
 
 
 def _streaming_queries() -> dict[str, Query]:
     from tollgate.streaming import queries as SQ
 
-    names = ("ledger_ingest", "throttle_stream", "throttle_stateful_stream", "last_request_stream",
-             "last_request_stateful_stream", "transfer_pipeline_stream")
+    names = ("ledger_ingest", "ledger_ingest_quarantine", "throttle_stream", "throttle_stateful_stream", "last_request_stream",
+             "last_request_stateful_stream", "transfer_pipeline_stream", "rules_latest_stream")
     return {n: getattr(SQ, f"q_{n}") for n in names if hasattr(SQ, f"q_{n}")}
 
 
@@ -240,6 +263,8 @@ def queries() -> dict[str, Query]:
         "write_errors": q_write_errors,
         "with_sender_key": q_with_sender_key,
         "read_transfers_json": q_read_transfers_json,
+        "read_transfers_quarantine": q_read_transfers_quarantine,
+        "balance_sum_fine": q_balance_sum_fine,
         "read_keyed_transfers": q_read_keyed_transfers,
         "key_greeting": q_key_greeting,
         "read_transfers_file": q_read_transfers_file,
@@ -253,6 +278,9 @@ def queries() -> dict[str, Query]:
 
 # --- oracle SQL (DuckDB) -----------------------------------------------------------
 
+# Through text: the shortest digits of the double, as the decimals are made in Spark.
+_MONEY = "CAST(CAST(amount AS VARCHAR) AS DECIMAL(28,15))"
+
 _BASE = """
 WITH RECURSIVE transfers AS (
   SELECT CAST(event_id AS VARCHAR) AS id,
@@ -266,12 +294,15 @@ WITH RECURSIVE transfers AS (
          epoch_us(ts) // 1000 AS "timestamp"
   FROM events
 ),
-ledger AS (SELECT * FROM transfers WHERE "timestamp" < 1705320000000),
-requests AS (SELECT * FROM transfers WHERE "timestamp" >= 1705320000000),
-s AS (SELECT from_id AS account, sum(CAST(amount AS DECIMAL(18,2))) AS sent FROM ledger GROUP BY from_id),
-r AS (SELECT to_id AS account, sum(CAST(amount AS DECIMAL(18,2))) AS received FROM ledger GROUP BY to_id),
+cut AS (SELECT (min("timestamp") + max("timestamp")) // 2 AS ms FROM transfers),
+ledger AS (SELECT * FROM transfers WHERE "timestamp" < (SELECT ms FROM cut)),
+requests AS (SELECT * FROM transfers WHERE "timestamp" >= (SELECT ms FROM cut)),
+s AS (SELECT from_id AS account, sum({money}) AS sent FROM ledger GROUP BY from_id),
+r AS (SELECT to_id AS account, sum({money}) AS received FROM ledger GROUP BY to_id),
+sa AS (SELECT from_id AS account, sum({money}) AS sent FROM transfers GROUP BY from_id),
+ra AS (SELECT to_id AS account, sum({money}) AS received FROM transfers GROUP BY to_id),
 rules(pool_type, min_balance) AS (VALUES ('easy', -40.0::DOUBLE), ('medium', 0.0::DOUBLE), ('hard', 40.0::DOUBLE))
-"""
+""".replace("{money}", _MONEY)
 
 
 def _throttle_ctes(src: str, cooldown_ms: int) -> str:
@@ -311,6 +342,9 @@ sy AS (
   FROM lr l
 )""".replace("{delay}", str(INGEST_DELAY_MS))
 
+_OWN_ROWS = f"""
+        UNION ALL SELECT id, "timestamp" + {INGEST_DELAY_MS} FROM balanced"""
+
 _PIPE = (
     _BASE.replace("requests AS (", "requests0 AS (")
     + """,
@@ -359,14 +393,15 @@ _JSON = (
 
 _CDC = """,
 ev AS (
-  SELECT 'c' AS op, "timestamp" AS ts_ms, CAST(id AS BIGINT) * 4 AS lsn, 'transfers' AS "table",
-         id, from_id, to_id, pool_id, amount, "timestamp" FROM transfers
+  SELECT CASE WHEN CAST(id AS BIGINT) % 5 = 0 THEN 'r' ELSE 'c' END AS op, "timestamp" AS ts_ms,
+         CASE WHEN CAST(id AS BIGINT) % 10 <> 0 THEN CAST(id AS BIGINT) * 4 END AS lsn, 'transfers' AS "table",
+         id, from_id, to_id, pool_id, round(amount, 2) AS amount, "timestamp" FROM transfers
   UNION ALL
   SELECT 'u', "timestamp" + 1000, CAST(id AS BIGINT) * 4 + 1, 'transfers',
-         id, from_id, to_id, pool_id, amount * 2, "timestamp" FROM transfers WHERE pool_type = 'medium'
+         id, from_id, to_id, pool_id, round(amount * 2, 2), "timestamp" FROM transfers WHERE pool_type = 'medium'
   UNION ALL
   SELECT 'd', "timestamp" + 2000, CAST(id AS BIGINT) * 4 + 2, 'transfers',
-         id, from_id, to_id, pool_id, amount, "timestamp" FROM transfers WHERE pool_type = 'hard'
+         id, from_id, to_id, pool_id, round(amount, 2), "timestamp" FROM transfers WHERE pool_type = 'hard'
 )
 """
 
@@ -374,46 +409,46 @@ ev AS (
 def oracle_sql() -> dict[str, str]:
     b = _BASE
     o = {
-        "not_self_transfer": b + "SELECT * FROM requests WHERE from_id <> to_id",
-        "sent_by_account": b + "SELECT account, CAST(-sent AS DOUBLE) AS credit FROM s",
-        "received_by_account": b + "SELECT account, CAST(received AS DOUBLE) AS debit FROM r",
+        "not_self_transfer": b + "SELECT * FROM transfers WHERE from_id <> to_id",
+        "sent_by_account": b + "SELECT account, CAST(-sent AS DOUBLE) AS credit FROM sa",
+        "received_by_account": b + "SELECT account, CAST(received AS DOUBLE) AS debit FROM ra",
         "balance_sum": b
-        + ", accts AS (SELECT account FROM s UNION SELECT account FROM r)\n"
+        + ", accts AS (SELECT account FROM sa UNION SELECT account FROM ra)\n"
         + f"SELECT a.account, CAST({_union_sum('-s.sent', 'r.received')} AS DOUBLE) AS balance\n"
-        + "FROM accts a LEFT JOIN s ON s.account = a.account LEFT JOIN r ON r.account = a.account",
+        + "FROM accts a LEFT JOIN sa s ON s.account = a.account LEFT JOIN ra r ON r.account = a.account",
         "volume_union": b
-        + ", accts AS (SELECT account FROM s UNION SELECT account FROM r)\n"
+        + ", accts AS (SELECT account FROM sa UNION SELECT account FROM ra)\n"
         + f"SELECT a.account, CAST({_union_sum('s.sent', 'r.received')} AS DOUBLE) AS volume\n"
-        + "FROM accts a LEFT JOIN s ON s.account = a.account LEFT JOIN r ON r.account = a.account",
-        "ledger_count": b + "SELECT count(*) AS n_rows FROM ledger",
+        + "FROM accts a LEFT JOIN sa s ON s.account = a.account LEFT JOIN ra r ON r.account = a.account",
+        "ledger_count": b + "SELECT count(*) AS n_rows FROM transfers",
         "balance_per_request": b
         + "SELECT q.*, CAST(-coalesce(s.sent, 0) + coalesce(r.received, 0) AS DOUBLE) AS balance\n"
         + "FROM requests q LEFT JOIN s ON s.account = q.from_id LEFT JOIN r ON r.account = q.to_id",
         "balance_per_account": b
         + f"SELECT q.*, CAST({_union_sum('-s.sent', 'r.received')} AS DOUBLE) AS balance,\n"
-        + f"       CAST({_union_sum('-s.sent', 'r.received')} AS VARCHAR) AS balance_text\n"
+        + f"       CAST(CAST({_union_sum('-s.sent', 'r.received')} AS DECIMAL(38,2)) AS VARCHAR) AS balance_text\n"
         + "FROM requests q LEFT JOIN s ON s.account = q.from_id LEFT JOIN r ON r.account = q.from_id",
         "balance_cross_account": b
         + f"SELECT q.*, CAST({_union_sum('-s.sent', 'r.received')} AS DOUBLE) AS balance\n"
         + "FROM requests q LEFT JOIN s ON s.account = q.from_id LEFT JOIN r ON r.account = q.to_id",
         "union_distinct": b
         + "SELECT account, CAST(amount AS DOUBLE) AS amount FROM (\n"
-        + "  SELECT from_id AS account, -sum(CAST(amount AS DECIMAL(18,2))) AS amount FROM ledger GROUP BY from_id\n"
+        + "  SELECT from_id AS account, -sum(" + _MONEY + ") AS amount FROM transfers GROUP BY from_id\n"
         + "  UNION\n"
-        + "  SELECT to_id AS account, sum(CAST(amount AS DECIMAL(18,2))) AS amount FROM ledger GROUP BY to_id) x",
-        "ledger_latest_first": b + 'SELECT * FROM ledger ORDER BY "timestamp" DESC, id',
-        "ledger_latest_n": b + f'SELECT * FROM ledger ORDER BY "timestamp" DESC, id LIMIT {LATEST_N}',
-        "ledger_point_lookup": b + f"SELECT * FROM ledger WHERE id = '{LOOKUP_ID}'",
-        "throttle": b + _throttle_ctes("requests", COOLDOWN_MS)
+        + "  SELECT to_id AS account, sum(" + _MONEY + ") AS amount FROM transfers GROUP BY to_id) x",
+        "ledger_latest_first": b + 'SELECT * FROM transfers ORDER BY "timestamp" DESC, id',
+        "ledger_latest_n": b + f'SELECT * FROM transfers ORDER BY "timestamp" DESC, id LIMIT {LATEST_N}',
+        "ledger_point_lookup": b + f"SELECT * FROM transfers WHERE id = '{LOOKUP_ID}'",
+        "throttle": b + _throttle_ctes("transfers", COOLDOWN_MS)
         + '\nSELECT id, from_id, "timestamp", allowed FROM thr',
-        "throttle_split": b + _throttle_ctes("requests", COOLDOWN_MS)
+        "throttle_split": b + _throttle_ctes("transfers", COOLDOWN_MS)
         + "\nSELECT id, from_id, \"timestamp\", CASE WHEN allowed THEN NULL ELSE 'TOO_MANY_REQUESTS' END AS error FROM thr",
-        "split_flag": b + _throttle_ctes("requests", COOLDOWN_MS)
+        "split_flag": b + _throttle_ctes("transfers", COOLDOWN_MS)
         + "\nSELECT id, 'TOO_MANY_REQUESTS' AS error FROM thr WHERE NOT allowed",
-        "error_message": b + _throttle_ctes("requests", COOLDOWN_MS)
+        "error_message": b + _throttle_ctes("transfers", COOLDOWN_MS)
         + f"\nSELECT {_TEXT} AS value FROM (SELECT *, 'TOO_MANY_REQUESTS' AS error FROM thr WHERE NOT allowed) e",
         "last_request": b
-        + 'SELECT id, from_id, lag(id) OVER (PARTITION BY from_id ORDER BY "timestamp", id) AS last_id FROM requests',
+        + 'SELECT id, from_id, lag(id) OVER (PARTITION BY from_id ORDER BY "timestamp", id) AS last_id FROM transfers',
         "balance_rule_split": b
         + ", bal AS (SELECT q.*, CAST(-coalesce(s.sent, 0) + coalesce(r.received, 0) AS DOUBLE) AS balance\n"
         + "  FROM requests q LEFT JOIN s ON s.account = q.from_id LEFT JOIN r ON r.account = q.to_id)\n"
@@ -430,23 +465,45 @@ def oracle_sql() -> dict[str, str]:
         "ledger_records": _PIPE + f"SELECT from_id AS key, {_JSON} AS value, 'transfers_4' AS topic FROM balanced",
         "write_errors": _PIPE
         + f"SELECT CAST(NULL AS VARCHAR) AS key, {_TEXT} AS value, 'houston' AS topic FROM outcomes WHERE error IS NOT NULL",
-        "with_sender_key": b + "SELECT id, from_id AS key FROM requests",
+        "with_sender_key": b + "SELECT id, from_id AS key FROM transfers",
         "read_transfers_json": b + "SELECT id, from_id, to_id, pool_id, pool_type, amount, \"timestamp\" FROM transfers",
+        "read_transfers_quarantine": b
+        + "SELECT CASE WHEN CAST(id AS BIGINT) % 10 NOT IN (3, 7) THEN id END AS id,\n"
+        + f"  CASE CAST(id AS BIGINT) % 10 WHEN 3 THEN substr({_JSON}, 1, 30) WHEN 7 THEN regexp_replace({_JSON}, '\"amount\":[^,]*,', '\"amount\":\"abc\",') END AS malformed\n"
+        + "FROM transfers",
+        "balance_sum_fine": b.replace("value AS amount", "value / 1000 AS amount")
+        + ", accts AS (SELECT account FROM sa UNION SELECT account FROM ra)\n"
+        + f"SELECT a.account, CAST({_union_sum('-s.sent', 'r.received')} AS DOUBLE) AS balance\n"
+        + "FROM accts a LEFT JOIN sa s ON s.account = a.account LEFT JOIN ra r ON r.account = a.account",
         "read_keyed_transfers": b
         + "SELECT id, from_id, to_id, pool_id, pool_type, amount, \"timestamp\", 'Hi ' || from_id AS greeting FROM transfers",
         "key_greeting": b + "SELECT id, 'Hi ' || from_id AS greeting FROM transfers",
         "read_transfers_file": b + "SELECT * FROM transfers",
         "cdc_parse": b + _CDC + 'SELECT op, ts_ms, lsn, "table", id, from_id, to_id, pool_id, amount, "timestamp" FROM ev',
         "cdc_current_state": b + _CDC
-        + ", newest AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY lsn DESC) AS rn FROM ev)\n"
+        + ", newest AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY coalesce(lsn, -1) DESC, ts_ms DESC) AS rn FROM ev)\n"
         + 'SELECT id, from_id, to_id, pool_id, amount, "timestamp" FROM newest WHERE rn = 1 AND op <> \'d\'',
         "ledger_table": b
-        + 'SELECT id, from_id, to_id, pool_id, CAST(CAST(amount AS DECIMAL(6,2)) AS DOUBLE) AS amount, "timestamp" FROM ledger',
+        + 'SELECT id, from_id, to_id, pool_id, CAST(CAST(amount AS DECIMAL(6,2)) AS DOUBLE) AS amount, "timestamp" FROM transfers',
         "ledger_ingest": b + "SELECT * FROM transfers",
+        "ledger_ingest_quarantine": None,
         "throttle_stream": None,
         "last_request_stream": None,
     }
+    # The job's ledger stands still: only rows of the base ledger are visible.
+    frozen = _PIPE.replace(_OWN_ROWS, "")
+    records = f"SELECT from_id AS key, {_JSON} AS value, 'transfers_4' AS topic"
+    o["transfer_pipeline_stream"] = (
+        frozen + records + " FROM balanced\nUNION ALL " + records + " FROM outcomes WHERE error IS NULL\n"
+        + f"UNION ALL SELECT CAST(NULL AS VARCHAR), {_TEXT}, 'houston' FROM outcomes WHERE error IS NOT NULL"
+    )
+    # Four day files a micro-batch; the third has new rules.
+    o["rules_latest_stream"] = (
+        _PIPE + ", days AS (SELECT d, row_number() OVER (ORDER BY d) AS n FROM (SELECT DISTINCT \"timestamp\" // 86400000 AS d FROM requests0))\n"
+        + records + " FROM thr JOIN days ON d = \"timestamp\" // 86400000 JOIN rules ru USING (pool_type) WHERE allowed AND n <= 8 AND 0.0 > ru.min_balance"
+    )
     o["throttle_stream"] = o["throttle"]
+    o["ledger_ingest_quarantine"] = o["read_transfers_quarantine"]
     o["throttle_stateful_stream"] = o["throttle"]
     o["last_request_stream"] = o["last_request"]
     o["last_request_stateful_stream"] = o["last_request"]

@@ -3,9 +3,12 @@
 not-self filter -> throttle -> balance -> pool rule -> previous request ->
 in-sync -> outputs.
 
-Every stage adds columns to the same rows and routes by a nullable
-``error`` column, so the chain is a single Catalyst plan. A streaming job
-calls the same function once per micro-batch (``tollgate.streaming``).
+Rows leave the chain where they are refused: each stage works only on what the
+stage before let through, and the outcomes are the union of the refused rows of
+every stage and the rest. What two later parts read is written once to the
+shared checkpoint folder, so no stage runs twice; building the plan therefore
+runs the stages up to the last of them. A streaming job calls the same function
+once per micro-batch (``tollgate.streaming``).
 """
 
 from __future__ import annotations
@@ -23,7 +26,6 @@ from tollgate.operators.rules import balance_rule_split
 from tollgate.operators.throttle import throttle
 from tollgate.schema import (
     DEFAULT_COOLDOWN_MS,
-    INSUFFICIENT_BALANCE,
     TOO_MANY_REQUESTS,
     TRANSFER_COLUMNS,
     TRANSFER_IN_PROGRESS,
@@ -75,36 +77,26 @@ def transfer_pipeline(
     cols = list(TRANSFER_COLUMNS)
     reqs = not_self_transfer(requests.select(*cols))
 
-    # One linear flow: each stage only adds a flag to the same rows, so the
-    # plan holds every stage once (no union of per-stage side outputs).
-    throttled = throttle(reqs, cooldown_ms, seeds=throttle_seeds)
+    throttled = throttle(reqs, cooldown_ms, seeds=throttle_seeds).checkpoint(eager=True)
+    allowed = throttled.filter("allowed").drop("allowed")
 
     if balance_mode == "wired":
-        with_bal = balance_per_request(throttled, ledger, totals=totals)
+        with_bal = balance_per_request(allowed, ledger, totals=totals)
     else:
-        with_bal = balance_per_account(throttled, ledger, totals=totals).drop("balance_text")
-    ruled = balance_rule_split(
-        with_bal, rules, on_missing_rule=on_missing_rule, seq_col=rules_seq_col, error_col="_rule_error"
-    )
-    ruled = ruled.select(*cols, "allowed", (F.col("allowed") & F.col("_rule_error").isNull()).alias("_balanced"))
-    # The previous-request step reads its input twice (rows and a per-bucket
-    # summary); write the rows once to the shared checkpoint folder so the
-    # throttle and balance stages are not run twice.
-    ruled = ruled.checkpoint(eager=True)
+        with_bal = balance_per_account(allowed, ledger, totals=totals).drop("balance_text")
+    ruled = balance_rule_split(with_bal, rules, on_missing_rule=on_missing_rule, seq_col=rules_seq_col)
+    ruled = ruled.select(*cols, "error").checkpoint(eager=True)
+    balanced = ruled.filter(F.col("error").isNull()).select(*cols)
 
-    with_last = last_request(ruled, seeds=last_request_seeds, only="_balanced", ts_out_col="last_ts")
+    with_last = last_request(balanced, seeds=last_request_seeds, ts_out_col="last_ts")
     ids = ledger_ids if ledger_ids is not None else visible_ids(ledger)
     synced = ledger_in_sync(with_last, ids, ingest_delay_ms=ingest_delay_ms)
+    late = F.when(~F.col("in_sync"), F.lit(TRANSFER_IN_PROGRESS)).alias("error")
 
-    error = (
-        F.when(~F.col("allowed"), F.lit(TOO_MANY_REQUESTS))
-        .when(~F.col("_balanced"), F.lit(INSUFFICIENT_BALANCE))
-        .when(~F.col("in_sync"), F.lit(TRANSFER_IN_PROGRESS))
-    )
-    flowed = synced.select(*cols, "_balanced", error.alias("error"))
-    outcomes = flowed.select(*cols, "error")
-    balanced = flowed.filter(F.col("_balanced")).select(*cols)
-    in_sync = flowed.filter(F.col("error").isNull()).select(*cols)
+    refused = throttled.filter(~F.col("allowed")).select(*cols, F.lit(TOO_MANY_REQUESTS).alias("error"))
+    poor = ruled.filter(F.col("error").isNotNull())
+    outcomes = refused.unionByName(poor).unionByName(synced.select(*cols, late))
+    in_sync = synced.filter("in_sync").select(*cols)
     errors = outcomes.filter(F.col("error").isNotNull())
     to_ledger = balanced if ledger_from == "balanced" else in_sync
     return PipelineResult(

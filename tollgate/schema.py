@@ -26,6 +26,20 @@ TOPIC_ERRORS = "houston"
 
 # Default pool id of generated transfers.
 DEFAULT_POOL_ID = "coro"
+
+# What a keyed read puts before the message key.
+GREETING = "Hi "
+
+# JSON field names of a request, in wire order (camelCase on the wire), with ours.
+TRANSFER_JSON_FIELDS = (
+    ("id", "id"),
+    ("fromId", "from_id"),
+    ("toId", "to_id"),
+    ("poolId", "pool_id"),
+    ("poolType", "pool_type"),
+    ("amount", "amount"),
+    ("timestamp", "timestamp"),
+)
 # --- end of fixed values ------------------------------------------------------
 
 # Internal column order of a transfer request / ledger row.
@@ -43,17 +57,6 @@ TRANSFER = T.StructType(
     ]
 )
 
-# JSON field names of a request, in wire order (camelCase on the wire).
-TRANSFER_JSON_FIELDS = (
-    ("id", "id"),
-    ("fromId", "from_id"),
-    ("toId", "to_id"),
-    ("poolId", "pool_id"),
-    ("poolType", "pool_type"),
-    ("amount", "amount"),
-    ("timestamp", "timestamp"),
-)
-
 TRANSFER_JSON = T.StructType(
     [T.StructField(wire, TRANSFER[col].dataType) for wire, col in TRANSFER_JSON_FIELDS]
 )
@@ -84,8 +87,11 @@ LEDGER_TABLE_DDL = (
     "pool_id STRING NOT NULL, amount DECIMAL(6,2) NOT NULL, `timestamp` BIGINT NOT NULL"
 )
 
-# Exact money type used for every sum (amounts carry two decimals).
-MONEY = T.DecimalType(18, 2)
+# Exact type of every sum: amounts are doubles, and keep 15 decimals here, so
+# that sums neither round amounts nor depend on order.
+MONEY = T.DecimalType(28, 15)
+# How the text form of a balance is written.
+MONEY_TEXT = T.DecimalType(38, 2)
 
 # Change event: row image of the relational ledger.
 _ROW_IMAGE = T.StructType(
@@ -94,7 +100,8 @@ _ROW_IMAGE = T.StructType(
         T.StructField("_from", T.StringType()),
         T.StructField("_to", T.StringType()),
         T.StructField("pool_id", T.StringType()),
-        T.StructField("amount", T.DoubleType()),
+        # a number, or text: see sources.cdc.decimal_of
+        T.StructField("amount", T.VariantType()),
         T.StructField("timestamp", T.LongType()),
     ]
 )

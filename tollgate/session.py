@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -48,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tollgate-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -58,8 +59,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
     staged message files, streaming checkpoints and state)."""
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/tollgate/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif path.startswith("/"):
-        os.makedirs(path, exist_ok=True)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(where)
     return path
+
+
+def clean_work(spark: SparkSession) -> None:
+    """Delete all work folders of this session; once no result is read any more."""
+    base = spark.sparkContext.getCheckpointDir()
+    if base:
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/tollgate")
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -50,9 +50,14 @@ def write_ledger(df: DataFrame, target: str, fmt: str = "parquet", options: dict
     write_messages(ledger_records(df), target, fmt, options)
 
 
-def print_sink(df: DataFrame, order_by: str | None = "offset", n: int = 20) -> None:
-    """Print rows (debugging). Ordered output goes through one task only when
-    asked for, as the reference's parallelism-1 print did."""
+def print_sink(df: DataFrame, order_by: str | None = "offset", trigger: dict | None = None):
+    """Print every row (debugging), in the order of ``order_by`` if there is such
+    a column. Rows come to the driver one partition at a time, none is left
+    out. A stream prints each micro-batch so; its query is returned."""
+    if df.isStreaming:
+        body = df.writeStream.foreachBatch(lambda batch, _: print_sink(batch, order_by))
+        return body.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
     if order_by and order_by in df.columns:
-        df = df.coalesce(1).sortWithinPartitions(order_by)
-    df.show(n, truncate=False)
+        df = df.orderBy(order_by)
+    for row in df.toLocalIterator():
+        print(*row, sep="\t", flush=True)

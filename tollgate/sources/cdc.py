@@ -7,7 +7,7 @@ as ``{"schema": ..., "payload": {...}}``. ``cdc_parse`` flattens them;
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.schema import CHANGE_MESSAGE
@@ -15,66 +15,53 @@ from tollgate.schema import CHANGE_MESSAGE
 ROW_COLUMNS = (("id", "id"), ("_from", "from_id"), ("_to", "to_id"), ("pool_id", "pool_id"), ("amount", "amount"), ("timestamp", "timestamp"))
 
 
-def cdc_parse(events: DataFrame, value_col: str = "value") -> DataFrame:
+def cdc_parse(events: DataFrame, value_col: str = "value", scale: int = 2) -> DataFrame:
     """JSON change events -> ``op, ts_ms, lsn, table`` and the row image
     (``after`` for create/update/read, ``before`` for delete) in our column
-    names. Accepts the envelope bare or under ``payload``."""
+    names. Accepts the envelope bare or under ``payload``. ``scale``: decimals
+    of the amount column, for amounts sent as unscaled base64."""
     m = F.from_json(F.col(value_col).cast("string"), CHANGE_MESSAGE)
     e = events.select(m.alias("_m"))
     env = F.when(F.col("_m.payload").isNotNull(), F.col("_m.payload")).otherwise(
         F.struct(*[F.col(f"_m.{f}").alias(f) for f in ("op", "ts_ms", "source", "before", "after")])
     )
     e = e.select(env.alias("_e"))
+    # A delete has its row under ``before``; a truncated or unknown event has neither.
     image = F.when(F.col("_e.op") == "d", F.col("_e.before")).otherwise(F.col("_e.after"))
+    e = e.filter(F.col("_e.op").isNotNull())  # tombstones (null values) end a key and carry no row
     return e.select(
         F.col("_e.op").alias("op"),
         F.col("_e.ts_ms").alias("ts_ms"),
         F.col("_e.source.lsn").alias("lsn"),
         F.col("_e.source.table").alias("table"),
-        *[image[src].alias(dst) for src, dst in ROW_COLUMNS],
+        *[(decimal_of(image[src], scale) if dst == "amount" else image[src]).alias(dst) for src, dst in ROW_COLUMNS],
+    )
+
+
+def decimal_of(amount: Column, scale: int) -> Column:
+    """An amount as emitted: a JSON number, a number in text (with a decimal
+    point), or, the connector's default for decimals, text that is the base64 of
+    the unscaled value's big-endian two's complement bytes (up to eight)."""
+    text = F.when(F.schema_of_variant(amount) == "STRING", F.variant_get(amount, "$", "string"))
+    digits = F.hex(F.unbase64(F.when(~text.contains("."), text)))
+    unsigned = F.conv(digits, 16, 10).cast("decimal(20,0)")
+    negative = F.conv(F.substring(digits, 1, 1), 16, 10).cast("int") >= 8
+    wrap = F.pow(F.lit(2.0), (F.length(digits) * 4).cast("double")).cast("decimal(20,0)")
+    signed = F.when(negative, unsigned - wrap).otherwise(unsigned)
+    return (
+        F.when(text.isNull(), F.try_variant_get(amount, "$", "double"))
+        .when(text.contains("."), F.try_variant_get(amount, "$", "double"))
+        .otherwise(signed.cast("double") / F.lit(10.0**scale))
     )
 
 
 def cdc_current_state(parsed: DataFrame) -> DataFrame:
-    """Newest event per id by log position (not by time alone); deleted ids
-    removed. Partial aggregation per id, so a hot id is no hot task."""
+    """Newest event per id by log position, then by time; events without a
+    position come before those with one. Deleted ids are removed. Partial
+    aggregation per id, so a hot id is no hot task."""
     cols = [dst for _, dst in ROW_COLUMNS]
+    order = F.struct(F.coalesce("lsn", F.lit(-1)), F.coalesce("ts_ms", F.lit(-1)))
     newest = parsed.groupBy("id").agg(
-        F.max_by(F.struct("op", *[c for c in cols if c != "id"]), F.col("lsn")).alias("_n")
+        F.max_by(F.struct("op", *[c for c in cols if c != "id"]), order).alias("_n")
     )
     return newest.filter(F.col("_n.op") != "d").select("id", *[F.col(f"_n.{c}").alias(c) for c in cols if c != "id"])
-
-
-def change_events(transfers: DataFrame, table: str = "transfers") -> DataFrame:
-    """Change-event JSON derived from transfers, as a database would emit for
-    them: a create per row, an update doubling the amount of every
-    ``medium`` pool row, a delete of every ``hard`` pool row. Every second
-    event (even id) is wrapped under ``payload``. Column ``value``."""
-    img = F.struct(
-        F.col("id"), F.col("from_id").alias("_from"), F.col("to_id").alias("_to"), F.col("pool_id"),
-        F.col("amount"), F.col("timestamp"),
-    )
-    upd = F.struct(
-        F.col("id"), F.col("from_id").alias("_from"), F.col("to_id").alias("_to"), F.col("pool_id"),
-        (F.col("amount") * 2).alias("amount"), F.col("timestamp"),
-    )
-    nul = F.lit(None).cast(transfers.select(img.alias("x")).schema["x"].dataType)
-    seq = F.col("id").cast("long") * 4
-
-    def env(op, ts_ms, lsn, before, after):
-        return F.struct(
-            F.lit(op).alias("op"), ts_ms.alias("ts_ms"),
-            F.struct(lsn.alias("lsn"), F.lit(table).alias("table")).alias("source"),
-            before.alias("before"), after.alias("after"),
-        )
-
-    # one scan: every row yields its create, plus an update or a delete
-    kinds = F.array(
-        env("c", F.col("timestamp"), seq, nul, img),
-        F.when(F.col("pool_type") == "medium", env("u", F.col("timestamp") + 1000, seq + 1, img, upd)),
-        F.when(F.col("pool_type") == "hard", env("d", F.col("timestamp") + 2000, seq + 2, img, nul)),
-    )
-    allev = transfers.select(F.col("id"), F.explode(kinds).alias("_e")).filter(F.col("_e").isNotNull())
-    wrapped = F.to_json(F.struct(F.struct(F.lit("struct").alias("type")).alias("schema"), F.col("_e").alias("payload")))
-    bare = F.to_json(F.col("_e"))
-    return allev.select(F.when(F.col("id").cast("long") % 2 == 0, wrapped).otherwise(bare).alias("value"))

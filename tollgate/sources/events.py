@@ -8,7 +8,8 @@ Mapping (stable across scale factors):
   pool_type = click/view -> easy, purchase/signup -> medium, error -> hard
   amount    = value
   timestamp = epoch ms of ts
-Ledger = rows before SPLIT_MS, requests = rows from SPLIT_MS on.
+Where a query needs both sides, the ledger is the first half of the events'
+time span and the requests are the rest; the split point comes from the data.
 """
 
 from __future__ import annotations
@@ -19,14 +20,6 @@ from pyspark.sql import functions as F
 from tollgate.functions.columns import epoch_ms_ntz
 from tollgate.schema import DEFAULT_POOL_ID
 
-# Middle of the events' time range: 2024-01-15T12:00:00Z.
-SPLIT_MS = 1_705_320_000_000
-SPLIT_TS_TEXT = "2024-01-15 12:00:00"
-
-
-def split_ts():
-    return F.lit(SPLIT_TS_TEXT).cast("timestamp_ntz")
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -62,11 +55,27 @@ def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transfers_from_events(read_table(spark, sf_dir, "events"))
 
 
+def split_ms(spark: SparkSession, sf_dir: str) -> int:
+    """Epoch ms halfway between the first and the last event (one small
+    aggregate; 0 for an empty table)."""
+    ts = epoch_ms_ntz("ts")
+    r = read_table(spark, sf_dir, "events").agg(F.min(ts).alias("a"), F.max(ts).alias("b")).first()
+    return 0 if r.a is None else (r.a + r.b) // 2
+
+
+def _at(ms: int):
+    """The wall clock of an epoch ms, as a literal that reaches the scan."""
+    from datetime import datetime, timedelta
+
+    return F.lit(str(datetime(1970, 1, 1) + timedelta(milliseconds=ms))).cast("timestamp_ntz")
+
+
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # ts < split  <=>  floor(epoch ms) < SPLIT_MS, since SPLIT_MS is whole ms.
-    return transfers_from_events(read_table(spark, sf_dir, "events"), F.col("ts") < split_ts())
+    """The ledger side of a two-sided query: events before the split."""
+    # ts < split  <=>  floor(epoch ms) < split, since the split is whole ms
+    return transfers_from_events(read_table(spark, sf_dir, "events"), F.col("ts") < _at(split_ms(spark, sf_dir)))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transfers_from_events(read_table(spark, sf_dir, "events"), F.col("ts") >= split_ts())
-
+    """The request side of a two-sided query: events from the split on."""
+    return transfers_from_events(read_table(spark, sf_dir, "events"), F.col("ts") >= _at(split_ms(spark, sf_dir)))

@@ -12,16 +12,18 @@ from pyspark.sql import functions as F
 
 def jdbc_read_options(
     url: str,
+    lower_bound: int,
+    upper_bound: int,
     table: str = "transfers",
     partition_column: str = "timestamp",
-    lower_bound: int = 0,
-    upper_bound: int = 2**62,
     num_partitions: int = 5,
     fetch_size: int = 10_000,
     **extra: str,
 ) -> dict:
     """Options for a parallel scan: ``num_partitions`` range queries on the
-    numeric ``partition_column`` (bounds only set the stride; no row is lost)."""
+    numeric ``partition_column``. The bounds only set the stride and no row is
+    lost, but they must be near the column's least and greatest value, or one
+    task reads nearly everything: they have no default."""
     opts = {
         "url": url,
         "dbtable": table,

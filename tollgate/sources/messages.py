@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tollgate.functions.columns import key_greeting, transfer_json
 from tollgate.schema import MESSAGE, TOPIC_TRANSFERS, TRANSFER_JSON, TRANSFER_JSON_FIELDS
@@ -21,11 +22,14 @@ def _from_wire(parsed: str) -> list:
 
 
 def parse_transfers(messages: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """JSON request text -> transfer columns. PERMISSIVE: a malformed value
-    gives NULL fields and keeps its text in ``_corrupt`` (see ``quarantine``)."""
-    parsed = F.from_json(F.col(value_col).cast("string"), TRANSFER_JSON, {"mode": "PERMISSIVE"})
-    out = messages.select(*keep, F.col(value_col).cast("string").alias("_raw"), parsed.alias("_p"))
-    bad = F.col("_p").isNull() | F.col("_p.id").isNull()
+    """JSON request text -> transfer columns. A value that is no JSON, that has
+    a field of another type, or no id, keeps its text in ``_corrupt`` (see
+    ``quarantine``); a null value counts as the empty text."""
+    raw = F.coalesce(F.col(value_col).cast("string"), F.lit(""))
+    schema = T.StructType(TRANSFER_JSON.fields + [T.StructField("_bad", T.StringType())])
+    parsed = F.from_json(raw, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    out = messages.select(*keep, raw.alias("_raw"), parsed.alias("_p"))
+    bad = F.col("_p").isNull() | F.col("_p.id").isNull() | F.col("_p._bad").isNotNull()
     return out.select(*keep, *_from_wire("_p"), F.when(bad, F.col("_raw")).alias(CORRUPT_COL))
 
 
@@ -41,17 +45,18 @@ def read_messages(
     source: str,
     fmt: str = "parquet",
     options: dict | None = None,
-    starting_offsets: str = "latest",
+    starting_offsets: str | None = None,
     streaming: bool = False,
 ) -> DataFrame:
     """Message frame from a topic (``fmt="kafka"``, ``source`` = topic name,
     ``options`` with ``kafka.bootstrap.servers`` and the group) or from files
-    under ``source`` with the message columns."""
+    under ``source`` with the message columns. A topic is read from its latest
+    offsets as a stream and from the earliest in a batch, unless given."""
     opts = dict(options or {})
     reader = spark.readStream if streaming else spark.read
     if fmt == "kafka":
         opts.setdefault("subscribe", source)
-        opts.setdefault("startingOffsets", starting_offsets)
+        opts.setdefault("startingOffsets", starting_offsets or ("latest" if streaming else "earliest"))
         df = reader.format("kafka").options(**opts).load()
         return df.select(
             F.col("key").cast("string").alias("key"),
@@ -64,24 +69,23 @@ def read_messages(
     return reader.format(fmt).schema(MESSAGE).options(**opts).load(source)
 
 
-def read_transfers_json(messages: DataFrame) -> DataFrame:
-    """Value-only read: the JSON request of each message."""
-    return parse_transfers(messages).drop(CORRUPT_COL)
+def read_transfers_json(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Value-only read: (the JSON request of each message, the malformed values)."""
+    return quarantine(parse_transfers(messages))
 
 
-def read_keyed_transfers(messages: DataFrame) -> DataFrame:
-    """Key and value: the request plus ``greeting = "Hi " + key`` (NULL key ->
-    NULL greeting, row kept)."""
-    return parse_transfers(messages, keep=("key",)).drop(CORRUPT_COL).select(
-        *[c for _, c in TRANSFER_JSON_FIELDS], key_greeting("key").alias("greeting")
-    )
+def read_keyed_transfers(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Key and value: (the request plus ``greeting = "Hi " + key``, the malformed
+    values). A NULL key gives a NULL greeting, and the row is kept."""
+    good, bad = quarantine(parse_transfers(messages, keep=("key",)))
+    return good.select(*[c for _, c in TRANSFER_JSON_FIELDS], key_greeting("key").alias("greeting")), bad
 
 
-def read_transfers_file(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Newline-delimited JSON requests with the explicit schema (no inference)."""
+def read_transfers_file(spark: SparkSession, path: str, streaming: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Newline-delimited JSON requests with the explicit schema (no inference):
+    (requests, malformed lines)."""
     reader = spark.readStream if streaming else spark.read
-    df = reader.schema(TRANSFER_JSON).option("mode", "PERMISSIVE").json(path)
-    return df.select(*[F.col(w).alias(c) for w, c in TRANSFER_JSON_FIELDS])
+    return quarantine(parse_transfers(reader.text(path)))
 
 
 def transfer_messages(transfers: DataFrame, topic: str = TOPIC_TRANSFERS, partitions: int = 10) -> DataFrame:

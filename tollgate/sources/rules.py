@@ -20,8 +20,9 @@ def rules_table(spark: SparkSession, rules=DEFAULT_RULES) -> DataFrame:
 
 
 def read_rules(spark: SparkSession, path: str, fmt: str = "parquet", streaming: bool = False) -> DataFrame:
-    """Rules kept in storage (columns ``pool_type, min_balance`` and optionally
-    ``seq``); a stream of rule updates when ``streaming``."""
+    """Rules kept in storage (columns ``pool_type, min_balance, seq``); a stream
+    of rule updates when ``streaming``. Rows without ``seq`` are refused by
+    ``rules_latest``, unless it is told that there is no order."""
     reader = spark.readStream if streaming else spark.read
     df = reader.format(fmt).schema(RULE_SEQ).load(path)
     return df.select("pool_type", F.col("min_balance").cast("double"), "seq")

@@ -1,17 +1,5 @@
-"""Structured Streaming drivers.
-
-``ledger_ingest``: topic (or message files) -> Parquet ledger, appended.
-
-The validation chain runs per micro-batch in ``foreachBatch``: the same
-batch functions as in ``tollgate.plans.pipeline``, with per-sender state
-(last allowed time for the throttle, last balanced request for the in-sync
-check) carried between batches in ``KeyedState`` tables, and a ledger
-snapshot that holds the ledger rows written by earlier batches only (a
-written row becomes readable from the next batch on, like the ledger's
-delayed ingestion). Account totals are carried as sum-state, so the ledger
-is never rescanned per batch. Outputs are written per batch id and
-overwrite only their own partition, so a replayed batch gives the same
-files.
+"""Event time for streams, and the ledger's ingestion: topic (or message files)
+-> Parquet ledger, appended. The validation chain is ``tollgate.streaming.job``.
 """
 
 from __future__ import annotations
@@ -20,13 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.functions.columns import event_time
-from tollgate.operators.history import last_request
-from tollgate.operators.ledger import account_totals
-from tollgate.operators.throttle import throttle
-from tollgate.plans.pipeline import transfer_pipeline
-from tollgate.schema import DEFAULT_COOLDOWN_MS, TOO_MANY_REQUESTS, TRANSFER_COLUMNS, TRANSFER_IN_PROGRESS
+from tollgate.schema import TRANSFER_COLUMNS
 from tollgate.sources.messages import parse_transfers, read_messages
-from tollgate.streaming.state import KeyedState
 
 _TC = list(TRANSFER_COLUMNS)
 
@@ -46,26 +29,28 @@ def ledger_ingest(
     fmt: str = "json",
     options: dict | None = None,
     trigger: dict | None = None,
-    max_per_trigger: int | None = 50_000,
+    max_per_trigger: int | None = None,
     quarantine: str | None = None,
 ):
     """Continuously append the topic's JSON transfers to a Parquet ledger,
     from the earliest offset. ``fmt="kafka"``: ``source`` is the topic;
     otherwise ``source`` is a folder of message files (format ``fmt``).
-    Rows become queryable per micro-batch (default trigger 10 s, at most
-    ``max_per_trigger`` messages each, like the store's 50,000-row segments);
-    pass ``trigger={"availableNow": True}`` for a catch-up run.
-
-    Malformed messages are not dropped silently: with ``quarantine`` they are
-    appended there (raw text) by a second query on the same source, with its
-    own checkpoint; both file sinks are exactly-once. Returns the ledger
-    query, or ``(ledger_query, quarantine_query)`` when ``quarantine`` is set."""
+    Rows become queryable per micro-batch (default trigger 10 s, as many
+    messages as there are unless ``max_per_trigger`` says how many); pass
+    ``trigger={"availableNow": True}`` for a catch-up run.
+
+    Malformed messages are never dropped: a second query on the same source,
+    with its own checkpoint, appends their text to ``quarantine`` (default: the
+    sink's path with ``-quarantine``); both file sinks are exactly-once. Returns
+    ``(ledger_query, quarantine_query)``."""
     opts = dict(options or {})
     if fmt == "kafka":
         if max_per_trigger:
             opts.setdefault("maxOffsetsPerTrigger", str(max_per_trigger))
         msgs = read_messages(spark, source, "kafka", opts, starting_offsets="earliest", streaming=True)
     else:
+        if max_per_trigger:
+            opts.setdefault("maxFilesPerTrigger", str(max_per_trigger))  # files are the unit here
         msgs = read_messages(spark, source, fmt, opts, streaming=True)
     parsed = parse_transfers(msgs)
 
@@ -74,130 +59,6 @@ def ledger_ingest(
         return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
     main_q = start(parsed.filter(F.col("_corrupt").isNull()).select(*_TC), sink, checkpoint)
-    if quarantine is None:
-        return main_q
+    quarantine = quarantine or sink.rstrip("/") + "-quarantine"
     bad = parsed.filter(F.col("_corrupt").isNotNull()).select(F.col("_corrupt").alias("value"))
     return main_q, start(bad, quarantine, checkpoint.rstrip("/") + "-quarantine")
-
-
-def _write_partition(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
-
-
-class ThrottleBatch:
-    """``foreachBatch`` body: throttle with the allowed-time state carried."""
-
-    def __init__(self, out_path: str, state_path: str, cooldown_ms: int = DEFAULT_COOLDOWN_MS):
-        self.out_path = out_path
-        self.state = KeyedState(state_path, "from_id", ["timestamp"])
-        self.cooldown_ms = cooldown_ms
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        seeds = self.state.read(spark, batch_id, keys=batch)
-        out = throttle(batch, self.cooldown_ms, seeds=seeds)
-        _write_partition(out, self.out_path, batch_id)
-        done = spark.read.parquet(f"{self.out_path}/batch_id={batch_id}")
-        self.state.write(spark, batch_id, done.filter("allowed").groupBy("from_id").agg(F.max("timestamp").alias("timestamp")))
-        batch.unpersist()
-
-
-class LastRequestBatch:
-    """``foreachBatch`` body: previous request per sender, state carried."""
-
-    def __init__(self, out_path: str, state_path: str):
-        self.out_path = out_path
-        self.state = KeyedState(state_path, "from_id", ["last_id", "last_ts"], order_col="last_ts")
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        seeds = self.state.read(spark, batch_id, keys=batch)
-        out = last_request(batch, seeds=seeds, ts_out_col="last_ts")
-        _write_partition(out, self.out_path, batch_id)
-        done = spark.read.parquet(f"{self.out_path}/batch_id={batch_id}")
-        newest = done.groupBy("from_id").agg(
-            F.max_by(F.struct(F.col("id").alias("last_id"), F.col("timestamp").alias("last_ts")), F.struct("timestamp", "id")).alias("n")
-        )
-        self.state.write(spark, batch_id, newest.select("from_id", "n.last_id", "n.last_ts"))
-        batch.unpersist()
-
-
-class PipelineBatch:
-    """``foreachBatch`` body of the whole validation chain.
-
-    Writes per batch: ``outcomes`` (every request with its error, NULL =
-    accepted) and ``ledger`` (rows sent to the ledger topic). The ledger is
-    never rescanned per batch:
-
-    - account totals are sum-state: the base ledger is aggregated once into a
-      base snapshot, every batch adds the totals of the rows it sent to the
-      ledger, and a batch reads totals only for its own accounts;
-    - the in-sync lookup needs no ledger scan: a sender's previous request
-      from an earlier batch is its last-request seed, and the state records
-      whether that request was sent to the ledger (so it is visible now);
-      one from the same batch is not visible yet (strict snapshot).
-    """
-
-    def __init__(self, ledger_path: str, rules: DataFrame, out_path: str, state_path: str,
-                 cooldown_ms: int = DEFAULT_COOLDOWN_MS, balance_mode: str = "wired",
-                 ledger_from: str = "balanced", on_missing_rule: str = "fail"):
-        self.ledger_path = ledger_path
-        self.rules = rules
-        self.out = out_path.rstrip("/")
-        self.th_state = KeyedState(f"{state_path}/throttle", "from_id", ["timestamp"])
-        self.lr_state = KeyedState(
-            f"{state_path}/last_request", "from_id", ["last_id", "last_ts", "written"], order_col="last_ts"
-        )
-        self.accounts = KeyedState(f"{state_path}/accounts", "account", ["sent", "received"], combine="sum")
-        self.ledger_from = ledger_from
-        self.kw = dict(cooldown_ms=cooldown_ms, balance_mode=balance_mode, ledger_from=ledger_from,
-                       on_missing_rule=on_missing_rule)
-
-    def _init_accounts(self, spark: SparkSession) -> None:
-        if not self.accounts.has_base(spark, -1):
-            self.accounts.write_base(spark, -1, account_totals(spark.read.parquet(self.ledger_path)))
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        self._init_accounts(spark)
-        batch = batch.select(*_TC).persist()
-        accounts = batch.select(F.col("from_id").alias("account")).unionByName(batch.select(F.col("to_id").alias("account")))
-        totals = self.accounts.read(spark, batch_id, keys=accounts).drop("batch_id")
-        lr_seeds = self.lr_state.read(spark, batch_id, keys=batch)
-        if lr_seeds is None:
-            ids = spark.createDataFrame([], "id string")
-        else:
-            ids = lr_seeds.filter(F.col("written")).select(F.col("last_id").alias("id"))
-        res = transfer_pipeline(
-            batch, None, self.rules,
-            throttle_seeds=self.th_state.read(spark, batch_id, keys=batch),
-            last_request_seeds=lr_seeds, totals=totals, ledger_ids=ids,
-            ingest_delay_ms=None, **self.kw,
-        )
-        _write_partition(res.outcomes, f"{self.out}/outcomes", batch_id)
-        done = spark.read.parquet(f"{self.out}/outcomes/batch_id={batch_id}")
-        balanced = done.filter(F.col("error").isNull() | (F.col("error") == TRANSFER_IN_PROGRESS))
-        to_ledger = balanced if self.ledger_from == "balanced" else done.filter(F.col("error").isNull())
-        _write_partition(to_ledger.select(*_TC), f"{self.out}/ledger", batch_id)
-        written_rows = spark.read.parquet(f"{self.out}/ledger/batch_id={batch_id}")
-
-        allowed = done.filter(F.col("error").isNull() | (F.col("error") != TOO_MANY_REQUESTS))
-        self.th_state.write(spark, batch_id, allowed.groupBy("from_id").agg(F.max("timestamp").alias("timestamp")))
-        written = F.lit(True) if self.ledger_from == "balanced" else F.col("error").isNull()
-        newest = balanced.groupBy("from_id").agg(
-            F.max_by(
-                F.struct(F.col("id").alias("last_id"), F.col("timestamp").alias("last_ts"), written.alias("written")),
-                F.struct("timestamp", "id"),
-            ).alias("n")
-        )
-        self.lr_state.write(spark, batch_id, newest.select("from_id", "n.last_id", "n.last_ts", "n.written"))
-        self.accounts.write(spark, batch_id, account_totals(written_rows))
-        batch.unpersist()
-
-
-def run_foreach_batch(stream: DataFrame, fn, checkpoint: str, trigger: dict | None = None):
-    """Start ``stream`` with ``fn`` as ``foreachBatch`` body."""
-    w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
-    return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()

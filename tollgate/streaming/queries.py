@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 from tollgate.functions.columns import transfer_json
 from tollgate.session import work_dir
 from tollgate.sources import events as EV
-from tollgate.sources.messages import parse_transfers, transfer_messages
-from tollgate.sources.rules import rules_table
+from tollgate.sources.messages import parse_transfers, quarantine, transfer_messages
+from tollgate.schema import DEFAULT_RULES
+from tollgate.sinks.messages import ledger_records
+from tollgate.sources.rules import read_rules, rules_table
 from tollgate.streaming import driver as D
+from tollgate.streaming import job as J
+from tollgate.streaming.stateful import last_request_with_state, throttle_with_state
 
 COOLDOWN_MS = 6 * 3_600_000
 
@@ -48,35 +52,19 @@ def _order_by_name(spark: SparkSession, path: str) -> None:
         fs.setTimes(p, t0 + i * 1000, -1)
 
 
-def _request_stream(spark: SparkSession, d: str) -> DataFrame:
+def _request_stream(spark: SparkSession, d: str, requests: DataFrame | None = None) -> DataFrame:
     src = work_dir(spark, "stream-requests")
-    _stage_days(EV.requests(spark, d), src)
+    _stage_days(EV.transfers(spark, d) if requests is None else requests, src)
     s = spark.readStream.schema("value string, day string").option("maxFilesPerTrigger", 4).text(src)
-    # the text source gives ``value``: parse it like a message value
-    return parse_transfers(s).drop("_corrupt")
-
-
-def _until_done(start, attempts: int = 3) -> None:
-    """Run a query to its end; if it fails, start it again from its
-    checkpoint (file sinks are exactly-once and the ``foreachBatch`` bodies
-    overwrite only their own batch, so a restart repeats no output)."""
-    for i in range(attempts):
-        q = start()
-        try:
-            q.awaitTermination()
-        except Exception:
-            if i == attempts - 1:
-                raise
-            continue
-        if q.exception() is None:
-            return
-        if i == attempts - 1:
-            raise RuntimeError(str(q.exception()))
+    # the text source gives ``value``: parse it like a message value; what is
+    # staged here has no malformed lines
+    return quarantine(parse_transfers(s))[0]
 
 
-def _run(stream: DataFrame, fn, spark: SparkSession) -> None:
-    ck = work_dir(spark, "stream-ckpt")
-    _until_done(lambda: D.run_foreach_batch(stream, fn, ck, {"availableNow": True}))
+def _until_done(*queries) -> None:
+    """Wait for queries to end; a failure is raised at once."""
+    for q in queries:
+        q.awaitTermination()
 
 
 def _to_parquet(stream: DataFrame, out: str, ck: str):
@@ -87,44 +75,104 @@ def _to_parquet(stream: DataFrame, out: str, ck: str):
 def q_ledger_ingest(spark: SparkSession, d: str) -> DataFrame:
     src, sink, ck = work_dir(spark, "topic-twin"), work_dir(spark, "ledger"), work_dir(spark, "ingest-ckpt")
     transfer_messages(EV.transfers(spark, d)).write.mode("overwrite").json(src)
-    _until_done(lambda: D.ledger_ingest(spark, src, sink, ck, fmt="json", trigger={"availableNow": True}))
+    _until_done(*D.ledger_ingest(spark, src, sink, ck, fmt="json", trigger={"availableNow": True}))
     return spark.read.parquet(sink)
 
 
+def q_ledger_ingest_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Some messages are malformed: what the ledger has, and what is set apart."""
+    from tollgate.plans.catalog import _with_malformed
+
+    src, sink, ck, bad = (work_dir(spark, n) for n in ("topic-twin", "ledger", "ingest-ckpt", "ingest-bad"))
+    _with_malformed(transfer_messages(EV.transfers(spark, d))).write.mode("overwrite").json(src)
+    _until_done(*D.ledger_ingest(spark, src, sink, ck, fmt="json", trigger={"availableNow": True}, quarantine=bad))
+    return spark.read.parquet(sink).select("id", F.lit(None).cast("string").alias("malformed")).unionByName(
+        spark.read.schema("value string").parquet(bad).select(F.lit(None).cast("string").alias("id"), F.col("value").alias("malformed")))
+
+
+def _message_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Requests of a topic's twin, as a stream."""
+    return quarantine(parse_transfers(spark.readStream.schema("key string, value string, topic string").parquet(f"{path}/*")))[0]
+
+
 def q_throttle_stream(spark: SparkSession, d: str) -> DataFrame:
-    out, st = work_dir(spark, "throttle-out"), work_dir(spark, "throttle-state")
-    _run(_request_stream(spark, d), D.ThrottleBatch(out, st, COOLDOWN_MS), spark)
+    """The throttle over a topic's twin. State does not expire here: Spark runs
+    batches for wall-clock timeouts for ever, so such a query never ends."""
+    topic, out, ck = (work_dir(spark, n) for n in ("throttle-topic", "throttle-out", "throttle-ckpt"))
+    requests = _request_stream(spark, d)
+    records = requests.select(F.col("from_id").alias("key"), transfer_json().alias("value"), F.lit("requests").alias("topic"))
+    _until_done(_to_parquet(records, f"{topic}/batch_id=0", work_dir(spark, "topic-ckpt")))
+    _until_done(_to_parquet(throttle_with_state(_message_stream(spark, topic), COOLDOWN_MS), out, ck))
     return spark.read.parquet(out).select("id", "from_id", "timestamp", "allowed")
 
 
 def q_last_request_stream(spark: SparkSession, d: str) -> DataFrame:
-    out, st = work_dir(spark, "last-out"), work_dir(spark, "last-state")
-    _run(_request_stream(spark, d), D.LastRequestBatch(out, st), spark)
+    """Previous requests, from a topic's twin that holds one day a file."""
+    topic, out, ck = (work_dir(spark, n) for n in ("last-topic", "last-out", "last-ckpt"))
+    _until_done(_to_parquet(_request_stream(spark, d).select(F.col("from_id").alias("key"), transfer_json().alias("value"), F.lit("requests").alias("topic")), f"{topic}/batch_id=0", work_dir(spark, "topic-ckpt")))
+    _until_done(_to_parquet(last_request_with_state(_message_stream(spark, topic)), out, ck))
     return spark.read.parquet(out).select("id", "from_id", "last_id")
 
 
+def _errors(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("key string, value string, topic string").parquet(path).select("key", "value", "topic")
+
+
+def _run_job(spark: SparkSession, d: str, rules=rules_table) -> dict[str, str]:
+    """The whole job over files: the ledger side first, which then stands still,
+    then the requests. Returns the folders of the topics' twins."""
+    at = {n: work_dir(spark, f"job-{n}") for n in ("base", "totals", "ledger", "errors", "accepted", "late", "ck1", "ck2")}
+    once = {"availableNow": True}
+    ledger_records(EV.ledger(spark, d)).write.mode("overwrite").parquet(f"{at['base']}/batch_id=0")
+    _until_done(J.keep_totals(_message_stream(spark, at["base"]), at["totals"], once))
+    _until_done(J.validate(
+        _request_stream(spark, d, EV.requests(spark, d)), rules, lambda s: J.read_totals(s, at["totals"]),
+        at["ledger"], at["errors"], at["ck1"], cooldown_ms=COOLDOWN_MS, trigger=once))
+    ids = lambda s: EV.ledger(s, d).select("id")
+    _until_done(J.check_in_sync(_message_stream(spark, at["ledger"]), ids, at["accepted"], at["late"], at["ck2"], trigger=once))
+    return at
+
+
 def q_transfer_pipeline_stream(spark: SparkSession, d: str) -> DataFrame:
-    out, st = work_dir(spark, "pipe-out"), work_dir(spark, "pipe-state")
-    ledger_dir = work_dir(spark, "pipe-ledger")
-    EV.ledger(spark, d).write.mode("overwrite").parquet(ledger_dir)
-    fn = D.PipelineBatch(ledger_dir, rules_table(spark), out, st, cooldown_ms=COOLDOWN_MS)
-    _run(_request_stream(spark, d), fn, spark)
-    return spark.read.parquet(f"{out}/outcomes").select("id", "from_id", "to_id", "amount", "timestamp", "error")
+    """Every message that the job wrote to its topics."""
+    at = _run_job(spark, d)
+    out = _errors(spark, at["accepted"])
+    for name in ("ledger", "errors", "late"):
+        out = out.unionByName(_errors(spark, at[name]))
+    return out
+
+
+def q_rules_latest_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The rules change while the stream runs: from the third micro-batch on no
+    pool lets anything through. The ledger topic's messages."""
+    src = work_dir(spark, "rules-requests")
+    _stage_days(EV.requests(spark, d), src)
+    stream = spark.readStream.schema("value string, day string").option("maxFilesPerTrigger", 4).text(src)
+    requests = quarantine(parse_transfers(stream))[0]
+    stored, ledger, errors, ck = (work_dir(spark, f"rules-{n}") for n in ("stored", "ledger", "errors", "ck"))
+    rules_table(spark).write.parquet(f"{stored}/write=0")
+    calls = []
 
+    def rules(s: SparkSession) -> DataFrame:
+        calls.append(1)
+        if len(calls) == 3:
+            rules_table(s, [(p, 1e12) for p, _ in DEFAULT_RULES]).selectExpr("pool_type", "min_balance", "seq + 100 as seq").write.parquet(f"{stored}/write=1")
+        return read_rules(s, stored)
+
+    none = spark.createDataFrame([], "account string, sent decimal(28,15), received decimal(28,15)")
+    _until_done(J.validate(requests, rules, lambda s: none, ledger, errors, ck, cooldown_ms=COOLDOWN_MS, trigger={"availableNow": True}))
+    return _errors(spark, ledger)
 
-def q_throttle_stateful_stream(spark: SparkSession, d: str) -> DataFrame:
-    from tollgate.streaming.stateful import throttle_with_state
 
+def q_throttle_stateful_stream(spark: SparkSession, d: str) -> DataFrame:
     out, ck = work_dir(spark, "stateful-out"), work_dir(spark, "stateful-ckpt")
     s = throttle_with_state(_request_stream(spark, d), COOLDOWN_MS)
-    _until_done(lambda: _to_parquet(s, out, ck))
+    _until_done(_to_parquet(s, out, ck))
     return spark.read.parquet(out).select("id", "from_id", "timestamp", "allowed")
 
 
 def q_last_request_stateful_stream(spark: SparkSession, d: str) -> DataFrame:
-    from tollgate.streaming.stateful import last_request_with_state
-
     out, ck = work_dir(spark, "stateful-last-out"), work_dir(spark, "stateful-last-ckpt")
     s = last_request_with_state(_request_stream(spark, d))
-    _until_done(lambda: _to_parquet(s, out, ck))
+    _until_done(_to_parquet(s, out, ck))
     return spark.read.parquet(out).select("id", "from_id", "last_id")

@@ -1,12 +1,12 @@
-"""Throttle as a Structured Streaming stateful operator.
+"""Throttle and previous request as stateful operators on Spark's state store.
 
 ``groupBy(sender).applyInPandasWithState``: Spark keeps one state row per
-sender (the last allowed time) in its state store, checkpointed with the
-query; each micro-batch hands every sender's new requests to one call.
-Within a call the greedy chain is walked with numpy: ``searchsorted`` gives
-every request the first request at least a cooldown later, and only the
-allowed chain is stepped through. A request older than the remembered
-allowed one is refused (it counts as late).
+sender, checkpointed with the query; each micro-batch hands a sender's new
+requests to one call, in chunks. Only times and ids are gathered to be put in
+order; the rows themselves go out chunk by chunk. A request older than the
+remembered allowed one is refused (it counts as late). The previous request is
+that of the batch before, then by time within a batch: what came later in an
+earlier batch does not matter.
 """
 
 from __future__ import annotations
@@ -41,33 +41,61 @@ def allowed_chain(ts: np.ndarray, cooldown_ms: int, last_allowed: int | None) ->
     return ok
 
 
+def _ordered(frames: list[pd.DataFrame], ts: str, id_col: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Times and ids of all chunks, and their order by (time, id)."""
+    t = np.concatenate([f[ts].astype("int64").to_numpy() for f in frames])
+    ids = np.concatenate([f[id_col].astype(object).to_numpy() for f in frames])
+    return t, ids, np.lexsort((ids.astype(str), t))
+
+
+def _chunks(frames: list[pd.DataFrame], cols: list[str], name: str, values: np.ndarray) -> Iterator[pd.DataFrame]:
+    at = 0
+    for f in frames:
+        yield f[cols].assign(**{name: values[at:at + len(f)]})
+        at += len(f)
+
+
 def throttle_with_state(
     stream: DataFrame,
     cooldown_ms: int = DEFAULT_COOLDOWN_MS,
     key: str = "from_id",
     ts: str = "timestamp",
     id_col: str = "id",
+    expire_ms: int | None = None,
 ) -> DataFrame:
-    """Streaming throttle: the input rows plus ``allowed``, appended per batch."""
+    """Streaming throttle: the input rows plus ``allowed``, appended per batch.
+
+    ``expire_ms``: forget a sender that has been quiet for so long by the wall
+    clock (at least the cooldown; for live streams, whose timestamps follow the
+    clock; such a query runs batches for ever, whatever its trigger). Without
+    it, as for a replay of old requests, state is kept."""
     c = int(cooldown_ms)
+    if expire_ms is not None and expire_ms < c:
+        raise ValueError("a state that expires within the cooldown would let requests through")
     out_schema = T.StructType(stream.schema.fields + [T.StructField("allowed", T.BooleanType())])
     cols = [f.name for f in stream.schema.fields]
 
     def step(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         frames = [f for f in pdfs if len(f)]
         if not frames:
             return
-        pdf = pd.concat(frames, ignore_index=True).sort_values([ts, id_col], kind="mergesort")
         last = int(state.get[0]) if state.exists and state.get[0] is not None else None
-        t = pdf[ts].astype("int64").to_numpy()
-        ok = allowed_chain(t, c, last)
+        t, _, order = _ordered(frames, ts, id_col)
+        ok = np.zeros(len(t), dtype=bool)
+        ok[order] = allowed_chain(t[order], c, last)
         if ok.any():
-            state.update((int(t[ok][-1]),))
-        yield pdf[cols].assign(allowed=ok)
+            last = int(t[ok].max())
+        if last is not None:
+            state.update((last,))
+            if expire_ms is not None:
+                state.setTimeoutDuration(int(expire_ms))
+        yield from _chunks(frames, cols, "allowed", ok)
 
-    return stream.groupBy(key).applyInPandasWithState(
-        step, out_schema, "last_allowed long", "append", GroupStateTimeout.NoTimeout
-    )
+    timeout = GroupStateTimeout.NoTimeout if expire_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    return stream.groupBy(key).applyInPandasWithState(step, out_schema, "last_allowed long", "append", timeout)
 
 
 def last_request_with_state(
@@ -76,9 +104,8 @@ def last_request_with_state(
     ts: str = "timestamp",
     id_col: str = "id",
 ) -> DataFrame:
-    """Streaming previous request per sender on the state store: the input
-    rows plus ``last_id`` (the sender's previous request in ``(ts, id)``
-    order, carried across micro-batches; no expiry)."""
+    """Streaming previous request per sender: the input rows plus ``last_id``,
+    by arrival (batch after batch, within one by ``(ts, id)``); no expiry."""
     out_schema = T.StructType(stream.schema.fields + [T.StructField("last_id", T.StringType())])
     cols = [f.name for f in stream.schema.fields]
 
@@ -86,12 +113,11 @@ def last_request_with_state(
         frames = [f for f in pdfs if len(f)]
         if not frames:
             return
-        pdf = pd.concat(frames, ignore_index=True).sort_values([ts, id_col], kind="mergesort")
-        ids = pdf[id_col].astype(object)
-        prev = ids.shift(1)
-        prev.iloc[0] = state.get[0] if state.exists else None
-        state.update((str(ids.iloc[-1]),))
-        yield pdf[cols].assign(last_id=prev.to_numpy())
+        _, ids, order = _ordered(frames, ts, id_col)
+        last = np.empty(len(ids), dtype=object)
+        last[order] = [state.get[0] if state.exists else None, *ids[order[:-1]]]
+        state.update((str(ids[order[-1]]),))
+        yield from _chunks(frames, cols, "last_id", last)
 
     return stream.groupBy(key).applyInPandasWithState(
         step, out_schema, "last_id string", "append", GroupStateTimeout.NoTimeout
