@@ -25,8 +25,10 @@ def test_split_filter_pushed_and_columns_pruned(spark):
 
 
 def test_rules_broadcast(spark):
-    p = plan(catalog.queries()["balance_rule_split"](spark, SF))
-    assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
+    """Without a hint: adaptive execution sees three rules and broadcasts them."""
+    df = catalog.queries()["balance_rule_split"](spark, SF)
+    df.collect()
+    assert "BroadcastHashJoin" in plan(df)
 
 
 def test_pipeline_plan_is_linear(spark):
@@ -39,10 +41,9 @@ def test_scale_shape_of_every_query(spark):
     would run in a single task) in any registered batch query."""
     import re
 
-    skip = {"throttle_stream", "last_request_stream", "transfer_pipeline_stream", "ledger_ingest",
-            "read_transfers_file", "ledger_table"}
+    skip = {"ledger_ingest", "ledger_ingest_quarantine", "read_transfers_file", "ledger_table"}
     for name, q in catalog.queries().items():
-        if name in skip:
+        if name in skip or name.endswith("_stream"):
             continue
         p = plan(q(spark, SF))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name

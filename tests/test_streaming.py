@@ -89,7 +89,7 @@ def test_stateful_throttle_stream_equals_batch(spark):
 def test_allowed_chain_with_state_and_late_rows():
     import numpy as np
 
-    from tollgate.streaming.stateful import allowed_chain
+    from tollgate.operators.chain import allowed_chain
 
     ts = np.array([0, 5000, 19999, 20000, 20000, 39000, 40000])
     assert allowed_chain(ts, 20000, None).tolist() == [True, False, False, True, False, False, True]

@@ -1,5 +1,5 @@
-"""Throttle vs a brute-force sequential fold on random data, through both
-the burst fold and the exact pointer-doubling path; plus invariants."""
+"""Throttle vs a brute-force sequential fold on random data, in few and in many
+stretches a sender; plus invariants."""
 
 import random
 
@@ -35,13 +35,19 @@ def gen(seed, n=400, senders=4, span=200_000):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("path", ["fold", "doubling"])
-def test_matches_brute_force(spark, seed, path):
+@pytest.mark.parametrize("partitions", [1, 24])
+def test_matches_brute_force(spark, seed, partitions):
     rows = gen(seed)
     c = 20_000 if seed != 3 else 7_000
     df = spark.createDataFrame(rows, TRANSFER)
-    kw = {} if path == "fold" else {"max_fold_points": 0}
-    got = {r["id"] for r in TH.throttle(df, c, **kw).filter("allowed").collect()}
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["id"] for r in TH.throttle(df, c).filter("allowed").collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
     assert got == brute(rows, c)
 
 
@@ -68,3 +74,22 @@ def test_seeds_carry_state(spark):
     seeds = spark.createDataFrame([("s", 10_000)], "from_id string, timestamp long")
     got = {r["id"]: r["allowed"] for r in TH.throttle(spark.createDataFrame(rows, TRANSFER), 20_000, seeds=seeds).collect()}
     assert got == {"a": False, "b": True, "c": True}
+
+
+def test_stretches_chained_equal_one_walk():
+    """Any cut of a chain into stretches gives the same allowed points."""
+    import numpy as np
+    import pandas as pd
+
+    from tollgate.operators import chain as C
+
+    rng = np.random.default_rng(4)
+    for c in (1, 7, 50, 1000):
+        ts = np.unique(rng.integers(0, 2000, 300))
+        cuts = np.sort(rng.choice(np.arange(1, len(ts)), 9, replace=False)).tolist()
+        parts = [ts[a:b] for a, b in zip([0, *cuts], [*cuts, len(ts)])]
+        maps = [C.exits(p, c) for p in parts]
+        pdf = pd.DataFrame({"_r": range(len(parts)), "upto": [m[0] for m in maps], "last": [m[1] for m in maps]})
+        entry = dict(C.entries(c)(pdf).itertuples(index=False))
+        got = np.concatenate([C.allowed_chain(p, c, entry.get(r)) for r, p in enumerate(parts)])
+        assert (got == C.allowed_chain(ts, c, None)).all()

@@ -6,40 +6,35 @@ no allowed request of that sender lies less than ``cooldown_ms`` before it
 the cooldown. Among requests with equal timestamps the smallest id is the
 only candidate.
 
-This is a greedy chain, not a window function. The plan:
-
-1. Time is cut into buckets of one cooldown: two allowed requests are at
-   least a cooldown apart, so a bucket holds at most one allowed request.
-2. One row per distinct ``(sender, timestamp)`` ("point", with its smallest
-   id), then one row per ``(sender, bucket)`` with first/last point.
-3. A *burst* starts at a bucket whose first point is at least a cooldown
-   after the previous bucket's last point: such a point is always allowed,
-   so bursts are independent. This needs an ordered pass per sender, but
-   over bucket rows only, bounded by time span / cooldown, whatever the
-   number of requests.
-4. Bursts of normal size are folded in one JVM expression over their sorted
-   points (``aggregate``), grouped by ``(sender, burst)``.
-5. Bursts above the size limit (a sender that is never idle for a cooldown)
-   are solved exactly by pointer doubling: ``next(p)`` = first point at
-   least a cooldown after ``p`` (an as-of lookup inside the next bucket),
-   then ``log2(chain length)`` self joins give jumps of 2^k, and the chain
-   from each burst start is expanded level by level. Every join is keyed by
-   ``(sender, timestamp)``, so no group is larger than one point; lineage
-   is cut with ``checkpoint()`` in the shared checkpoint folder.
+This is a greedy chain, not a window function. One path, whatever the sizes:
+
+1. One row per distinct ``(sender, timestamp)`` ("point", with its smallest
+   id), pre-aggregated, so any number of requests at one time is one point.
+2. Points are range-partitioned by (sender, time) and sorted, then written once
+   to the shared checkpoint folder with their partition's number. A sender's
+   points are a run within a partition; only a partition's first run can go on
+   from the one before, so a sender of any size is cut into stretches as large
+   as a partition.
+3. Each partition folds its first and last runs into a map from the last
+   allowed time before the run to the last allowed time in it (a step function:
+   few entries lead to different exits). Senders with several stretches chain
+   these maps, one step a stretch: at most one entry time per partition.
+4. Each partition walks its runs from their entry times. The allowed points are
+   joined back to the requests.
+
+Jobs and shuffles do not depend on how long a chain is. Building the plan runs
+the first three steps.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.operators.chain import allowed_points, edge_stretches, entries
 from tollgate.operators.filters import split_flag
 from tollgate.schema import DEFAULT_COOLDOWN_MS, TOO_MANY_REQUESTS
 
-# Bursts with more buckets or more points than this go to pointer doubling.
-MAX_FOLD_BUCKETS = 256
-MAX_FOLD_POINTS = 1 << 17
-
 
 def throttle(
     df: DataFrame,
@@ -49,8 +44,6 @@ def throttle(
     id_col: str = "id",
     out_col: str = "allowed",
     seeds: DataFrame | None = None,
-    max_fold_buckets: int = MAX_FOLD_BUCKETS,
-    max_fold_points: int = MAX_FOLD_POINTS,
 ) -> DataFrame:
     """Attach boolean ``allowed`` to every request.
 
@@ -76,44 +69,21 @@ def throttle(
         base = base.unionByName(
             seeds.select(F.col(key).alias("_k"), F.col(ts).alias("_t"), F.lit(None).cast(df.schema[id_col].dataType).alias("_id"), F.lit(True).alias("_seed"))
         )
-    # No repartition of raw rows here: the aggregates below pre-aggregate
-    # map-side, so many requests of one sender at one millisecond never meet
-    # in one task, and every (sender, bucket) group holds at most
-    # ``cooldown_ms`` distinct points.
-    base = base.withColumn("_b", F.floor(F.col("_t") / F.lit(c)).cast("long"))
-
-    # (2) points: a seed at a time leaves no candidate among requests there
-    pts = base.groupBy("_k", "_b", "_t").agg(
+    # a seed at a time leaves no candidate among requests there
+    pts = base.groupBy("_k", "_t").agg(
         F.when(F.max(F.col("_seed").cast("int")) == 1, F.lit(None)).otherwise(F.min("_id")).alias("_win")
     )
-    buckets = pts.groupBy("_k", "_b").agg(F.min("_t").alias("_f"), F.max("_t").alias("_l"), F.count(F.lit(1)).alias("_n"))
-
-    # (3) bursts, per sender over bucket rows
-    w = Window.partitionBy("_k").orderBy("_b")
-    start = F.lag("_l").over(w).isNull() | (F.lag("_l").over(w) + F.lit(c) <= F.col("_f"))
-    buckets = buckets.withColumn("_start", start).withColumn(
-        "_burst", F.max(F.when(F.col("_start"), F.col("_b"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    wb = Window.partitionBy("_k", "_burst")
-    buckets = (
-        buckets.withColumn("_bn", F.sum("_n").over(wb))
-        .withColumn("_bb", F.count(F.lit(1)).over(wb))
-        .withColumn("_small", (F.col("_bn") <= max_fold_points) & (F.col("_bb") <= max_fold_buckets))
-    )
-
-    # Points with their burst, written once to the shared checkpoint folder:
-    # the large-burst test, the fold and the exact path all read this table
-    # instead of re-running the aggregates (and a lost executor costs no
-    # recomputation from the source).
-    pts_b = _checkpoint(pts.join(buckets.select("_k", "_b", "_burst", "_small", "_start"), ["_k", "_b"]))
-
-    # (4) fold normal bursts
-    allowed = _fold_bursts(pts_b.filter(F.col("_small")), c)
-
-    # (5) exact path for huge bursts, only run when there is one
-    if max_fold_points <= 0 or max_fold_buckets <= 0 or not pts_b.filter(~F.col("_small")).isEmpty():
-        large = _chain_by_doubling(pts_b.filter(~F.col("_small")), c)
-        allowed = allowed.unionByName(large)
+    dealt = pts.repartitionByRange("_k", "_t").sortWithinPartitions("_k", "_t")
+    pts = dealt.withColumn("_r", F.spark_partition_id().cast("long")).checkpoint(eager=True)
+
+    kind = pts.schema["_k"].dataType.simpleString()
+    edges = pts.select("_k", "_r", "_t").mapInArrow(edge_stretches(c), f"_k {kind}, _r long, upto array<bigint>, last array<bigint>")
+    edges = edges.checkpoint(eager=True)  # two rows a partition at most
+    long_runs = edges.groupBy("_k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("_k").alias("_sk"))
+    several = edges.join(long_runs, F.col("_k").eqNullSafe(F.col("_sk")), "left_semi")
+    found = several.groupBy("_k").applyInPandas(entries(c), "_r long, entry long")
+    entry = {r["_r"]: r["entry"] for r in found.collect()}  # one a partition at most
+    allowed = pts.mapInArrow(allowed_points(c, entry), f"_k {kind}, _t long, _win {pts.schema['_win'].dataType.simpleString()}")
 
     winners = allowed.filter(F.col("_win").isNotNull()).select(
         F.col("_k").alias(key + "__k"), F.col("_t").alias(ts + "__t"), F.col("_win").alias("_win")
@@ -123,78 +93,6 @@ def throttle(
     return out.drop(key + "__k", ts + "__t", "_win", "_teff")
 
 
-def _fold_bursts(pts_b: DataFrame, c: int) -> DataFrame:
-    """Greedy fold over each burst's sorted points -> allowed ``(_k, _t, _win)``."""
-    grouped = pts_b.groupBy("_k", "_burst").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_t"), F.col("_win")))).alias("_pts")
-    )
-    def step(acc: Column, x: Column) -> Column:
-        take = acc["last"].isNull() | (x["_t"] - acc["last"] >= F.lit(c))
-        return F.when(take, F.struct(x["_t"].alias("last"), F.array_append(acc["out"], x).alias("out"))).otherwise(acc)
-
-    # the element type of ``out`` must match the points' struct type
-    elem = grouped.schema["_pts"].dataType.elementType.simpleString()
-    init = F.struct(F.lit(None).cast("long").alias("last"), F.array().cast(f"array<{elem}>").alias("out"))
-    folded = grouped.select("_k", F.explode(F.aggregate("_pts", init, step, lambda acc: acc["out"])).alias("p"))
-    return folded.select("_k", F.col("p._t").alias("_t"), F.col("p._win").alias("_win"))
-
-
-def _checkpoint(df: DataFrame) -> DataFrame:
-    return df.checkpoint(eager=True)
-
-
-def _chain_by_doubling(nodes: DataFrame, c: int) -> DataFrame:
-    """Allowed points of huge bursts, exactly, by pointer doubling."""
-    # bucket rows of the huge bursts only (every burst bucket has points)
-    buckets = nodes.groupBy("_k", "_b", "_burst", "_start").agg(F.min("_t").alias("_f"), F.max("_t").alias("_l"))
-    w = Window.partitionBy("_k").orderBy("_b")
-    look = buckets.select(
-        "_k",
-        "_b",
-        "_burst",
-        F.max("_l").over(Window.partitionBy("_k", "_burst")).alias("_burst_last"),
-        # first point of the first non-empty bucket after _b + 1
-        F.when(F.lead("_b").over(w) > F.col("_b") + 1, F.lead("_f").over(w))
-        .otherwise(F.lead("_f", 2).over(w))
-        .alias("_after_next"),
-    )
-    n = nodes.select("_k", "_b", "_t", "_burst").join(look.drop("_burst"), ["_k", "_b"])
-
-    # next(p): first point >= p + c. It lies in bucket b+1 if any point there
-    # is late enough (as-of lookup per (sender, bucket)), else it is the
-    # first point after bucket b+1.
-    reals = n.select("_k", F.col("_b").alias("_pb"), F.col("_t").alias("_x"), F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("_src"))
-    probes = n.select("_k", (F.col("_b") + 1).alias("_pb"), (F.col("_t") + F.lit(c)).alias("_x"), F.lit(1).alias("_kind"), F.col("_t").alias("_src"))
-    wa = Window.partitionBy("_k", "_pb").orderBy(F.col("_x").desc(), F.col("_kind").asc()).rowsBetween(Window.unboundedPreceding, 0)
-    asof = (
-        reals.unionByName(probes)
-        .withColumn("_nx", F.last(F.when(F.col("_kind") == 0, F.col("_x")), ignorenulls=True).over(wa))
-        .filter(F.col("_kind") == 1)
-        .select("_k", F.col("_src").alias("_t"), "_nx")
-    )
-    jump = (
-        n.join(asof, ["_k", "_t"], "left")
-        .select("_k", "_t", F.coalesce(F.col("_nx"), F.col("_after_next")).alias("_j"), "_burst_last")
-        .select("_k", "_t", F.when(F.col("_j") <= F.col("_burst_last"), F.col("_j")).alias("_j"))
-    )
-    levels = [_checkpoint(jump)]
-    while not levels[-1].filter(F.col("_j").isNotNull()).isEmpty():
-        a = levels[-1].alias("a")
-        b = levels[-1].select(F.col("_k").alias("_k2"), F.col("_t").alias("_t2"), F.col("_j").alias("_j2"))
-        nxt = a.join(b, (F.col("_k") == F.col("_k2")) & (F.col("_j") == F.col("_t2")), "left").select(
-            "_k", "_t", F.col("_j2").alias("_j")
-        )
-        levels.append(_checkpoint(nxt))
-
-    # chain roots: the first point of every huge burst
-    roots = buckets.filter(F.col("_start")).select("_k", F.col("_f").alias("_t"))
-    path = _checkpoint(roots)
-    for lvl in reversed(levels):
-        step = path.join(lvl, ["_k", "_t"]).where(F.col("_j").isNotNull()).select("_k", F.col("_j").alias("_t"))
-        path = _checkpoint(path.unionByName(step).distinct())
-    return path.join(nodes.select("_k", "_t", "_win"), ["_k", "_t"])
-
-
 def throttle_split(df: DataFrame, cooldown_ms: int = DEFAULT_COOLDOWN_MS, error_col: str = "error", **kw) -> DataFrame:
     """Throttle, then route: refused -> ``TOO_MANY_REQUESTS``."""
     t = throttle(df, cooldown_ms, **kw)

@@ -29,6 +29,7 @@ from tollgate.sources.rules import rules_table
 # reference: 20 s cooldown). The median gap between two requests of one
 # sender in the test data is hours, so 20 s would refuse nothing.
 COOLDOWN_MS = 6 * 3_600_000
+DENSE_COOLDOWN_MS = 5 * 86_400_000
 INGEST_DELAY_MS = 12 * 3_600_000
 LOOKUP_ID = "1234"
 LATEST_N = 100
@@ -95,6 +96,11 @@ def q_throttle(spark, d):
     return t.select("id", "from_id", "timestamp", "allowed")
 
 
+def q_throttle_dense(spark, d):
+    """A cooldown within which every sender is busy: one chain a sender."""
+    return TH.throttle(EV.transfers(spark, d), DENSE_COOLDOWN_MS).select("id", "from_id", "timestamp", "allowed")
+
+
 def q_throttle_split(spark, d):
     return TH.throttle_split(EV.transfers(spark, d), COOLDOWN_MS).select("id", "from_id", "timestamp", "error")
 
@@ -250,6 +256,7 @@ def queries() -> dict[str, Query]:
         "ledger_latest_n": q_ledger_latest_n,
         "ledger_point_lookup": q_ledger_point_lookup,
         "throttle": q_throttle,
+        "throttle_dense": q_throttle_dense,
         "throttle_split": q_throttle_split,
         "split_flag": q_split_flag,
         "error_message": q_error_message,
@@ -441,6 +448,8 @@ def oracle_sql() -> dict[str, str]:
         "ledger_point_lookup": b + f"SELECT * FROM transfers WHERE id = '{LOOKUP_ID}'",
         "throttle": b + _throttle_ctes("transfers", COOLDOWN_MS)
         + '\nSELECT id, from_id, "timestamp", allowed FROM thr',
+        "throttle_dense": b + _throttle_ctes("transfers", DENSE_COOLDOWN_MS)
+        + '\nSELECT id, from_id, "timestamp", allowed FROM thr',
         "throttle_split": b + _throttle_ctes("transfers", COOLDOWN_MS)
         + "\nSELECT id, from_id, \"timestamp\", CASE WHEN allowed THEN NULL ELSE 'TOO_MANY_REQUESTS' END AS error FROM thr",
         "split_flag": b + _throttle_ctes("transfers", COOLDOWN_MS)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tollgate.operators.chain import allowed_chain
 from tollgate.schema import DEFAULT_COOLDOWN_MS
 
 # The per-sender functions run in Python workers: ship this module's code by
@@ -28,19 +29,6 @@ from tollgate.schema import DEFAULT_COOLDOWN_MS
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def allowed_chain(ts: np.ndarray, cooldown_ms: int, last_allowed: int | None) -> np.ndarray:
-    """``ts`` sorted ascending (ties already ordered by id). Returns the
-    allowed mask of the greedy chain, starting after ``last_allowed``."""
-    n = len(ts)
-    ok = np.zeros(n, dtype=bool)
-    nxt = np.searchsorted(ts, ts + cooldown_ms, side="left")
-    i = 0 if last_allowed is None else int(np.searchsorted(ts, last_allowed + cooldown_ms, side="left"))
-    while i < n:
-        ok[i] = True
-        i = int(nxt[i])
-    return ok
-
-
 def _ordered(frames: list[pd.DataFrame], ts: str, id_col: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Times and ids of all chunks, and their order by (time, id)."""
     t = np.concatenate([f[ts].astype("int64").to_numpy() for f in frames])
