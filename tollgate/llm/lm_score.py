@@ -54,7 +54,7 @@ ROUNDS = 3
 STEP, NOISE = 4096, 64
 RATE = 0.05
 #: Tokens that are scored at a time.
-BATCH = 1 << 14
+BATCH = 1 << 11
 #: The end token, as a word: no word holds a space.
 END = b" "
 
@@ -182,6 +182,15 @@ class Context:
         return out
 
 
+def add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """table[at[i]] += rows[i], equal indices summed first."""
+    if len(at):
+        order = np.argsort(at, kind="stable")
+        at = at[order]
+        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        table[at[first]] += np.add.reduceat(rows[order], first, axis=0)
+
+
 def train(model: Model, docs: Iterator[list[np.ndarray]], noise: np.ndarray) -> int:
     """Noise-contrastive steps over documents' classes, in place; returns the
     number of tokens. The history part's gradient reaches the class vectors
@@ -189,7 +198,6 @@ def train(model: Model, docs: Iterator[list[np.ndarray]], noise: np.ndarray) ->
     rng = np.random.default_rng(5)
     log_noise = np.log(noise)
     grad2 = np.full(Model.SIZE, 1e-6, np.float32)
-    one_hot = np.eye(CLASSES, dtype=np.float32)
     tokens = 0
     for group in docs:
         c = Context(group)
@@ -214,19 +222,17 @@ def train(model: Model, docs: Iterator[list[np.ndarray]], noise: np.ndarray) ->
             e_good = (1 / (1 + np.exp(-np.clip(good, -30, 30))) - 1).astype(np.float32) / n
             e_bad = (1 / (1 + np.exp(-np.clip(bad, -30, 30)))).astype(np.float32) / n
             g = Model(np.zeros(Model.SIZE))
-            hot = one_hot[y]
-            g.target += hot.T @ (e_good[:, None] * h)
+            add_rows(g.target, y, e_good[:, None] * h)
             np.add.at(g.target, drawn, e_bad.T @ h)
-            g.bias += hot.T @ e_good
+            g.bias += np.bincount(y, e_good, CLASSES)
             np.add.at(g.bias, drawn, e_bad.sum(axis=0))
             dh = e_good[:, None] * model.target[y] + e_bad @ model.target[drawn]
             for k in range(3):
-                g.weight[k] = (dh * parts[k]).sum(axis=0)
-            for k, b in enumerate(before):
+                g.weight[k] = np.einsum("nd,nd->d", dh, parts[k])
+            share = model.weight[2] / np.maximum(c.place[sl], 1)[:, None]  # of the word before in the mean
+            for b, w in zip(before, (model.weight[0] + share, np.broadcast_to(model.weight[1], dh.shape))):
                 ok = b >= 0
-                g.context += one_hot[b[ok]].T @ (dh[ok] * model.weight[k])
-            ok = before[0] >= 0
-            g.context += one_hot[before[0][ok]].T @ (dh[ok] * model.weight[2] / np.maximum(c.place[sl], 1)[ok, None])
+                add_rows(g.context, b[ok], dh[ok] * w[ok])
             grad2 += g.flat ** 2
             model.flat -= RATE * g.flat / np.sqrt(grad2)
     return tokens
@@ -237,15 +243,23 @@ def log_probabilities(model: Model, docs: list[np.ndarray]) -> np.ndarray:
     c = Context(docs)
     h = sum(w * p for w, p in zip(model.weight, c.vectors(model.context)))
     out = np.empty(len(c.classes), np.float64)
+    ones = np.ones(CLASSES, np.float32)
     for at in range(0, len(out), BATCH):
         s = h[at:at + BATCH] @ model.target.T + model.bias
         y = c.classes[at:at + BATCH]
-        top = s.max(axis=1)
-        out[at:at + BATCH] = s[np.arange(len(y)), y] - top - np.log(np.exp(s - top[:, None]).sum(axis=1))
+        own = s[np.arange(len(y)), y]
+        top = s.max()  # one for the batch; rows far below it get their own
+        e = np.exp(s - top)
+        total = e @ ones
+        low = total < 1e-20
+        out[at:at + BATCH] = own - top - np.log(np.where(low, 1, total))
+        if low.any():
+            tops = s[low].max(axis=1)
+            out[at:at + BATCH][low] = own[low] - tops - np.log(np.exp(s[low] - tops[:, None]) @ ones)
     return out
 
 
-def grouped(pairs: Iterator[np.ndarray], tokens: int = 1 << 17) -> Iterator[list[np.ndarray]]:
+def grouped(pairs: Iterator[np.ndarray], tokens: int = 1 << 14) -> Iterator[list[np.ndarray]]:
     """Documents in lists of about so many tokens."""
     held, n = [], 0
     for x in pairs:
