@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from tollgate.llm import packing as P
@@ -76,6 +77,19 @@ def test_fast_ids_equal_tokenizers(spark):
         assert encode(t) == np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t[:50]
 
 
+@pytest.mark.parametrize("text", ["a" + " " * 1_200_000 + "b", "a" + "\n" * 1_200_000 + "b", "words " + " " * 1_200_000, "a" + " \t\n" * 400_000 + "b"])
+def test_long_white_space_runs(text):
+    encode, tok = P.Encoder(PATH), Tokenizer.from_file(PATH)
+    with pytest.raises(ValueError):
+        encode.fast.encode_to_numpy(text, disallowed_special=())
+    assert encode(text) == np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_document_with_a_long_white_space_run(spark):
+    docs = [(1, "a b"), (2, "x" + " " * 1_200_000 + "y"), (3, "c")]
+    check(P.pack(spark.createDataFrame(docs, "doc_id long, text string"), PATH).collect(), docs, 2048)
+
+
 def test_other_tokenizer_files():
     path = public_tokenizers.path("word_bpe_49k.json")
     encode = P.Encoder(path)

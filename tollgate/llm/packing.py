@@ -40,8 +40,9 @@ class Encoder:
 
     Where the file is plain byte-level BPE whose merges are numbered in order
     (checked on loading), the same vocabulary runs in ``tiktoken``, which takes
-    half the time; texts with a special token's string, and files of any other
-    kind, go through ``tokenizers``.
+    half the time; texts with a special token's string, texts that ``tiktoken``
+    refuses (its regex backtracks, and gives up on about a million white-space
+    characters in a row), and files of any other kind, go through ``tokenizers``.
     """
 
     def __init__(self, path: str):
@@ -77,7 +78,10 @@ class Encoder:
 
     def __call__(self, text: str) -> bytes:
         if self.fast and not any(x in text for x in self.special):
-            return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+            try:
+                return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+            except ValueError:  # the regex gave up on the text
+                pass
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
