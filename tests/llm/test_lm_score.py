@@ -70,3 +70,40 @@ def test_training_learns():
     for _ in range(3):
         S.train(m, S.grouped(iter(docs)), noise)
     assert S.log_probabilities(m, docs[:20]).mean() > before + 1.0
+
+
+def test_a_long_text_takes_steps_of_bounded_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    m = S.Model.start(np.ones(S.CLASSES))
+    doc = rng.integers(0, S.CLASSES, 600_000).astype(np.uint8)
+    noise = np.full(S.CLASSES, 1 / S.CLASSES)
+    for run in (lambda: S.train(S.Model(m.flat.copy()), S.grouped(iter([doc])), noise), lambda: S.document_scores(m, [doc])):
+        tracemalloc.start()
+        run()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 30e6  # a float32 vector for each token is 58 MB
+
+
+def test_steps_carry_the_history():
+    rng = np.random.default_rng(3)
+    m = S.Model.start(rng.integers(0, 100, S.CLASSES))
+    docs = [rng.integers(0, S.CLASSES, n).astype(np.uint8) for n in (3, 50, 1, 20, 7)]
+    for d in docs:
+        parts = [np.zeros((len(d), S.DIMENSIONS)) for _ in range(3)]
+        for t in range(len(d)):
+            for k in (1, 2):
+                if t >= k:
+                    parts[k - 1][t] = m.context[d[t - k]]
+            if t:
+                parts[2][t] = m.context[d[:t]].mean(axis=0)
+        s = sum(w * p for w, p in zip(m.weight, parts)) @ m.target.T + m.bias
+        want = s[np.arange(len(d)), d] - np.log(np.exp(s).sum(axis=1))
+        assert np.allclose(S.log_probabilities(m, [d]), want, atol=1e-4)
+    whole = np.concatenate([S.step_log_probabilities(m, s) for s in S.steps(docs, 1000)])
+    for size in (1, 2, 3, 8):
+        assert np.allclose(np.concatenate([S.step_log_probabilities(m, s) for s in S.steps(docs, size)]), whole, atol=1e-4)
+    ends = np.cumsum([len(d) for d in docs])
+    assert np.allclose(S.document_scores(m, docs), [x.sum() for x in np.split(whole, ends[:-1])], atol=1e-3)

@@ -27,8 +27,8 @@ each token, and the log of their sum is taken off.
 Defined cases: a null or empty text is the end alone; a null id counts as the
 empty text for the split; repeated rows are counted and scored each; with no
 training document every token is unknown and shares one outcome; very long
-texts are cut into batches of tokens that carry the running mean on; extra
-columns are ignored.
+texts are trained on and scored in steps of tokens that carry the counts of the
+classes before on; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -156,32 +156,55 @@ class Model:
         return m
 
 
-def documents(batch_classes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Concatenated classes, and for each token its document's first token and
-    its place there."""
-    n = np.array([len(c) for c in batch_classes])
-    first = np.repeat(np.cumsum(n) - n, n)
-    classes = np.concatenate(batch_classes)
-    return classes, first, np.arange(len(classes)) - first
-
-
-class Context:
-    """Context indices and histories of many documents at once."""
-
-    def __init__(self, docs: list[np.ndarray]):
-        self.classes, self.first, self.place = documents(docs)
-
-    def vectors(self, table: np.ndarray) -> list[np.ndarray]:
-        own = table[self.classes]
-        out = [np.zeros_like(own) for _ in range(3)]
+class Step:
+    """At most ``size`` tokens of documents: classes, each one's document (by
+    number), place there, and where that document begins and ends in the step.
+    Of the document that was begun before the step it has the counts of the
+    classes so far (``past``) and the last two classes (in ``around``)."""
+
+    def __init__(self, classes: np.ndarray, ends: np.ndarray, at: int, stop: int, past: np.ndarray):
+        where = np.arange(at, stop)
+        self.classes, self.past = classes[at:stop], past
+        self.doc = np.searchsorted(ends, where, "right")
+        first = np.r_[0, ends][self.doc]
+        self.place = where - first
+        self.begin = np.maximum(first - at, 0)
+        self.end = np.minimum(ends[self.doc], stop) - at
+        lead = classes[max(at - 2, 0):at]
+        self.around = np.concatenate([np.zeros(2 - len(lead), classes.dtype), lead, self.classes])
+        self.open = int(self.end[0]) if self.place[0] else 0  # tokens of the document begun before
+
+    def before(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The classes k places before, and where there is such a place."""
+        return self.around[2 - k:len(self.around) - k], self.place >= k
+
+    def parts(self, table: np.ndarray) -> list[np.ndarray]:
+        """The three context parts of every token."""
+        out = []
         for k in (1, 2):
-            out[k - 1][k:] = np.where((self.place >= k)[k:, None], own[:-k], 0)
-        sums = np.concatenate([np.zeros((1, own.shape[1])), np.cumsum(own, axis=0, dtype=np.float64)])
-        at = np.arange(len(own))
-        out[2] = ((sums[at] - sums[self.first]) / np.maximum(self.place, 1)[:, None]).astype(np.float32)
+            b, ok = self.before(k)
+            out.append(np.where(ok[:, None], table[b], 0))
+        sums = np.concatenate([np.zeros((1, table.shape[1])), np.cumsum(table[self.classes], axis=0, dtype=np.float64)])
+        mean = sums[:-1] - sums[self.begin]
+        if self.open:
+            mean[:self.open] += self.past @ table
+        out.append((mean / np.maximum(self.place, 1)[:, None]).astype(np.float32))
         return out
 
 
+def steps(docs: list[np.ndarray], size: int) -> Iterator[Step]:
+    """Documents' classes in steps of ``size`` tokens, the history carried on as
+    counts of classes: a step's work and memory do not grow with a document."""
+    classes = docs[0] if len(docs) == 1 else np.concatenate(docs)
+    ends = np.cumsum([len(d) for d in docs])
+    past = np.zeros(CLASSES)
+    for at in range(0, len(classes), size):
+        step = Step(classes, ends, at, min(at + size, len(classes)), past)
+        yield step
+        begin = int(step.begin[-1])
+        past = np.bincount(step.classes[begin:], minlength=CLASSES) + (past if begin == 0 and step.open else 0)
+
+
 def add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     """table[at[i]] += rows[i], equal indices summed first."""
     if len(at):
@@ -191,71 +214,76 @@ def add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
         table[at[first]] += np.add.reduceat(rows[order], first, axis=0)
 
 
+def gradient(model: Model, step: Step, noise: np.ndarray, drawn: np.ndarray) -> Model:
+    """Gradient of a step's mean noise-contrastive loss, against the noise
+    classes ``drawn``. The history part's gradient reaches the class vectors
+    through the word before only."""
+    log_noise = np.log(noise)
+    y, n = step.classes, len(step.classes)
+    parts = step.parts(model.context)
+    h = sum(w * p for w, p in zip(model.weight, parts))
+    good = np.einsum("nd,nd->n", h, model.target[y]) + model.bias[y] - log_noise[y] - np.log(NOISE)
+    bad = h @ model.target[drawn].T + model.bias[drawn] - log_noise[drawn] - np.log(NOISE)
+    e_good = (1 / (1 + np.exp(-np.clip(good, -30, 30))) - 1).astype(np.float32) / n
+    e_bad = ((1 / (1 + np.exp(-np.clip(bad, -30, 30)))) / n).astype(np.float32)
+    g = Model(np.zeros(Model.SIZE))
+    np.add.at(g.target, drawn, e_bad.T @ h)
+    g.bias += np.bincount(y, e_good, CLASSES)
+    np.add.at(g.bias, drawn, e_bad.sum(axis=0))
+    dh = e_good[:, None] * model.target[y] + e_bad @ model.target[drawn]
+    for k in range(3):
+        g.weight[k] = np.einsum("nd,nd->d", dh, parts[k])
+    add_rows(g.target, y, e_good[:, None] * h)
+    share = model.weight[2] / np.maximum(step.place, 1)[:, None]  # of the word before in the mean
+    for k, w in ((1, model.weight[0] + share), (2, np.broadcast_to(model.weight[1], dh.shape))):
+        b, ok = step.before(k)
+        add_rows(g.context, b[ok], dh[ok] * w[ok])
+    return g
+
+
 def train(model: Model, docs: Iterator[list[np.ndarray]], noise: np.ndarray) -> int:
     """Noise-contrastive steps over documents' classes, in place; returns the
-    number of tokens. The history part's gradient reaches the class vectors
-    through the words just before only, whose indices a step has at hand."""
+    number of tokens."""
     rng = np.random.default_rng(5)
-    log_noise = np.log(noise)
     grad2 = np.full(Model.SIZE, 1e-6, np.float32)
     tokens = 0
     for group in docs:
-        c = Context(group)
-        tokens += len(c.classes)
-        for at in range(0, len(c.classes), STEP):
-            sl = slice(at, min(at + STEP, len(c.classes)))
-            y = c.classes[sl]
-            n = len(y)
-            before = [np.where(c.place[sl] >= k, c.classes[np.maximum(np.arange(sl.start, sl.stop) - k, 0)], -1) for k in (1, 2)]
-            table = model.context
-            lo = int(c.first[at])
-            parts = [np.where((b >= 0)[:, None], table[b], 0) for b in before]
-            own = table[c.classes[lo:sl.stop]]
-            sums = np.concatenate([np.zeros((1, own.shape[1])), np.cumsum(own, axis=0, dtype=np.float64)])
-            pos = np.arange(sl.start, sl.stop) - lo
-            start = np.maximum(c.first[sl] - lo, 0)
-            parts.append(((sums[pos] - sums[start]) / np.maximum(c.place[sl], 1)[:, None]).astype(np.float32))
-            h = sum(w * p for w, p in zip(model.weight, parts))
-            drawn = rng.choice(CLASSES, NOISE, p=noise)
-            good = np.einsum("nd,nd->n", h, model.target[y]) + model.bias[y] - log_noise[y] - np.log(NOISE)
-            bad = h @ model.target[drawn].T + model.bias[drawn] - log_noise[drawn] - np.log(NOISE)
-            e_good = (1 / (1 + np.exp(-np.clip(good, -30, 30))) - 1).astype(np.float32) / n
-            e_bad = (1 / (1 + np.exp(-np.clip(bad, -30, 30)))).astype(np.float32) / n
-            g = Model(np.zeros(Model.SIZE))
-            add_rows(g.target, y, e_good[:, None] * h)
-            np.add.at(g.target, drawn, e_bad.T @ h)
-            g.bias += np.bincount(y, e_good, CLASSES)
-            np.add.at(g.bias, drawn, e_bad.sum(axis=0))
-            dh = e_good[:, None] * model.target[y] + e_bad @ model.target[drawn]
-            for k in range(3):
-                g.weight[k] = np.einsum("nd,nd->d", dh, parts[k])
-            share = model.weight[2] / np.maximum(c.place[sl], 1)[:, None]  # of the word before in the mean
-            for b, w in zip(before, (model.weight[0] + share, np.broadcast_to(model.weight[1], dh.shape))):
-                ok = b >= 0
-                add_rows(g.context, b[ok], dh[ok] * w[ok])
+        for step in steps(group, STEP):
+            tokens += len(step.classes)
+            g = gradient(model, step, noise, rng.choice(CLASSES, NOISE, p=noise))
             grad2 += g.flat ** 2
             model.flat -= RATE * g.flat / np.sqrt(grad2)
     return tokens
 
 
+def step_log_probabilities(model: Model, step: Step) -> np.ndarray:
+    """Natural logs of the normalised class probabilities of a step's tokens."""
+    h = sum(w * p for w, p in zip(model.weight, step.parts(model.context)))
+    ones = np.ones(CLASSES, np.float32)
+    s = h @ model.target.T + model.bias
+    own = s[np.arange(len(h)), step.classes]
+    top = s.max()  # one for the step; rows far below it get their own
+    total = np.exp(s - top) @ ones
+    low = total < 1e-20
+    out = (own - top - np.log(np.where(low, 1, total))).astype(np.float64)
+    if low.any():
+        tops = s[low].max(axis=1)
+        out[low] = own[low] - tops - np.log(np.exp(s[low] - tops[:, None]) @ ones)
+    return out
+
+
 def log_probabilities(model: Model, docs: list[np.ndarray]) -> np.ndarray:
     """Natural logs of the normalised class probabilities of every token."""
-    c = Context(docs)
-    h = sum(w * p for w, p in zip(model.weight, c.vectors(model.context)))
-    out = np.empty(len(c.classes), np.float64)
-    ones = np.ones(CLASSES, np.float32)
-    for at in range(0, len(out), BATCH):
-        s = h[at:at + BATCH] @ model.target.T + model.bias
-        y = c.classes[at:at + BATCH]
-        own = s[np.arange(len(y)), y]
-        top = s.max()  # one for the batch; rows far below it get their own
-        e = np.exp(s - top)
-        total = e @ ones
-        low = total < 1e-20
-        out[at:at + BATCH] = own - top - np.log(np.where(low, 1, total))
-        if low.any():
-            tops = s[low].max(axis=1)
-            out[at:at + BATCH][low] = own[low] - tops - np.log(np.exp(s[low] - tops[:, None]) @ ones)
+    return np.concatenate([step_log_probabilities(model, s) for s in steps(docs, BATCH)])
+
+
+def document_scores(model: Model, docs: list[np.ndarray]) -> np.ndarray:
+    """Sums of the documents' natural log class probabilities."""
+    out = np.zeros(len(docs))
+    for s in steps(docs, BATCH):
+        lo = int(s.doc[0])
+        sums = np.bincount(s.doc - lo, step_log_probabilities(model, s))
+        out[lo:lo + len(sums)] += sums
     return out
 
 
@@ -361,8 +389,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
         for b in batches:
             out = []
             for group in grouped(np.frombuffer(x.as_py(), np.uint8) for x in b.column("classes")):
-                p = log_probabilities(own, group) / np.log(10)
-                out.append(np.add.reduceat(p, np.cumsum([0, *(len(x) for x in group[:-1])])))
+                out.append(document_scores(own, group) / np.log(10))
             total = np.concatenate(out) if out else np.empty(0)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "held_out", "n_tokens", "n_known", "base")), pa.array(total + b.column("shares").to_numpy())],
                                              ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
