@@ -107,3 +107,32 @@ def test_steps_carry_the_history():
         assert np.allclose(np.concatenate([S.step_log_probabilities(m, s) for s in S.steps(docs, size)]), whole, atol=1e-4)
     ends = np.cumsum([len(d) for d in docs])
     assert np.allclose(S.document_scores(m, docs), [x.sum() for x in np.split(whole, ends[:-1])], atol=1e-3)
+
+
+def test_gradient_is_that_of_the_loss():
+    rng = np.random.default_rng(4)
+    m = S.Model.start(rng.integers(0, 100, S.CLASSES))
+    m.weight[2] = 3.0
+    noise = rng.random(S.CLASSES)
+    noise /= noise.sum()
+    drawn = rng.choice(S.CLASSES, S.NOISE, p=noise)
+    docs = [rng.integers(0, 12, n).astype(np.uint8) for n in (5, 90, 1, 30)]
+
+    def loss(flat, step):
+        x = S.Model(flat)
+        h = sum(w * p for w, p in zip(x.weight, step.parts(x.context))).astype(np.float64)
+        offset = np.log(noise) + np.log(S.NOISE)
+        y = step.classes
+        good = (h * x.target[y]).sum(axis=1) + (x.bias - offset)[y]
+        bad = h @ x.target[drawn].T + (x.bias - offset)[drawn]
+        return (np.logaddexp(0, -good) + np.logaddexp(0, bad).sum(axis=1)).mean()
+
+    for step in S.steps(docs, 40):  # the second step begins inside a document
+        g = S.gradient(m, step, noise, drawn).flat.astype(float)
+        for part in range(len(S.Model.SHAPES)):
+            at = sum(int(np.prod(s)) for s in S.Model.SHAPES[:part])
+            own = slice(at, at + int(np.prod(S.Model.SHAPES[part])))
+            d = np.zeros(S.Model.SIZE)
+            d[own] = g[own] / np.linalg.norm(g[own])
+            slope = (loss(m.flat + 0.01 * d, step) - loss(m.flat - 0.01 * d, step)) / 0.02
+            assert np.isclose(slope, g @ d, rtol=0.01)

@@ -216,8 +216,8 @@ def add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
 
 def gradient(model: Model, step: Step, noise: np.ndarray, drawn: np.ndarray) -> Model:
     """Gradient of a step's mean noise-contrastive loss, against the noise
-    classes ``drawn``. The history part's gradient reaches the class vectors
-    through the word before only."""
+    classes ``drawn``. A class vector's part in the mean of all words before
+    is followed to every word there, those before the step included."""
     log_noise = np.log(noise)
     y, n = step.classes, len(step.classes)
     parts = step.parts(model.context)
@@ -233,11 +233,18 @@ def gradient(model: Model, step: Step, noise: np.ndarray, drawn: np.ndarray) ->
     dh = e_good[:, None] * model.target[y] + e_bad @ model.target[drawn]
     for k in range(3):
         g.weight[k] = np.einsum("nd,nd->d", dh, parts[k])
-    add_rows(g.target, y, e_good[:, None] * h)
-    share = model.weight[2] / np.maximum(step.place, 1)[:, None]  # of the word before in the mean
-    for k, w in ((1, model.weight[0] + share), (2, np.broadcast_to(model.weight[1], dh.shape))):
+    for k in (1, 2):
         b, ok = step.before(k)
-        add_rows(g.context, b[ok], dh[ok] * w[ok])
+        add_rows(g.context, b[ok], dh[ok] * model.weight[k - 1])
+    # A word stands in the mean of all later places of its document.
+    share = np.where((step.place > 0)[:, None], dh * model.weight[2] / np.maximum(step.place, 1)[:, None], 0)
+    sums = np.concatenate([np.zeros((1, DIMENSIONS)), np.cumsum(share, axis=0, dtype=np.float64)])
+    both = np.zeros((CLASSES, 2 * DIMENSIONS), np.float32)
+    add_rows(both, y, np.concatenate([e_good[:, None] * h, sums[step.end] - sums[1:]], axis=1, dtype=np.float32, casting="same_kind"))
+    g.target += both[:, :DIMENSIONS]
+    g.context += both[:, DIMENSIONS:]
+    if step.open:
+        g.context += np.outer(step.past, sums[step.open])
     return g
 
 
