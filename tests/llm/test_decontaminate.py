@@ -58,3 +58,13 @@ def test_clean_documents_and_empty(spark):
     assert 1 not in {r.doc_id for r in kept.collect()} and kept.count() == len(DOCS) - 1
     assert D.matches(docs.limit(0), items).count() == 0
     assert D.matches(docs, items.limit(0)).filter("n_hit > 0").count() == 0
+
+
+@pytest.mark.parametrize("block,chunk", [(1 << 16, 1 << 20), (2, 10)])
+def test_clean_rows_stay_whatever_ids_they_share(spark, block, chunk):
+    rows = [(None, "x a b c d y", 1), (None, "clean", 2), (None, None, 3), (7, "a b c d", 4), (7, "a b c", 5), (7, "a b c", 6), (8, "zz", 7), (8, "B c D, e", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row int")
+    items = spark.createDataFrame([(1, "a b c d e"), (2, "q r s t u")], "item_id long, text string")
+    kept = D.clean_documents(docs, items, size=4, block=block, chunk_bytes=chunk)
+    assert kept.columns == docs.columns
+    assert sorted(r["_row"] for r in kept.collect()) == [2, 3, 5, 6, 7]

@@ -227,28 +227,35 @@ def union_blocks(parts: list[DataFrame]) -> DataFrame:
     return rows.groupBy("key").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
         F.collect_list("spans").alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-    ).select("doc_id", "n_words", union("spans").alias("spans"), "items")
+    ).select("doc_id", "key", "n_words", union("spans").alias("spans"), "items")
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-            item_text_col: str = "text", size: int = 10, slop: int = 0, block: int = BLOCK, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Rows (doc_id, n_words, spans, items, n_hit), one for each document:
-    ``spans`` the runs of hit words (little-endian int32 pairs), ``items`` the
-    benchmark items with a window in the document."""
+def search_blocks(d: DataFrame, first: dict[tuple, list], rest: Iterator[dict[tuple, list]], size: int, slop: int, chunk_bytes: int) -> DataFrame:
+    """Search documents (doc_id, key, t) for all blocks of windows: one row for
+    each. With more than one block, ``key`` must number the rows."""
 
     @F.pandas_udf("long")
     def covered(spans: pd.Series) -> pd.Series:
         return pd.Series([int(np.diff(unpack_runs(bytes(x)), axis=1).sum()) for x in spans], dtype="int64")
 
+    parts = [search_block(d, o, size, slop, chunk_bytes) for o in (first, *rest)]
+    found = parts[0] if len(parts) == 1 else union_blocks(parts)
+    return found.withColumn("n_hit", covered("spans"))
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+            item_text_col: str = "text", size: int = 10, slop: int = 0, block: int = BLOCK, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Rows (doc_id, n_words, spans, items, n_hit), one for each document:
+    ``spans`` the runs of hit words (little-endian int32 pairs), ``items`` the
+    benchmark items with a window in the document."""
     d = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_bytes(text_col).alias("t"), F.lit(None).cast("long").alias("key"))
     blocks = query_blocks(benchmark, item_col, item_text_col, size, block)
     first, second = next(blocks), next(blocks, None)
     if second is None:
-        found = search_block(d, first, size, slop, chunk_bytes).drop("key")
-    else:  # rows get a number that all blocks share
-        d = Written(d.withColumn("key", F.monotonically_increasing_id()), "numbered").df
-        found = union_blocks([search_block(d, o, size, slop, chunk_bytes) for o in (first, second, *blocks)])
-    return found.withColumn("n_hit", covered("spans"))
+        return search_blocks(d, first, (), size, slop, chunk_bytes).drop("key")
+    # rows get a number that all blocks share
+    d = Written(d.withColumn("key", F.monotonically_increasing_id()), "numbered").df
+    return search_blocks(d, first, (second, *blocks), size, slop, chunk_bytes).drop("key")
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -259,8 +266,16 @@ def digest(found: DataFrame) -> DataFrame:
         F.sha2(joined.cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without any benchmark window, with the input's columns. A
-    doc_id of which any row is contaminated goes with all its rows."""
-    bad = matches(docs, benchmark, id_col, text_col).filter("n_hit > 0").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col(f"`{id_col}`").eqNullSafe(F.col("_bad")), "left_anti")
+def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+                    item_text_col: str = "text", size: int = 10, block: int = BLOCK, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """The documents without any benchmark window, with the input's columns.
+    Each row is judged by its own text, whatever ids it shares; the input is
+    written once with a row number, by which contaminated rows go."""
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    numbered = Written(docs.withColumn(key, F.monotonically_increasing_id()), "numbered").df
+    d = numbered.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_bytes(text_col).alias("t"), F.col(key).alias("key"))
+    blocks = query_blocks(benchmark, item_col, item_text_col, size, block)
+    bad = search_blocks(d, next(blocks), blocks, size, 0, chunk_bytes).filter("n_hit > 0").select(F.col("key").alias(key))
+    return numbered.join(bad, key, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
