@@ -13,6 +13,7 @@ from tollgate.llm import (
     packing_query,
     quality_classifier_query,
     quality_rules_query,
+    sharding_query,
     simhash_query,
     suffix_dedup_query,
     token_count_query,
@@ -34,6 +35,7 @@ def queries() -> dict[str, Query]:
         "op8_count_viterbi": token_count_query.op8_count_viterbi,
         "op9_best_two_fit": packing_query.op9_best_two_fit,
         "op10_simhash": simhash_query.op10_simhash,
+        "op12_shard_tree": sharding_query.op12_shard_tree,
     }
 
 
@@ -44,4 +46,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_url_filter": url_filter_query.SQL,
         "op5_quality_rules": quality_rules_query.SQL,
         "op6_decontaminate": decontaminate_query.SQL,
+        "op12_shard_tree": sharding_query.SQL,
     }
