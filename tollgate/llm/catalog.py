@@ -18,6 +18,7 @@ from tollgate.llm import (
     suffix_dedup_query,
     token_count_query,
     url_filter_query,
+    whitening_query,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,7 @@ def queries() -> dict[str, Query]:
         "op9_best_two_fit": packing_query.op9_best_two_fit,
         "op10_simhash": simhash_query.op10_simhash,
         "op12_shard_tree": sharding_query.op12_shard_tree,
+        "op13_whitening": whitening_query.op13_whitening,
     }
 
 
