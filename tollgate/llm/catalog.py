@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tollgate.llm import (
+    collocations_query,
     decontaminate_query,
     language_id_query,
     lm_score_query,
@@ -36,6 +37,7 @@ def queries() -> dict[str, Query]:
         "op8_count_viterbi": token_count_query.op8_count_viterbi,
         "op9_best_two_fit": packing_query.op9_best_two_fit,
         "op10_simhash": simhash_query.op10_simhash,
+        "op11_collocations": collocations_query.op11_collocations,
         "op12_shard_tree": sharding_query.op12_shard_tree,
         "op13_whitening": whitening_query.op13_whitening,
     }
@@ -48,5 +50,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_url_filter": url_filter_query.SQL,
         "op5_quality_rules": quality_rules_query.SQL,
         "op6_decontaminate": decontaminate_query.SQL,
+        "op11_collocations": collocations_query.SQL,
         "op12_shard_tree": sharding_query.SQL,
     }
