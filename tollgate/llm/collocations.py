@@ -57,7 +57,7 @@ SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 TABLE = bytes.maketrans(bytes(range(65, 91)) + SEPARATORS + b"\t", bytes(range(97, 123)) + b"." * len(SEPARATORS) + b" ")
 BOUNDARY = re.compile(rb"[ \t.,;:!?\n-\r]")
 #: Words of a chunk, bytes of a text that are tokenised at a time.
-CHUNK, BLOCK = 1 << 21, 1 << 23
+CHUNK, BLOCK = 1 << 20, 1 << 22
 #: Bits of a set; 2 ** 23 are one megabyte.
 BITS = 23
 #: Candidates above the first threshold for each result wanted, and the factor from step to step.
@@ -196,16 +196,18 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _counted(lang, [some], words, n[some])
 
 
-def _frequent_pairs(lang, ids, words, frequent, bits):
-    """For each place: the pair's key (0 where a word is a boundary or rare);
-    keys are first * len(words) + second."""
-    after, alone = _hashes(lang, words.to_pylist())
+def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys and their counts; sorts ``key`` in place."""
+    key.sort()
+    start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
+    return key[start], np.diff(np.r_[start, len(key)])
+
+
+def _frequent_places(ids: np.ndarray, after: np.ndarray, frequent: np.ndarray, bits: int) -> np.ndarray:
+    """For each place, whether a frequent word stands there."""
     good = _within(frequent, after, bits)
     good[0] = False
-    ok = good[ids]
-    key = ids[:-1].astype(np.int64) * len(words) + ids[1:]
-    key[~(ok[:-1] & ok[1:])] = 0
-    return key, after, alone
+    return good[ids]
 
 
 def count_pairs(frequent: np.ndarray, bits: int):
@@ -213,11 +215,14 @@ def count_pairs(frequent: np.ndarray, bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, lead, ids, words in _chunk_rows(batches):
-            if len(ids) < 2:
-                continue
-            key, _, _ = _frequent_pairs(lang, ids, words, frequent, bits)
-            key = key[max(0, lead - 1):]  # a pair of the two words before the chunk is counted there
-            k, n = np.unique(key[key > 0], return_counts=True)
+            ids = ids[max(0, lead - 1):]  # a pair of the two words before the chunk is counted there
+            after, _ = _hashes(lang, words.to_pylist())
+            ok = _frequent_places(ids, after, frequent, bits)
+            at = np.flatnonzero(ok[:-1] & ok[1:])
+            key = ids[at].astype(np.int64)
+            key *= len(words)
+            key += ids[at + 1]
+            k, n = _runs(key)
             yield from _counted(lang, [k // len(words), k % len(words)], words, n)
 
     return run
@@ -229,22 +234,23 @@ def count_triples(frequent: np.ndarray, grow: tuple[np.ndarray, np.ndarray], gro
     ``grown`` did not hold likewise."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, lead, ids, words in _chunk_rows(batches):
-            if len(ids) < 3:
-                continue
-            key, after, alone = _frequent_pairs(lang, ids, words, frequent, bits)
-            pairs, place = np.unique(key, return_inverse=True)
-            hashes = _rotated(after[pairs // len(words)]) ^ alone[pairs % len(words)]
-            first, last = place[:-1], place[1:]
-            within = lambda s: _within(s[0], hashes, bits)[first] | _within(s[1], hashes, bits)[last]
-            take = within(grow) & (pairs[first] > 0) & (pairs[last] > 0)
+        for lang, _, ids, words in _chunk_rows(batches):
+            after, alone = _hashes(lang, words.to_pylist())
+            ok = _frequent_places(ids, after, frequent, bits)
+            take = ok[:-2] & ok[1:-1] & ok[2:]
+            pair = _rotated(after)[ids[:-1]]
+            pair ^= alone[ids[1:]]
+            within = lambda s: _within(s[0], pair[:-1], bits) | _within(s[1], pair[1:], bits)
+            take &= within(grow)
             if grown is not None:
                 take &= ~within(grown)
             at = np.flatnonzero(take)
-            k = first[at].astype(np.int64) * len(words) + ids[at + 2]
-            k, n = np.unique(k, return_counts=True)
-            p = pairs[k // len(words)]
-            yield from _counted(lang, [p // len(words), p % len(words), k % len(words)], words, n)
+            pairs = ids[at].astype(np.int64) * len(words) + ids[at + 1]
+            k, _ = _runs(pairs.copy())  # numbered, so that a triple's key stays within 64 bits
+            key = np.searchsorted(k, pairs) * len(words) + ids[at + 2]
+            t, n = _runs(key)
+            p = k[t // len(words)] if len(t) else t
+            yield from _counted(lang, [p // len(words), p % len(words), t % len(words)], words, n)
 
     return run
 
