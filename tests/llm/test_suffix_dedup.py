@@ -65,6 +65,27 @@ def test_equals_plain_counting(spark, length, kw):
         (str(i if i % 9 else None), *w) for i, w in enumerate(want))
 
 
+def test_hot_core_split_by_adaptive_execution(spark):
+    """Skewed joins are split from the first bytes on; all pieces of a core still meet."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    text = lambda n: " ".join(word() for _ in range(n))
+    hot, planted = text(40), [text(12) for _ in range(40)]
+    texts = [f"{text(4)} {hot[rng.randrange(8):]} {text(4)}" for _ in range(400)] + [f"{text(9)} {p} {text(9)}" for p in planted * 2] + [text(30) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = S.dedup(df, length=60).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == [(i, *w) for i, w in enumerate(plain(texts, 60))]
+
+
 def test_segments_and_empty(spark, monkeypatch):
     monkeypatch.setattr(S, "SEGMENT", 50)
     a = S.Anchors(20, 3)

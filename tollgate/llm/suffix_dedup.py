@@ -258,7 +258,9 @@ def repeated_bytes(texts: DataFrame, length: int, gram: int, piece: int, group:
     fetched = texts.join(by_text, (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("i"))).select("t", "spans")
     pieces = Written(fetched.mapInArrow(cut_pieces(length, piece), PIECES), "pieces").df
     sizes = Written(pieces.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1"), "cores").df
-    grouped = pieces.join(sizes, "core")
+    # Written before it is dealt out by core: the join's own partitioning, under
+    # which Spark would leave out the exchange, may be split at a hot core.
+    grouped = Written(pieces.join(sizes, "core"), "grouped-pieces").df
     dealt = grouped.filter(F.col("n") <= group).drop("n").repartition("core").sortWithinPartitions("core")
     ranges = dealt.mapInArrow(merge_pieces(piece, unit, shard), RANGES)
     windows = grouped.filter(F.col("n") > group).drop("n").mapInArrow(hash_windows(piece), "window binary, gram long, span binary, near int")
@@ -271,7 +273,8 @@ def repeated_bytes(texts: DataFrame, length: int, gram: int, piece: int, group:
         "digest",
         (F.col("a") - F.least("r.far", F.col("a") - F.col("lo"))).alias("begin"),
         (F.col("a") - F.greatest("r.near", F.col("a") - F.col("hi")) + length).alias("end"))
-    return placed.groupBy("digest").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+    # Written for the same reason as the other sides: all copies of a text join it.
+    return Written(placed.groupBy("digest").agg(F.collect_set(F.struct("begin", "end")).alias("spans")), "removed").df
 
 
 def removed_runs(spans) -> np.ndarray:
