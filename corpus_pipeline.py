@@ -17,7 +17,10 @@ from tollgate.llm import decontaminate, packing, quality_rules, simhash, suffix_
 from tollgate.llm.common import Written, read_table
 
 SHINGLE, MAX_BITS = 3, 2
-REPEAT_BYTES = 400
+#: A passage of over 50 words counts as a repeat. 99 of 100 stretches of 51 words
+#: (``documents`` at sf0.1) have 200 bytes or more, and half of them 304 or less,
+#: so that at 400 bytes most passages just over 50 words would stay.
+REPEAT_BYTES = 200
 SEQUENCE_TOKENS = 2048
 
 

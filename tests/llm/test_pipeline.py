@@ -27,13 +27,14 @@ def plain_pipeline(docs, items):
     comp = plain_components([i for i, _ in docs], [plain_fingerprint(t) for _, t in docs])
     docs = [d for d, c in zip(docs, comp) if d[0] == c]
     raw = [t.encode() for _, t in docs]
-    seen = Counter(t[i:i + 400] for t in raw for i in range(len(t) - 399))
+    n = C.REPEAT_BYTES
+    seen = Counter(t[i:i + n] for t in raw for i in range(len(t) - n + 1))
     texts = []
     for t in raw:
         gone = bytearray(len(t))
-        for i in range(len(t) - 399):
-            if seen[t[i:i + 400]] > 1:
-                gone[i:i + 400] = b"\1" * 400
+        for i in range(len(t) - n + 1):
+            if seen[t[i:i + n]] > 1:
+                gone[i:i + n] = b"\1" * n
         texts.append(bytes(c for c, g in zip(t, gone) if not g).decode("utf-8", "ignore"))
     windows = set()
     for x in items:
