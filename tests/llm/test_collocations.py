@@ -75,10 +75,9 @@ def test_long_texts_span_blocks_and_chunks(spark, monkeypatch):
 
     def counts(chunks, k):
         out = Counter()
-        for b in chunks:
-            for r in b.to_pylist():
-                ids = list(memoryview(r["ids"]).cast("i"))
-                out.update((r["lang"], *(r["words"][i] for i in ids[p:p + k])) for p in range(len(ids) - k + 1) if p + k > r["lead"] and 0 not in ids[p:p + k])
+        for lang, lead, ids, words in C._chunk_rows(chunks):
+            ids = ids.tolist()
+            out.update((lang, *(words[i] for i in ids[p:p + k])) for p in range(len(ids) - k + 1) if p + k > lead and 0 not in ids[p:p + k])
         return out
 
     for size in (1, 2, 50):

@@ -57,7 +57,7 @@ SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 TABLE = bytes.maketrans(bytes(range(65, 91)) + SEPARATORS + b"\t", bytes(range(97, 123)) + b"." * len(SEPARATORS) + b" ")
 BOUNDARY = re.compile(rb"[ \t.,;:!?\n-\r]")
 #: Words of a chunk, bytes of a text that are tokenised at a time.
-CHUNK, BLOCK = 1 << 20, 1 << 22
+CHUNK, BLOCK = 1 << 19, 1 << 20
 #: Bits of a set; 2 ** 23 are one megabyte.
 BITS = 23
 #: Candidates above the first threshold for each result wanted, and the factor from step to step.
@@ -88,7 +88,9 @@ def blocks(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-CHUNKS = "lang string, lead int, ids binary, words array<binary>"
+CHUNKS = "lang string, lead int, ids binary, n_ids int, words binary, n_words int"
+#: Codec of a chunk's numbers and words, which are handed about whole.
+CODEC = "zstd"
 
 
 class Chunk:
@@ -104,14 +106,16 @@ class Chunk:
         self.n += len(words)
 
     def row(self, lang: str) -> tuple:
-        return lang, self.lead, np.concatenate(self.parts).tobytes(), list(self.numbers)
+        ids, words = np.concatenate(self.parts).tobytes(), b" ".join(self.numbers)  # no word has a space
+        return lang, self.lead, pa.compress(ids, CODEC, asbytes=True), len(ids), pa.compress(words, CODEC, asbytes=True), len(words)
 
 
 def tokenise(chunk: int):
     """Arrow function: (lang, t) to chunks of word numbers."""
 
     def batch(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.string(), pa.int32(), pa.binary(), pa.list_(pa.binary())))], ["lang", "lead", "ids", "words"])
+        types = pa.string(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.int32()
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), types)], ["lang", "lead", "ids", "n_ids", "words", "n_words"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_: dict[str, Chunk] = {}
@@ -174,13 +178,15 @@ def _within(members: np.ndarray, places: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _chunk_rows(batches: Iterator[pa.RecordBatch]):
+    """(language, words before the chunk, numbers, words) of each chunk."""
     for b in batches:
-        for lang, lead, ids, words in zip(b.column("lang"), b.column("lead"), b.column("ids"), b.column("words")):
-            yield lang.as_py(), lead.as_py(), np.frombuffer(ids.as_py(), np.int32), words.values
+        for i in range(b.num_rows):
+            lang, lead, ids, n_ids, words, n_words = (c[i].as_py() for c in b.columns)
+            yield lang, lead, np.frombuffer(pa.decompress(ids, n_ids, CODEC), np.int32), pa.decompress(words, n_words, CODEC, asbytes=True).split(b" ")
 
 
 def _counted(lang: str, columns: list[np.ndarray], words, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-    names = ["w1", "w2", "w3"][:len(columns)]
+    names, words = ["w1", "w2", "w3"][:len(columns)], pa.array(words, pa.binary())
     for at in range(0, len(n), 1 << 15):
         part = [words.take(pa.array(c[at:at + (1 << 15)])) for c in columns]
         k = n[at:at + (1 << 15)]
@@ -216,7 +222,7 @@ def count_pairs(frequent: np.ndarray, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, lead, ids, words in _chunk_rows(batches):
             ids = ids[max(0, lead - 1):]  # a pair of the two words before the chunk is counted there
-            after, _ = _hashes(lang, words.to_pylist())
+            after, _ = _hashes(lang, words)
             ok = _frequent_places(ids, after, frequent, bits)
             at = np.flatnonzero(ok[:-1] & ok[1:])
             key = ids[at].astype(np.int64)
@@ -235,7 +241,7 @@ def count_triples(frequent: np.ndarray, grow: tuple[np.ndarray, np.ndarray], gro
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, _, ids, words in _chunk_rows(batches):
-            after, alone = _hashes(lang, words.to_pylist())
+            after, alone = _hashes(lang, words)
             ok = _frequent_places(ids, after, frequent, bits)
             take = ok[:-2] & ok[1:-1] & ok[2:]
             pair = _rotated(after)[ids[:-1]]
