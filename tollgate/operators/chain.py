@@ -2,7 +2,7 @@
 
 ``allowed_chain`` walks one stretch; ``exits`` makes of a stretch the map from
 the state on entry (the last allowed time before it) to the state on exit, so
-that stretches can be folded apart and chained afterwards.
+that stretches can be folded apart and composed afterwards.
 """
 
 from __future__ import annotations
@@ -16,6 +16,9 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Steps that leave a task in one batch.
+STEPS = 1 << 15
+
 
 def allowed_chain(ts: np.ndarray, cooldown_ms: int, last_allowed: int | None) -> np.ndarray:
     """``ts`` sorted ascending (ties already ordered by id). Returns the
@@ -59,34 +62,19 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[tu
 
 
 def edge_stretches(cooldown_ms: int):
-    """Arrow function: sorted points to the maps of the first and the last run
-    of the partition, the only ones that another partition may go on with."""
+    """Arrow function: sorted points to the steps (``upto``, ``last``; a row
+    each) of the first and the last run of the partition, the only ones that
+    another partition may go on with."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, runs in _runs(batches):
-            ts = t.column("_t").to_numpy()
+            ts, keys, ranges = t.column("_t").to_numpy(), t.column("_k").combine_chunks(), t.column("_r").combine_chunks()
             for a, b in dict.fromkeys([runs[0], runs[-1]]):
                 upto, last = exits(ts[a:b], cooldown_ms)
-                yield pa.RecordBatch.from_arrays(
-                    [t.column("_k").combine_chunks().slice(a, 1), t.column("_r").combine_chunks().slice(a, 1),
-                     pa.array([upto.tolist()], pa.list_(pa.int64())), pa.array([last.tolist()], pa.list_(pa.int64()))],
-                    ["_k", "_r", "upto", "last"])
-
-    return run
-
-
-def entries(cooldown_ms: int):
-    """Grouped function: one key's stretches to the last allowed time before
-    each, by one step a stretch."""
-
-    def run(pdf):
-        state, out = None, []
-        for r, upto, last in sorted(zip(pdf["_r"], pdf["upto"], pdf["last"]), key=lambda x: x[0]):
-            out.append(state)
-            i = 0 if state is None else int(np.searchsorted(np.asarray(upto), state + cooldown_ms, side="left"))
-            if i < len(last):
-                state = int(last[i])
-        return pdf.sort_values("_r")[["_r"]].assign(entry=np.array(out, dtype=object)).dropna().astype({"entry": "int64"})
+                for at in range(0, len(upto), STEPS):
+                    n = min(STEPS, len(upto) - at)
+                    same = pa.array(np.full(n, a))
+                    yield pa.RecordBatch.from_arrays([keys.take(same), ranges.take(same), pa.array(upto[at:at + n]), pa.array(last[at:at + n])], ["_k", "_r", "upto", "last"])
 
     return run
 

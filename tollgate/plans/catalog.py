@@ -30,6 +30,8 @@ from tollgate.sources.rules import rules_table
 # sender in the test data is hours, so 20 s would refuse nothing.
 COOLDOWN_MS = 6 * 3_600_000
 DENSE_COOLDOWN_MS = 5 * 86_400_000
+#: Longer than the time span of the data: a sender's first request is its only one.
+SPAN_COOLDOWN_MS = 40 * 86_400_000
 INGEST_DELAY_MS = 12 * 3_600_000
 LOOKUP_ID = "1234"
 LATEST_N = 100
@@ -101,6 +103,11 @@ def q_throttle_dense(spark, d):
     return TH.throttle(EV.transfers(spark, d), DENSE_COOLDOWN_MS).select("id", "from_id", "timestamp", "allowed")
 
 
+def q_throttle_span(spark, d):
+    """A cooldown over the whole time span: every step of a chain leaves it."""
+    return TH.throttle(EV.transfers(spark, d), SPAN_COOLDOWN_MS).select("id", "from_id", "timestamp", "allowed")
+
+
 def q_throttle_split(spark, d):
     return TH.throttle_split(EV.transfers(spark, d), COOLDOWN_MS).select("id", "from_id", "timestamp", "error")
 
@@ -257,6 +264,7 @@ def queries() -> dict[str, Query]:
         "ledger_point_lookup": q_ledger_point_lookup,
         "throttle": q_throttle,
         "throttle_dense": q_throttle_dense,
+        "throttle_span": q_throttle_span,
         "throttle_split": q_throttle_split,
         "split_flag": q_split_flag,
         "error_message": q_error_message,
@@ -450,6 +458,8 @@ def oracle_sql() -> dict[str, str]:
         + '\nSELECT id, from_id, "timestamp", allowed FROM thr',
         "throttle_dense": b + _throttle_ctes("transfers", DENSE_COOLDOWN_MS)
         + '\nSELECT id, from_id, "timestamp", allowed FROM thr',
+        "throttle_span": b + _throttle_ctes("transfers", SPAN_COOLDOWN_MS)
+        + '\nSELECT id, from_id, "timestamp", allowed FROM thr',
         "throttle_split": b + _throttle_ctes("transfers", COOLDOWN_MS)
         + "\nSELECT id, from_id, \"timestamp\", CASE WHEN allowed THEN NULL ELSE 'TOO_MANY_REQUESTS' END AS error FROM thr",
         "split_flag": b + _throttle_ctes("transfers", COOLDOWN_MS)
