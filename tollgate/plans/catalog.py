@@ -22,7 +22,7 @@ from tollgate.plans.pipeline import transfer_pipeline
 from tollgate.sinks import ledger_table as LT
 from tollgate.sinks.messages import error_records
 from tollgate.sources import cdc, events as EV, messages as M
-from tollgate.staging.change_events import change_events
+from tollgate.staging.change_events import change_events, with_faults
 from tollgate.sources.rules import rules_table
 
 # Parameters of the registered queries (the API defaults stay those of the
@@ -220,6 +220,20 @@ def q_cdc_current_state(spark, d):
     return cdc.cdc_current_state(cdc.cdc_parse(change_events(spread(EV.transfers(spark, d)))))
 
 
+def _faulty_changes(spark, d):
+    t = EV.transfers(spark, d)
+    return with_faults(change_events(spread(t)), t)
+
+
+def q_cdc_faults_state(spark, d):
+    """The batch fold with malformed events and a truncate among the events."""
+    return cdc.cdc_current_state(cdc.cdc_parse(_faulty_changes(spark, d)))
+
+
+def q_cdc_malformed(spark, d):
+    return cdc.cdc_read(_faulty_changes(spark, d))[1].select(F.col("_corrupt").alias("malformed"))
+
+
 def q_read_transfers_file(spark, d):
     from tollgate.session import work_dir
 
@@ -243,7 +257,8 @@ def _streaming_queries() -> dict[str, Query]:
     from tollgate.streaming import queries as SQ
 
     names = ("ledger_ingest", "ledger_ingest_quarantine", "throttle_stream", "throttle_stateful_stream", "last_request_stream",
-             "last_request_stateful_stream", "transfer_pipeline_stream", "rules_latest_stream")
+             "last_request_stateful_stream", "transfer_pipeline_stream", "rules_latest_stream", "throttle_in_order_stream", "last_request_in_order_stream",
+             "rule_updates_stream", "cdc_state_stream", "cdc_malformed_stream")
     return {n: getattr(SQ, f"q_{n}") for n in names if hasattr(SQ, f"q_{n}")}
 
 
@@ -285,6 +300,8 @@ def queries() -> dict[str, Query]:
         "read_transfers_file": q_read_transfers_file,
         "cdc_parse": q_cdc_parse,
         "cdc_current_state": q_cdc_current_state,
+        "cdc_faults_state": q_cdc_faults_state,
+        "cdc_malformed": q_cdc_malformed,
         "ledger_table": q_ledger_table,
     }
     q.update(_streaming_queries())
@@ -521,6 +538,27 @@ def oracle_sql() -> dict[str, str]:
         _PIPE + ", days AS (SELECT d, row_number() OVER (ORDER BY d) AS n FROM (SELECT DISTINCT \"timestamp\" // 86400000 AS d FROM requests0))\n"
         + records + " FROM thr JOIN days ON d = \"timestamp\" // 86400000 JOIN rules ru USING (pool_type) WHERE allowed AND n <= 8 AND 0.0 > ru.min_balance"
     )
+    cut = " AND ".join(f"CAST(id AS BIGINT) % {m} {r}" for m, r in ((2, "= 1"), (5, "<> 0"), (7, "= 0")))
+    o["cdc_faults_state"] = b + _CDC + f"""
+, truncated AS (SELECT (max(CAST(id AS BIGINT)) - 99) * 4 AS lsn FROM transfers)
+, newest AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY coalesce(lsn, -1) DESC, ts_ms DESC) AS rn FROM ev WHERE NOT (op = 'c' AND {cut}))
+SELECT n.id, from_id, to_id, pool_id, amount, "timestamp" FROM newest n, truncated t
+WHERE rn = 1 AND op <> 'd' AND (coalesce(n.lsn, -1) > t.lsn OR (n.lsn = t.lsn AND ts_ms > 0))"""
+    o["cdc_malformed"] = b + f"""
+SELECT substr('{{"op":"c","ts_ms":' || "timestamp" || ',"source":{{"lsn":' || CAST(id AS BIGINT) * 4 || ',"table":"transfers"', 1, 40) AS malformed FROM transfers WHERE {cut}
+UNION ALL SELECT 'not json ' || id FROM transfers WHERE CAST(id AS BIGINT) % 11 = 0
+UNION ALL SELECT '{{"op":"x","ts_ms":' || id || '}}' FROM transfers WHERE CAST(id AS BIGINT) % 11 = 0"""
+    o["cdc_state_stream"], o["cdc_malformed_stream"] = o["cdc_faults_state"], o["cdc_malformed"]
+    o["rule_updates_stream"] = (
+        b + ", updates AS (SELECT pool_type, (\"timestamp\" // 86400000) * 86400000 + 43200000 AS since, min(amount) AS min_balance FROM requests GROUP BY 1, 2\n"
+        + "  UNION ALL SELECT pool_type, -1, min_balance FROM rules),\n"
+        + "bal AS (SELECT q.*, CAST(-coalesce(s.sent, 0) + coalesce(r.received, 0) AS DOUBLE) AS balance\n"
+        + "  FROM requests q LEFT JOIN s ON s.account = q.from_id LEFT JOIN r ON r.account = q.to_id)\n"
+        + "SELECT b.id, b.pool_type, b.balance, u.min_balance, CASE WHEN b.balance > u.min_balance THEN NULL ELSE 'INSUFFICIENT_BALANCE' END AS error\n"
+        + "FROM bal b ASOF JOIN updates u ON u.pool_type = b.pool_type AND u.since <= b.\"timestamp\""
+    )
+    o["throttle_in_order_stream"] = o["throttle"]
+    o["last_request_in_order_stream"] = o["last_request"]
     o["throttle_stream"] = o["throttle"]
     o["ledger_ingest_quarantine"] = o["read_transfers_quarantine"]
     o["throttle_stateful_stream"] = o["throttle"]

@@ -46,3 +46,17 @@ def change_events(transfers: DataFrame, table: str = "transfers") -> DataFrame:
     events = transfers.select(n.alias("n"), F.explode(kinds).alias("k")).filter("k.is")
     wrapped = F.concat(F.lit('{"schema":{"type":"struct"},"payload":'), F.col("k.e"), F.lit("}"))
     return events.select(F.when(F.col("n") % 2 == 0, wrapped).otherwise(F.col("k.e")).alias("value"))
+
+
+def with_faults(events: DataFrame, transfers: DataFrame, table: str = "transfers") -> DataFrame:
+    """Change events among which every seventh id's creation is cut short, every
+    eleventh id adds garbage and an event of an unknown operation, and the last
+    id but 99 truncates the table."""
+    n = F.col("id").cast("long")
+    cut = events.withColumn("n", F.get_json_object("value", "$.after.id").cast("long")).withColumn(
+        "value", F.when((F.col("n") % 7 == 0) & F.col("value").startswith('{"op":"c"'), F.substring("value", 1, 40)).otherwise(F.col("value"))).select("value")
+    extra = F.array(F.concat(F.lit("not json "), F.col("id")), F.concat(F.lit('{"op":"x","ts_ms":'), F.col("id"), F.lit("}")))
+    garbage = transfers.filter(n % 11 == 0).select(F.explode(extra).alias("value"))
+    last = transfers.agg((F.max(n) - 99).alias("n"))
+    truncate = last.select(F.concat(F.lit('{"op":"t","ts_ms":0,"source":{"lsn":'), (F.col("n") * 4).cast("string"), F.lit(f',"table":"{table}"}},"before":null,"after":null}}')).alias("value"))
+    return cut.unionByName(garbage).unionByName(truncate)

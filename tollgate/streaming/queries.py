@@ -5,18 +5,24 @@ what the job wrote."""
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.functions.columns import transfer_json
 from tollgate.session import work_dir
+from tollgate.staging.change_events import change_events, with_faults
 from tollgate.sources import events as EV
 from tollgate.sources.messages import parse_transfers, quarantine, transfer_messages
 from tollgate.schema import DEFAULT_RULES
 from tollgate.sinks.messages import ledger_records
 from tollgate.sources.rules import read_rules, rules_table
 from tollgate.streaming import driver as D
+from tollgate.streaming import change_state as C
+from tollgate.streaming import in_order as I
 from tollgate.streaming import job as J
+from tollgate.streaming import rule_updates as U
 from tollgate.streaming.stateful import last_request_with_state, throttle_with_state
 
 COOLDOWN_MS = 6 * 3_600_000
@@ -61,6 +67,18 @@ def _request_stream(spark: SparkSession, d: str, requests: DataFrame | None = No
     return quarantine(parse_transfers(s))[0]
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """The session with the RocksDB state store, for queries started within."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, I.ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old) if old is not None else spark.conf.unset(name)
+
+
 def _until_done(*queries) -> None:
     """Wait for queries to end; a failure is raised at once."""
     for q in queries:
@@ -176,3 +194,85 @@ def q_last_request_stateful_stream(spark: SparkSession, d: str) -> DataFrame:
     s = last_request_with_state(_request_stream(spark, d))
     _until_done(_to_parquet(s, out, ck))
     return spark.read.parquet(out).select("id", "from_id", "last_id")
+
+
+def _stage_in_order(spark: SparkSession, df: DataFrame, by: str, path: str, parts: int) -> None:
+    """Rows as Parquet files by ranges of ``by``; the file source takes them in that order."""
+    df.repartitionByRange(parts, by).write.mode("overwrite").parquet(path)
+    _order_by_name(spark, path)
+
+
+#: How far a request may come after its time in the queries below.
+LATENESS_MS = 2 * 86_400_000
+
+
+def _late_requests(spark: SparkSession, d: str) -> DataFrame:
+    """All transfers as a stream in which each comes up to two days after its
+    time (by a hash of its id), two files a micro-batch, and a clock tick last."""
+    t, src = EV.transfers(spark, d), work_dir(spark, "late-requests")
+    end = t.agg(F.max("timestamp").alias("m")).select((F.col("m") + 3 * LATENESS_MS + 40 * 86_400_000).alias("timestamp"))
+    tick = end.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name not in ("timestamp", "from_id") else (F.col("timestamp") if f.name == "timestamp" else F.lit("").alias("from_id")) for f in t.schema])
+    arrival = F.col("timestamp") + F.pmod(F.xxhash64("id"), F.lit(LATENESS_MS))
+    _stage_in_order(spark, t.unionByName(tick).withColumn("arrival", F.when(F.col("id").isNull(), F.col("timestamp")).otherwise(arrival)), "arrival", src, 12)
+    return spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 2).parquet(src)
+
+
+def q_throttle_in_order_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The throttle in order of event time over late requests; state ends by timers."""
+    out, ck = work_dir(spark, "in-order-out"), work_dir(spark, "in-order-ckpt")
+    with rocksdb_state(spark):
+        _until_done(_to_parquet(I.throttle_in_order(_late_requests(spark, d), COOLDOWN_MS, delay=f"{LATENESS_MS} milliseconds"), out, ck))
+    return spark.read.parquet(out).select("id", "from_id", "timestamp", "allowed")
+
+
+def q_last_request_in_order_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Previous requests in order of event time over late requests."""
+    out, ck = work_dir(spark, "in-order-last-out"), work_dir(spark, "in-order-last-ckpt")
+    with rocksdb_state(spark):
+        _until_done(_to_parquet(I.last_request_in_order(_late_requests(spark, d), delay=f"{LATENESS_MS} milliseconds"), out, ck))
+    return spark.read.parquet(out).select("id", "from_id", "last_id")
+
+
+def rule_updates(requests: DataFrame) -> DataFrame:
+    """Rule updates made from requests: at noon of each day, each pool type's
+    least amount of that day becomes its minimum balance."""
+    day = F.floor(F.col("timestamp") / 86_400_000).cast("long")
+    least = requests.groupBy(day.alias("day"), "pool_type").agg(F.min("amount").alias("min_balance"))
+    return least.select("pool_type", (F.col("day") * 86_400_000 + 43_200_000).alias("arrival"), "min_balance")
+
+
+def q_rule_updates_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Rules and requests on one stream by arrival: a rule holds from the next
+    request on, within a micro-batch too."""
+    from tollgate.operators.ledger import balance_per_request
+
+    src, out, stored, ck = (work_dir(spark, f"rule-updates-{n}") for n in ("src", "out", "state", "ck"))
+    requests, ledger = EV.requests(spark, d), EV.ledger(spark, d)
+    both = requests.withColumns({"arrival": F.col("timestamp"), "min_balance": F.lit(None).cast("double")}).unionByName(rule_updates(requests), allowMissingColumns=True)
+    schema = both.schema
+    _stage_in_order(spark, both, "arrival", src, 9)
+    state = U.rule_state(spark, stored)
+    state.merge(rules_table(spark).select("pool_type", F.lit(-1).cast("long").alias("arrival"), "min_balance"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 3).parquet(src)
+    _until_done(U.enforce_rules(stream, state, out, ck, lambda r: balance_per_request(r, ledger), trigger={"availableNow": True}))
+    return spark.read.parquet(out).select("id", "pool_type", "balance", "min_balance", "error")
+
+
+def _fold_changes(spark: SparkSession, d: str):
+    """Change events, with faulty ones, in any order over the micro-batches."""
+    src, stored, bad, ck = (work_dir(spark, f"changes-{n}") for n in ("src", "state", "bad", "ck"))
+    t = EV.transfers(spark, d)
+    with_faults(change_events(t), t).repartition(6, F.xxhash64("value")).write.mode("overwrite").parquet(src)
+    state = C.change_state(spark, stored, buckets=8)
+    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 2).parquet(src)
+    _until_done(C.keep_current_state(stream, state, bad, ck, trigger={"availableNow": True}))
+    return state, bad
+
+
+def q_cdc_state_stream(spark: SparkSession, d: str) -> DataFrame:
+    return C.read_current_state(_fold_changes(spark, d)[0])
+
+
+def q_cdc_malformed_stream(spark: SparkSession, d: str) -> DataFrame:
+    """What the fold set apart."""
+    return spark.read.parquet(_fold_changes(spark, d)[1]).select(F.col("_corrupt").alias("malformed"))
