@@ -134,3 +134,42 @@ def test_stream_sets_malformed_apart(spark):
     C.keep_current_state(stream, state, bad, ck, trigger={"availableNow": True}).awaitTermination()
     assert [r.id for r in C.read_current_state(state).collect()] == ["y"]
     assert sorted(r[0] for r in spark.read.parquet(bad).select("_corrupt").collect()) == sorted(BAD)
+
+
+def test_ledger_insert_has_a_defined_winner(spark):
+    import uuid
+
+    from tollgate.schema import TRANSFER
+
+    name = f"ledger_{uuid.uuid4().hex[:10]}"
+    LT.create_ledger(spark, name, work_dir(spark, "ledger-table"))
+    try:
+        batch = [("a", "s", "t", "coro", "easy", 1.0, 9), ("a", "s", "t", "coro", "easy", 2.0, 5), ("a", "r", "t", "coro", "easy", 2.0, 5)] + [(f"i{i}", "s", "t", "coro", "easy", 1.0, i) for i in range(50)]
+        df = spark.createDataFrame(batch, TRANSFER)
+        LT.insert_ledger(spark, name, df.limit(20))  # as an attempt that wrote a part would leave it
+        for _ in range(2):
+            LT.insert_ledger(spark, name, df)
+        LT.insert_ledger(spark, name, spark.createDataFrame([("a", "z", "t", "coro", "easy", 3.0, 1)], TRANSFER))
+        got = LT.read_ledger(spark, name)
+        assert got.count() == 51 and [tuple(r) for r in got.filter("id = 'a'").select("from_id", "amount", "timestamp").collect()] == [("r", 2.0, 5)]
+        plan = spark.table(name).filter("bucket in (1, 2)").select("id")._jdf.queryExecution().toString()
+        assert "PartitionFilters: [bucket" in plan
+    finally:
+        LT.drop_ledger(spark, name)
+
+
+def test_repeats_and_late_rows_of_a_stream(spark):
+    from tollgate.schema import TRANSFER
+    from tollgate.streaming.driver import once_each
+    from tollgate.streaming.queries import _order_by_name, _to_parquet
+
+    src, out, ck = (work_dir(spark, n) for n in ("rep-src", "rep-out", "rep-ck"))
+    row = lambda i, t: (i, "s", "t", "coro", "easy", 1.0, t)
+    for n, part in enumerate(([row("a", 1000), row("b", 2000), row("a", 1000)], [row("b", 2000), row("c", 90_000)], [row("d", 95_000)], [row("late", 3000)])):
+        spark.createDataFrame(part, TRANSFER).coalesce(1).write.parquet(f"{src}/b{n}")
+    _order_by_name(spark, src)
+    stream = spark.readStream.schema(TRANSFER).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src)
+    q = _to_parquet(once_each(stream, delay="10 seconds"), out, ck)
+    q.awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["a", "b", "c", "d"]
+    assert sum(o.numRowsDroppedByWatermark for p in q.recentProgress for o in p.stateOperators) == 1

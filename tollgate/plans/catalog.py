@@ -249,7 +249,8 @@ def q_ledger_table(spark, d):
 
     name = f"ledger_{uuid.uuid4().hex[:10]}"
     LT.create_ledger(spark, name, work_dir(spark, "ledger-table"))
-    LT.insert_ledger(spark, name, EV.transfers(spark, d))
+    for _ in range(2):  # the second time as after a failure: nothing is added
+        LT.insert_ledger(spark, name, EV.transfers(spark, d))
     return LT.read_ledger(spark, name)
 
 
@@ -258,7 +259,7 @@ def _streaming_queries() -> dict[str, Query]:
 
     names = ("ledger_ingest", "ledger_ingest_quarantine", "throttle_stream", "throttle_stateful_stream", "last_request_stream",
              "last_request_stateful_stream", "transfer_pipeline_stream", "rules_latest_stream", "throttle_in_order_stream", "last_request_in_order_stream",
-             "rule_updates_stream", "cdc_state_stream", "cdc_malformed_stream")
+             "rule_updates_stream", "once_each_stream", "rule_passthrough_stream", "cdc_state_stream", "cdc_malformed_stream")
     return {n: getattr(SQ, f"q_{n}") for n in names if hasattr(SQ, f"q_{n}")}
 
 
@@ -558,6 +559,11 @@ UNION ALL SELECT '{{"op":"x","ts_ms":' || id || '}}' FROM transfers WHERE CAST(i
         + "FROM bal b ASOF JOIN updates u ON u.pool_type = b.pool_type AND u.since <= b.\"timestamp\""
     )
     o["throttle_in_order_stream"] = o["throttle"]
+    o["once_each_stream"] = b + "SELECT * FROM transfers"
+    o["rule_passthrough_stream"] = (
+        b + ", days AS (SELECT \"timestamp\" // 86400000 AS d, count(DISTINCT pool_type) AS n FROM requests GROUP BY 1)\n"
+        + "SELECT (rk - 1) // 4 AS batch_id, CAST(sum(n) AS BIGINT) AS n_rules FROM (SELECT *, row_number() OVER (ORDER BY d) AS rk FROM days) GROUP BY 1"
+    )
     o["last_request_in_order_stream"] = o["last_request"]
     o["throttle_stream"] = o["throttle"]
     o["ledger_ingest_quarantine"] = o["read_transfers_quarantine"]

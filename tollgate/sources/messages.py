@@ -28,8 +28,10 @@ def parse_transfers(messages: DataFrame, value_col: str = "value", keep: tuple[s
     raw = F.coalesce(F.col(value_col).cast("string"), F.lit(""))
     schema = T.StructType(TRANSFER_JSON.fields + [T.StructField("_bad", T.StringType())])
     parsed = F.from_json(raw, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    out = messages.select(*keep, raw.alias("_raw"), parsed.alias("_p"))
-    bad = F.col("_p").isNull() | F.col("_p.id").isNull() | F.col("_p._bad").isNotNull()
+    # Filters do not move below a projection with a random column, so that the
+    # text is parsed once, after whatever spread the rows.
+    out = messages.select(*keep, raw.alias("_raw"), parsed.alias("_p"), F.rand().alias("_once"))
+    bad = (F.col("_p").isNull() | F.col("_p.id").isNull() | F.col("_p._bad").isNotNull()) & (F.col("_once") >= 0)
     return out.select(*keep, *_from_wire("_p"), F.when(bad, F.col("_raw")).alias(CORRUPT_COL))
 
 

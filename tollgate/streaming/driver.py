@@ -16,11 +16,19 @@ _TC = list(TRANSFER_COLUMNS)
 
 def with_event_time(df: DataFrame, ms_col: str = "timestamp", out_col: str = "event_ts", delay: str = "0 seconds") -> DataFrame:
     """Event time from the epoch-ms column, with a watermark for in-order
-    (monotonous) timestamps. Nothing downstream needs it; offered for
-    windowed aggregations on the request stream."""
+    (monotonous) timestamps; see :func:`once_each`."""
     return df.withColumn(out_col, event_time(ms_col)).withWatermark(out_col, delay)
 
 
+def once_each(stream: DataFrame, id_col: str = "id", ms_col: str = "timestamp", delay: str = "1 hour") -> DataFrame:
+    """Each request once: topics deliver at least once. Ids are remembered until
+    the watermark, ``delay`` behind the newest time, has passed them by as much;
+    a repeat within that is dropped, and so is a row that comes later than the
+    watermark of the micro-batch before (Spark counts these as
+    ``numRowsDroppedByWatermark``)."""
+    return with_event_time(stream, ms_col, "_event", delay).dropDuplicatesWithinWatermark([id_col]).drop("_event")
+
+
 def ledger_ingest(
     spark: SparkSession,
     source: str,

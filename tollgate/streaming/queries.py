@@ -22,6 +22,7 @@ from tollgate.streaming import driver as D
 from tollgate.streaming import change_state as C
 from tollgate.streaming import in_order as I
 from tollgate.streaming import job as J
+from tollgate.streaming import passthrough as P
 from tollgate.streaming import rule_updates as U
 from tollgate.streaming.stateful import last_request_with_state, throttle_with_state
 
@@ -233,6 +234,36 @@ def q_last_request_in_order_stream(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(out).select("id", "from_id", "last_id")
 
 
+def q_once_each_stream(spark: SparkSession, d: str) -> DataFrame:
+    """A stream in which every third request comes again, up to two days later."""
+    src, out, ck = (work_dir(spark, f"repeats-{n}") for n in ("src", "out", "ck"))
+    t = EV.transfers(spark, d)
+    again = t.filter(F.pmod(F.xxhash64("id"), F.lit(3)) == 0).withColumn("arrival", F.col("timestamp") + F.pmod(F.xxhash64("id"), F.lit(LATENESS_MS)))
+    _stage_in_order(spark, t.withColumn("arrival", F.col("timestamp")).unionByName(again), "arrival", src, 12)
+    stream = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 2).parquet(src)
+    _until_done(_to_parquet(D.once_each(stream, delay=f"{LATENESS_MS} milliseconds"), out, ck))
+    return spark.read.schema(t.schema).parquet(out)
+
+
+def q_rule_passthrough_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Rules pass through and are counted: (micro-batch, rules), from the
+    metrics that a listener sees. Rule updates of a day are a file, four a
+    micro-batch."""
+    src, out, ck = (work_dir(spark, f"passthrough-{n}") for n in ("src", "out", "ck"))
+    updates = rule_updates(EV.requests(spark, d)).withColumn("day", F.floor(F.col("arrival") / 86_400_000))
+    updates.repartition("day").write.mode("overwrite").partitionBy("day").parquet(src)  # a row a pool type and day
+    _order_by_name(spark, src)
+    stream = spark.readStream.schema("pool_type string, arrival long, min_balance double, day long").option("maxFilesPerTrigger", 4).parquet(src)
+    counts = P.RuleCounts()
+    spark.streams.addListener(counts)
+    try:
+        q = _to_parquet(P.counted(stream), out, ck)
+        _until_done(q)
+        return spark.createDataFrame(counts.of(q), "batch_id long, n_rules long")
+    finally:
+        spark.streams.removeListener(counts)
+
+
 def rule_updates(requests: DataFrame) -> DataFrame:
     """Rule updates made from requests: at noon of each day, each pool type's
     least amount of that day becomes its minimum balance."""
