@@ -136,3 +136,10 @@ def test_gradient_is_that_of_the_loss():
             d[own] = g[own] / np.linalg.norm(g[own])
             slope = (loss(m.flat + 0.01 * d, step) - loss(m.flat - 0.01 * d, step)) / 0.02
             assert np.isclose(slope, g @ d, rtol=0.01)
+
+
+def test_runs_are_equal(spark):
+    """Rounds follow from the ids: two runs score alike."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    a, b = ({r.doc_id: r.score for r in S.score(df, chunk_bytes=20_000).collect()} for _ in range(2))
+    assert a.keys() == b.keys() and max(abs(a[i] - b[i]) for i in a) < 1e-6

@@ -18,8 +18,11 @@ document; a class scores by the product with its own vector plus a bias.
 Training is noise-contrastive in numpy: each token's class is told from noise
 classes drawn by frequency, so that no step sums over the classes. All training
 tokens are used once, in ``ROUNDS`` rounds over disjoint parts of the corpus:
-in each round every task trains on its chunks from the same start, and the
-results are averaged, weighted by tokens, by a grouped sum.
+in each round every task trains on its documents from the same start, and the
+results are averaged, weighted by tokens, by a grouped sum. A document's round
+follows from its id, and chunks are numbered by task, so that runs over the same
+files give the same model (but for the last digits of sums); the number of tasks
+does bear on it.
 
 Scoring normalises exactly: batched matrix products give all classes' scores of
 each token, and the log of their sum is taken off.
@@ -33,12 +36,14 @@ classes before on; extra columns are ignored.
 
 from __future__ import annotations
 
-import uuid
+import itertools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,7 +90,8 @@ def code_chunks(chunk_bytes: int):
         def start():
             codes = Codes()
             codes[END]
-            return uuid.uuid4().hex, codes, np.zeros(1 << 16, np.int64), 0
+            # The same on every attempt and every run over the same files.
+            return f"{TaskContext.get().partitionId()}-{next(number)}", codes, np.zeros(1 << 16, np.int64), 0
 
         def dictionary():
             n = len(codes)
@@ -94,6 +100,7 @@ def code_chunks(chunk_bytes: int):
         def table(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), CHUNKS_ARROW)], schema=CHUNKS_ARROW)
 
+        number = itertools.count()
         chunk, codes, counts, size = start()
         for b in batches:
             rows = []
@@ -325,9 +332,11 @@ def look_up(n: int, v: int, rounds: int):
         count[at], kind[at], share[at] = words["c"].to_numpy(), words["class"].to_numpy(), words["share"].to_numpy()
         base = np.log10((count + 0.5) / (n + 0.5 * (v + 1)))
         rows = []
-        part = int(key[0][:8], 16) % rounds
+        docs = docs.sort_values(["doc_id", "codes"])
         for doc_id, held_out, raw in zip(docs["doc_id"], docs["held_out"], docs["codes"]):
             codes = np.frombuffer(raw, "<i4")
+            # The id's checksum deals the rounds; its remainder by 5 deals what is held out.
+            part = zlib.crc32(b"" if pd.isna(doc_id) else str(int(doc_id)).encode()) // 5 % rounds
             rows.append((doc_id, held_out, part, kind[codes].tobytes(), len(codes), int((count[codes] > 0).sum()), float(base[codes].sum()), float(share[codes].sum())))
         return pd.DataFrame(rows, columns=[c.split(" ")[0] for c in CODED.split(", ")])
 
