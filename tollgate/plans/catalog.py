@@ -259,7 +259,7 @@ def _streaming_queries() -> dict[str, Query]:
 
     names = ("ledger_ingest", "ledger_ingest_quarantine", "throttle_stream", "throttle_stateful_stream", "last_request_stream",
              "last_request_stateful_stream", "transfer_pipeline_stream", "rules_latest_stream", "throttle_in_order_stream", "last_request_in_order_stream",
-             "rule_updates_stream", "once_each_stream", "rule_passthrough_stream", "cdc_state_stream", "cdc_malformed_stream")
+             "rule_updates_stream", "once_each_stream", "rule_passthrough_stream", "enrich_ordered_stream", "cdc_state_stream", "cdc_malformed_stream")
     return {n: getattr(SQ, f"q_{n}") for n in names if hasattr(SQ, f"q_{n}")}
 
 
@@ -559,6 +559,11 @@ UNION ALL SELECT '{{"op":"x","ts_ms":' || id || '}}' FROM transfers WHERE CAST(i
         + "FROM bal b ASOF JOIN updates u ON u.pool_type = b.pool_type AND u.since <= b.\"timestamp\""
     )
     o["throttle_in_order_stream"] = o["throttle"]
+    o["enrich_ordered_stream"] = (
+        b + "SELECT row_number() OVER (ORDER BY \"timestamp\", id) AS position, id,\n"
+        + "  CASE WHEN CAST(id AS BIGINT) % 24 <= 12 THEN amount END AS value,\n"
+        + "  CASE WHEN CAST(id AS BIGINT) % 24 <= 12 THEN 'FOUND' ELSE 'LOOKUP_TIMEOUT' END AS outcome FROM requests"
+    )
     o["once_each_stream"] = b + "SELECT * FROM transfers"
     o["rule_passthrough_stream"] = (
         b + ", days AS (SELECT \"timestamp\" // 86400000 AS d, count(DISTINCT pool_type) AS n FROM requests GROUP BY 1)\n"

@@ -20,6 +20,7 @@ from tollgate.sinks.messages import ledger_records
 from tollgate.sources.rules import read_rules, rules_table
 from tollgate.streaming import driver as D
 from tollgate.streaming import change_state as C
+from tollgate.streaming import enrich as E
 from tollgate.streaming import in_order as I
 from tollgate.streaming import job as J
 from tollgate.streaming import passthrough as P
@@ -264,6 +265,26 @@ def q_rule_passthrough_stream(spark: SparkSession, d: str) -> DataFrame:
         spark.streams.removeListener(counts)
 
 
+LOOKUP_TIMEOUT_MS = 12 * 3_600_000
+
+
+def q_enrich_ordered_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Requests enriched, in order, by their ledger rows, which come up to a day
+    after them (by their id); those beyond twelve hours are too late."""
+    src, state, out, ck, table = (work_dir(spark, f"enrich-{n}") for n in ("src", "state", "out", "ck", "table"))
+    requests = EV.requests(spark, d)
+    delay = F.col("id").cast("long") % 24 * 3_600_000
+    asked = requests.select(F.lit("request").alias("kind"), F.col("timestamp").alias("arrival"), "id", F.lit(None).cast("double").alias("value"))
+    rows = requests.select(F.lit("lookup").alias("kind"), (F.col("timestamp") + delay).alias("arrival"), "id", F.col("amount").alias("value"))
+    end = requests.agg((F.max("timestamp") + 2 * LATENESS_MS).alias("arrival")).select(
+        F.lit("tick").alias("kind"), "arrival", F.lit(None).cast("string").alias("id"), F.lit(None).cast("double").alias("value"))
+    both = asked.unionByName(rows).unionByName(end)
+    _stage_in_order(spark, both, "arrival", src, 9)
+    stream = spark.readStream.schema(both.schema).option("maxFilesPerTrigger", 3).parquet(src)
+    _until_done(E.enrich_in_order(stream, E.lookup_table(spark, table), state, out, ck, LOOKUP_TIMEOUT_MS, trigger={"availableNow": True}))
+    return spark.read.parquet(out).select("position", "id", "value", "outcome")
+
+
 def rule_updates(requests: DataFrame) -> DataFrame:
     """Rule updates made from requests: at noon of each day, each pool type's
     least amount of that day becomes its minimum balance."""
