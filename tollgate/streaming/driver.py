@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tollgate.functions.columns import event_time
 from tollgate.schema import TRANSFER_COLUMNS
+from tollgate.sinks.ledger_segments import POSITION, LedgerSegments
 from tollgate.sources.messages import parse_transfers, read_messages
 
 _TC = list(TRANSFER_COLUMNS)
@@ -29,6 +30,13 @@ def once_each(stream: DataFrame, id_col: str = "id", ms_col: str = "timestamp",
     return with_event_time(stream, ms_col, "_event", delay).dropDuplicatesWithinWatermark([id_col]).drop("_event")
 
 
+def _messages(spark: SparkSession, source: str, fmt: str, options: dict | None, max_per_trigger: int | None) -> DataFrame:
+    opts = dict(options or {})
+    if max_per_trigger:  # files are the unit of file sources
+        opts.setdefault("maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger", str(max_per_trigger))
+    return read_messages(spark, source, fmt, opts, starting_offsets="earliest" if fmt == "kafka" else None, streaming=True)
+
+
 def ledger_ingest(
     spark: SparkSession,
     source: str,
@@ -51,16 +59,7 @@ def ledger_ingest(
     with its own checkpoint, appends their text to ``quarantine`` (default: the
     sink's path with ``-quarantine``); both file sinks are exactly-once. Returns
     ``(ledger_query, quarantine_query)``."""
-    opts = dict(options or {})
-    if fmt == "kafka":
-        if max_per_trigger:
-            opts.setdefault("maxOffsetsPerTrigger", str(max_per_trigger))
-        msgs = read_messages(spark, source, "kafka", opts, starting_offsets="earliest", streaming=True)
-    else:
-        if max_per_trigger:
-            opts.setdefault("maxFilesPerTrigger", str(max_per_trigger))  # files are the unit here
-        msgs = read_messages(spark, source, fmt, opts, streaming=True)
-    parsed = parse_transfers(msgs)
+    parsed = parse_transfers(_messages(spark, source, fmt, options, max_per_trigger))
 
     def start(df: DataFrame, path: str, ck: str):
         w = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", ck).outputMode("append")
@@ -70,3 +69,31 @@ def ledger_ingest(
     quarantine = quarantine or sink.rstrip("/") + "-quarantine"
     bad = parsed.filter(F.col("_corrupt").isNotNull()).select(F.col("_corrupt").alias("value"))
     return main_q, start(bad, quarantine, checkpoint.rstrip("/") + "-quarantine")
+
+
+def ledger_ingest_segments(
+    spark: SparkSession,
+    source: str,
+    table: LedgerSegments,
+    quarantine: str,
+    checkpoint: str,
+    fmt: str = "json",
+    options: dict | None = None,
+    trigger: dict | None = None,
+    max_per_trigger: int | None = None,
+):
+    """As :func:`ledger_ingest`, into a table in day partitions whose segments
+    close by rows or by age. A replayed micro-batch adds nothing. Malformed
+    messages go to ``quarantine``, a folder for each micro-batch, which a replay
+    writes anew. Returns the query."""
+    parsed = parse_transfers(_messages(spark, source, fmt, options, max_per_trigger), keep=POSITION)
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        # Parsed once for both outputs.
+        batch = batch.checkpoint(eager=True)
+        bad = batch.filter(F.col("_corrupt").isNotNull()).select(F.col("_corrupt").alias("value"))
+        bad.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch_id={batch_id}")
+        table.append(batch.filter(F.col("_corrupt").isNull()).drop("_corrupt"), batch_id)
+
+    w = parsed.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()

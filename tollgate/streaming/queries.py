@@ -16,6 +16,7 @@ from tollgate.staging.change_events import change_events, with_faults
 from tollgate.sources import events as EV
 from tollgate.sources.messages import parse_transfers, quarantine, transfer_messages
 from tollgate.schema import DEFAULT_RULES
+from tollgate.sinks.ledger_segments import LedgerSegments
 from tollgate.sinks.messages import ledger_records
 from tollgate.sources.rules import read_rules, rules_table
 from tollgate.streaming import driver as D
@@ -110,6 +111,19 @@ def q_ledger_ingest_quarantine(spark: SparkSession, d: str) -> DataFrame:
         spark.read.schema("value string").parquet(bad).select(F.lit(None).cast("string").alias("id"), F.col("value").alias("malformed")))
 
 
+def q_ledger_segments_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Messages, some of them malformed, into day partitions whose segments close
+    at 100 rows; the ledger with its days, and what is set apart."""
+    from tollgate.plans.catalog import _with_malformed
+
+    src, place, ck, bad = (work_dir(spark, f"segments-{n}") for n in ("topic", "ledger", "ckpt", "bad"))
+    _stage_in_order(spark, _with_malformed(transfer_messages(EV.transfers(spark, d))), "offset", src, 6)
+    table = LedgerSegments(spark, "ledger_segments_" + place[-12:], place, flush_rows=100)
+    _until_done(D.ledger_ingest_segments(spark, src, table, bad, ck, fmt="parquet", trigger={"availableNow": True}, max_per_trigger=2))
+    apart = spark.read.schema("value string").parquet(bad).select(F.col("value").alias("malformed"))
+    return table.read().unionByName(apart, allowMissingColumns=True)
+
+
 def _message_stream(spark: SparkSession, path: str) -> DataFrame:
     """Requests of a topic's twin, as a stream."""
     return quarantine(parse_transfers(spark.readStream.schema("key string, value string, topic string").parquet(f"{path}/*")))[0]
