@@ -25,13 +25,13 @@ def visible_ids(ledger: DataFrame) -> DataFrame:
 
 def _marked(df: DataFrame, ledger_ids: DataFrame, last_col: str) -> DataFrame:
     """Mark rows whose previous id is in the ledger. Ids may repeat: they are
-    made distinct. Rows without a previous id would be one hot null key: they get
-    a key each that no ledger id has (the second key differs)."""
-    ids = ledger_ids.select(F.col("id").alias("_sid"), F.lit(True).alias("_some")).distinct()
-    ids = ids.withColumn("_in_ledger", F.lit(True))
+    made distinct. Rows without a previous id would be one hot null key: they are
+    spread by a hash of the row, and never match. The ids are joined on nothing
+    but the id, so that a bucketed table of them stays in place."""
+    ids = ledger_ids.select(F.col("id").alias("_sid")).distinct().withColumn("_in_ledger", F.lit(True))
     known = F.col(last_col).isNotNull()
     keyed = df.withColumns({"_has": known, "_key": F.when(known, F.col(last_col)).otherwise(F.hash(*df.columns).cast("string"))})
-    return keyed.join(ids, (F.col("_key") == F.col("_sid")) & (F.col("_has") == F.col("_some")), "left").drop("_key", "_has", "_sid", "_some")
+    return keyed.join(ids, (F.col("_key") == F.col("_sid")) & F.col("_has"), "left").drop("_key", "_has", "_sid")
 
 
 def _pending_visible(last_ts: str, ts: str, ingest_delay_ms: int | None):

@@ -144,6 +144,20 @@ def q_ledger_in_sync(spark, d):
     return s.select("id", "last_id", "in_sync")
 
 
+def q_in_sync_bucketed(spark, d):
+    """The in-sync check against a bucketed table of the ledger's ids, appended
+    in two parts that overlap."""
+    from tollgate.session import work_dir
+    from tollgate.sinks.id_table import IdTable
+
+    place = work_dir(spark, "ledger-ids")
+    ids, ledger = IdTable(spark, "ledger_ids_" + place[-12:], place, buckets=16), EV.ledger(spark, d)
+    ids.append(ledger.filter(F.pmod(F.xxhash64("id"), F.lit(3)) != 0))
+    ids.append(ledger.filter(F.pmod(F.xxhash64("id"), F.lit(3)) != 1))
+    s = insync.ledger_in_sync(_with_last(spark, d), ids.read(), ingest_delay_ms=INGEST_DELAY_MS)
+    return s.select("id", "last_id", "in_sync")
+
+
 def q_lookup_row_count(spark, d):
     return insync.lookup_row_count(_with_last(spark, d), _ids(spark, d), ingest_delay_ms=INGEST_DELAY_MS)
 
@@ -257,7 +271,7 @@ def q_ledger_table(spark, d):
 def _streaming_queries() -> dict[str, Query]:
     from tollgate.streaming import queries as SQ
 
-    names = ("ledger_ingest", "ledger_ingest_quarantine", "throttle_stream", "throttle_stateful_stream", "last_request_stream",
+    names = ("ledger_ingest", "ledger_ingest_quarantine", "ledger_segments_stream", "throttle_stream", "throttle_stateful_stream", "last_request_stream",
              "last_request_stateful_stream", "transfer_pipeline_stream", "rules_latest_stream", "throttle_in_order_stream", "last_request_in_order_stream",
              "rule_updates_stream", "once_each_stream", "rule_passthrough_stream", "enrich_ordered_stream", "cdc_state_stream", "cdc_malformed_stream")
     return {n: getattr(SQ, f"q_{n}") for n in names if hasattr(SQ, f"q_{n}")}
@@ -287,6 +301,7 @@ def queries() -> dict[str, Query]:
         "last_request": q_last_request,
         "balance_rule_split": q_balance_rule_split,
         "ledger_in_sync": q_ledger_in_sync,
+        "in_sync_bucketed": q_in_sync_bucketed,
         "lookup_row_count": q_lookup_row_count,
         "in_progress_split": q_in_progress_split,
         "transfer_pipeline": q_transfer_pipeline,
@@ -570,6 +585,12 @@ UNION ALL SELECT '{{"op":"x","ts_ms":' || id || '}}' FROM transfers WHERE CAST(i
         + "SELECT (rk - 1) // 4 AS batch_id, CAST(sum(n) AS BIGINT) AS n_rules FROM (SELECT *, row_number() OVER (ORDER BY d) AS rk FROM days) GROUP BY 1"
     )
     o["last_request_in_order_stream"] = o["last_request"]
+    o["in_sync_bucketed"] = o["ledger_in_sync"]
+    o["ledger_segments_stream"] = (
+        "WITH every AS (" + o["read_transfers_quarantine"] + "), t AS (" + b + "SELECT * FROM transfers)\n"
+        + "SELECT t.*, strftime(make_timestamp(t.\"timestamp\" * 1000), '%Y-%m-%d') AS day, CAST(NULL AS VARCHAR) AS malformed FROM every JOIN t USING (id)\n"
+        + "UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, malformed FROM every WHERE malformed IS NOT NULL"
+    )
     o["throttle_stream"] = o["throttle"]
     o["ledger_ingest_quarantine"] = o["read_transfers_quarantine"]
     o["throttle_stateful_stream"] = o["throttle"]
