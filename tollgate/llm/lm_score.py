@@ -188,9 +188,10 @@ class Step:
     def parts(self, table: np.ndarray) -> list[np.ndarray]:
         """The three context parts of every token."""
         out = []
+        padded = np.concatenate([table, np.zeros((1, table.shape[1]), table.dtype)])  # no such place: zeros
         for k in (1, 2):
             b, ok = self.before(k)
-            out.append(np.where(ok[:, None], table[b], 0))
+            out.append(padded.take(np.where(ok, b.astype(np.intp), len(table)), axis=0))
         sums = np.concatenate([np.zeros((1, table.shape[1])), np.cumsum(table[self.classes], axis=0, dtype=np.float64)])
         mean = sums[:-1] - sums[self.begin]
         if self.open:
@@ -225,14 +226,18 @@ def gradient(model: Model, step: Step, noise: np.ndarray, drawn: np.ndarray) ->
     """Gradient of a step's mean noise-contrastive loss, against the noise
     classes ``drawn``. A class vector's part in the mean of all words before
     is followed to every word there, those before the step included."""
-    log_noise = np.log(noise)
+    offset = (model.bias - np.log(noise) - np.log(NOISE)).astype(np.float32)
     y, n = step.classes, len(step.classes)
     parts = step.parts(model.context)
     h = sum(w * p for w, p in zip(model.weight, parts))
-    good = np.einsum("nd,nd->n", h, model.target[y]) + model.bias[y] - log_noise[y] - np.log(NOISE)
-    bad = h @ model.target[drawn].T + model.bias[drawn] - log_noise[drawn] - np.log(NOISE)
+    good = np.einsum("nd,nd->n", h, model.target[y]) + offset[y]
     e_good = (1 / (1 + np.exp(-np.clip(good, -30, 30))) - 1).astype(np.float32) / n
-    e_bad = ((1 / (1 + np.exp(-np.clip(bad, -30, 30)))) / n).astype(np.float32)
+    e_bad = h @ -model.target[drawn].T  # one array, turned into probabilities in place
+    e_bad -= offset[drawn]
+    np.clip(e_bad, -30, 30, out=e_bad)
+    np.exp(e_bad, out=e_bad)
+    e_bad += 1
+    np.divide(np.float32(1 / n), e_bad, out=e_bad)
     g = Model(np.zeros(Model.SIZE))
     np.add.at(g.target, drawn, e_bad.T @ h)
     g.bias += np.bincount(y, e_good, CLASSES)
@@ -273,16 +278,17 @@ def train(model: Model, docs: Iterator[list[np.ndarray]], noise: np.ndarray) ->
 def step_log_probabilities(model: Model, step: Step) -> np.ndarray:
     """Natural logs of the normalised class probabilities of a step's tokens."""
     h = sum(w * p for w, p in zip(model.weight, step.parts(model.context)))
-    ones = np.ones(CLASSES, np.float32)
-    s = h @ model.target.T + model.bias
-    own = s[np.arange(len(h)), step.classes]
-    top = s.max()  # one for the step; rows far below it get their own
-    total = np.exp(s - top) @ ones
-    low = total < 1e-20
-    out = (own - top - np.log(np.where(low, 1, total))).astype(np.float64)
-    if low.any():
-        tops = s[low].max(axis=1)
-        out[low] = own[low] - tops - np.log(np.exp(s[low] - tops[:, None]) @ ones)
+    s = h @ model.target.T
+    s += model.bias
+    own = s[np.arange(len(h)), step.classes].astype(np.float64)
+    with np.errstate(over="ignore"):
+        total = np.exp(s, out=s) @ np.ones(CLASSES, np.float32)
+    far = ~((total > 1e-20) & (total < 1e30))  # beyond what single precision holds
+    out = own - np.log(np.where(far, 1, total), dtype=np.float64)
+    if far.any():
+        s = (h[far] @ model.target.T + model.bias).astype(np.float64)
+        top = s.max(axis=1)
+        out[far] = own[far] - top - np.log(np.exp(s - top[:, None]).sum(axis=1))
     return out
 
 
