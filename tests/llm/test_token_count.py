@@ -43,3 +43,25 @@ def test_ties_and_unknowns(seed):
     for _ in range(400):
         text = "".join(rng.choice("abc  ") for _ in range(rng.randint(0, 14)))
         assert counter.text(text)[0] == len(want.encode(text).ids), text
+
+
+def test_memory_is_bounded_in_characters(monkeypatch):
+    monkeypatch.setattr(C, "MEMORY", 10_000)
+    counter = C.Counter([("<unk>", 0.0), (C.MARK, -2.0), ("a", -1.0), ("ab", -1.5)])
+    fresh = C.Counter([("<unk>", 0.0), (C.MARK, -2.0), ("a", -1.0), ("ab", -1.5)])
+    rng = random.Random(1)
+    words = ["".join(rng.choice("abc") for _ in range(rng.choice((3, 8, 60, 400)))) for _ in range(2000)]
+    for w in words + words:
+        assert counter[w] == fresh.count(w)
+        assert sum(len(x) + C.WORD_COST for x in counter) == counter.held <= C.MEMORY + C.LONGEST + C.WORD_COST
+    assert not [w for w in counter if len(w) > C.LONGEST]
+
+
+def test_a_very_long_text_without_spaces(spark):
+    want = tokenizer(C.read_vocabulary(PATH), 0, True)
+    text = "日本語のテキスト。abc" * 40_000
+    row = C.count_tokens(spark.createDataFrame([(1, text)], "doc_id long, text string"), PATH).first()
+    part = text[: 13 * 300]
+    assert row.n_chars == len(text)
+    assert C.Counter(C.read_vocabulary(PATH)).text(part)[0] == len(want.encode(part).ids)
+    assert row.n_tokens > 40_000

@@ -14,8 +14,9 @@ that vocabulary). Spaces become U+2581; a word begins at each, and a text gets
 one in front unless it begins with one.
 
 Defined cases: a null or empty text has no tokens; repeated words, rows and
-ties are counted alike; a null id stays null; extra columns are ignored; very
-long words take time in proportion to their length.
+ties are counted alike; a null id stays null; extra columns are ignored; an
+empty table gives no rows; very long words take time and memory in proportion to
+their length, and are not remembered.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-#: Distinct words whose counts a task remembers.
-MEMORY = 1_000_000
+#: Characters of the words whose counts a task remembers, a fixed cost of each
+#: word included, and the longest word that is remembered. In text without spaces
+#: a word is a paragraph, which hardly comes again.
+MEMORY, WORD_COST, LONGEST = 1 << 25, 32, 64
 #: Added to the least score for an unknown character; a fixed value of the tokenizer.
 UNKNOWN = -10.0
 
@@ -58,11 +61,16 @@ class Counter(dict):
         self.single = {p for p in pieces if len(p) == 1}
         self.pieces = pieces
         self.bytes = all(f"<0x{b:02X}>" in pieces for b in range(256))
+        self.held = 0
 
     def __missing__(self, word: str) -> tuple[int, int]:
-        if len(self) > MEMORY:
-            self.clear()
-        out = self[word] = self.count(word)
+        out = self.count(word)
+        if len(word) <= LONGEST:
+            if self.held > MEMORY:
+                self.clear()
+                self.held = 0
+            self[word] = out
+            self.held += len(word) + WORD_COST
         return out
 
     def count(self, word: str) -> tuple[int, int]:
