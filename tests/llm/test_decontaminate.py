@@ -35,11 +35,11 @@ DOCS = [(1, "x a B c-d e f y"), (2, "a b c"), (3, None), (4, "..."), (5, "zz onl
         (None, "q r s t"), (7, "d e f"), (8, "a " * 30000), (9, "q r s"), (11, "t")]
 
 
-@pytest.mark.parametrize("block,chunk", [(1 << 16, 1 << 20), (2, 10)])
-def test_equals_plain_windows(spark, block, chunk):
+@pytest.mark.parametrize("chunk", [1 << 20, 10])
+def test_equals_plain_windows(spark, chunk):
     docs = spark.createDataFrame([(a, b, 1) for a, b in DOCS], "doc_id long, text string, items int")
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
-    got = D.digest(D.matches(docs, items, size=4, block=block, chunk_bytes=chunk))
+    got = D.digest(D.matches(docs, items, size=4, chunk_bytes=chunk))
     assert sorted(map(tuple, got.collect()), key=str) == plain(DOCS, ITEMS, 4)
 
 
@@ -60,11 +60,24 @@ def test_clean_documents_and_empty(spark):
     assert D.matches(docs, items.limit(0)).filter("n_hit > 0").count() == 0
 
 
-@pytest.mark.parametrize("block,chunk", [(1 << 16, 1 << 20), (2, 10)])
-def test_clean_rows_stay_whatever_ids_they_share(spark, block, chunk):
+@pytest.mark.parametrize("chunk", [1 << 20, 10])
+def test_clean_rows_stay_whatever_ids_they_share(spark, chunk):
     rows = [(None, "x a b c d y", 1), (None, "clean", 2), (None, None, 3), (7, "a b c d", 4), (7, "a b c", 5), (7, "a b c", 6), (8, "zz", 7), (8, "B c D, e", 8)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _row int")
     items = spark.createDataFrame([(1, "a b c d e"), (2, "q r s t u")], "item_id long, text string")
-    kept = D.clean_documents(docs, items, size=4, block=block, chunk_bytes=chunk)
+    kept = D.clean_documents(docs, items, size=4, chunk_bytes=chunk)
     assert kept.columns == docs.columns
     assert sorted(r["_row"] for r in kept.collect()) == [2, 3, 5, 6, 7]
+
+
+def test_shared_windows_and_long_texts(spark):
+    """Many items of one window; one of another; a text of over a million characters."""
+    items = [(i, "w x y z") for i in range(500)] + [(None, "w x y z"), (900, "k l m n"), (901, "w x y z k l")]
+    long = "p q r " * 200_000
+    docs = [(1, "a w x y z b"), (2, "k l m n"), (3, "w x y z k l"), (4, long + "K L m, N"), (5, long), (6, "x" * 1_000_000)]
+    got = D.digest(D.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), size=4))
+    named = {1: list(range(500)) + [901], 2: [900], 3: list(range(500)) + [901], 4: [900], 5: [], 6: []}
+    hits = {1: 4, 2: 4, 3: 6, 4: 4, 5: 0, 6: 0}
+    for r in got.collect():
+        ids = sorted(map(str, named[r.doc_id]))
+        assert (r.n_words, r.n_hit, r.n_items, r.items_sha256) == (len(words(dict(docs)[r.doc_id])), hits[r.doc_id], len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest())
