@@ -48,3 +48,27 @@ def test_odd_rows(spark):
     assert L.identify(df.limit(0)).count() == 0
     nothing = L.identify(df.selectExpr("doc_id", "text", "cast(null as string) as lang"))
     assert {r.lang_pred for r in nothing.collect()} == {"und"}
+
+
+def test_letters_are_letters():
+    import sys
+    import unicodedata
+
+    every = [chr(c) for c in range(sys.maxunicode + 1)]
+    assert set("".join(L.letters_of(" ".join(every)))) == {c for c in every if unicodedata.category(c)[0] == "L"}
+
+
+def test_numbers_alone_are_und(spark):
+    rows = [(1, "the cat", "en"), (2, "le chat", "fr"), (4, "\u00b2\u00b3 \u00bd \u2167", "en"), (5, "\u00b2 the", "en")]
+    got = {r.doc_id: r.lang_pred for r in L.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[4] == "und" and got[5] != "und"
+
+
+def test_blocks_of_words(monkeypatch):
+    rng = np.random.default_rng(1)
+    table = rng.normal(size=(L.BUCKETS, 3)).astype(np.float32)
+    grams, starts = L.trigrams("some words of a text in blocks " * 300)
+    whole = L.word_scores(table, grams, starts)
+    monkeypatch.setattr(L, "WORDS", 7)
+    assert np.array_equal(whole, L.word_scores(table, grams, starts))
+    assert np.allclose(whole[1], table[grams[starts[1]:starts[2]]].sum(axis=0), atol=1e-5)

@@ -52,3 +52,27 @@ def test_redirects_and_hot_target(spark):
     moves = spark.createDataFrame([(f"https://s{i}.com", "https://hub.com/") for i in range(40)] + [("https://hub.com/", "http://bad.net/a")], "src string, dst string")
     got = {r.page_id: r.verdict for r in U.verdicts(pages, RULES, redirects=moves).collect()}
     assert got == {i: "block" if i < 40 else "allow" for i in range(50)}
+
+
+@pytest.mark.parametrize("href,want", [
+    ("?a=1&amp;b=2", "https://h.com/p/q.html?a=1&b=2"), ("../x", "https://h.com/x"), ("./x/./y/..", "https://h.com/p/x/"), ("../../..", "https://h.com/"),
+    ("", "https://h.com/p/q.html?z=1"), ("#top", "https://h.com/p/q.html?z=1"), ("r?y#f", "https://h.com/p/r?y"), ("/a/../b", "https://h.com/b"),
+    ("//o.net/a/./b", "https://o.net/a/b"), ("HTTP://o.net/&#x61;", "HTTP://o.net/a"), ("mailto:a@b", None), ("x&quot;y", 'https://h.com/p/x"y'), (" s ", "https://h.com/p/s")])
+def test_targets(href, want):
+    assert U.resolve("https://h.com/p/q.html?z=1", href) == want
+
+
+def test_links_as_browsers_read_them(spark):
+    pages = [
+        (1, "http://spam.net/d/i?a=1&b=2", None, "block"),
+        (2, "https://b.org/2", '<link rel="alternate Canonical" title="a > b" href="http://spam.net/d/i?a=1&amp;b=2">', "block"),
+        (3, "https://b.org/d/3", "<link href='../2' rel=canonical>", "block"),
+        (4, "https://b.org/d/3?page=2", '<link rel="canonical" href="?page=1">', "allow"),
+        (5, "https://b.org/d/3?page=1", '<meta content="5; URL=\'3\'" http-equiv="Refresh">', "block"),  # alias of 3, and so is 4
+        (6, "https://b.org/6", '<link rel="canonically" href="/2">', "allow"),
+    ]
+    want = {i: v for i, *_, v in pages} | {4: "block"}
+    df = spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string")
+    assert {r.page_id: r.verdict for r in U.verdicts(df, RULES).collect()} == want
+    long = spark.createDataFrame([(1, "https://b.org/1", "x <p " * 400_000 + '<link rel=canonical href="http://spam.net/">'), (2, "https://b.org/" + "y" * 1_000_000, "")], "page_id long, url string, html string")
+    assert {r.page_id: r.verdict for r in U.verdicts(long, RULES).collect()} == {1: "block", 2: "allow"}

@@ -16,7 +16,9 @@ the best single language by less than one penalty, no other set is tried.
 Defined cases: ``und`` with score 0 for texts without a letter (null and empty
 ones too) and where nothing was learnt; texts without a lang are not learnt
 from; of equal proportions the language that sorts first wins; repeated rows
-are judged each; extra columns are ignored.
+are judged each; extra columns are ignored; an empty table gives no rows. Digits,
+number forms, fractions and marks are no letters. A very long text is scored in
+blocks of words; its task holds its trigrams' numbers and a row of scores a word.
 """
 
 from __future__ import annotations
@@ -34,12 +36,23 @@ from tollgate.llm.common import crc_bucket
 BUCKETS = 1 << 15
 #: More languages than this are refused: the model is sent to every task.
 MOST_LANGUAGES = 512
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Words that are scored at a time.
+WORDS = 1 << 15
+#: Word characters but for digits and the underscore: letters, and some numbers.
+RUNS = re.compile(r"[^\W\d_]+")
+
+
+def letters_of(text: str) -> list[str]:
+    """Runs of letters (general categories L*)."""
+    runs = RUNS.findall(text)
+    if all(map(str.isalpha, runs)):
+        return runs
+    return [w for run in runs for w in (run if run.isalpha() else "".join(c if c.isalpha() else " " for c in run)).split()]
 
 
 def trigrams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashed trigrams of a text's words, and where each word's begin."""
-    words = LETTERS.findall(text.lower())
+    words = letters_of(text.lower())
     if not words:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     raw = np.frombuffer((" " + " ".join(words) + " ").encode("utf-8", "replace"), np.uint8).astype(np.uint32)
@@ -50,6 +63,16 @@ def trigrams(text: str) -> tuple[np.ndarray, np.ndarray]:
     return (h >> np.uint32(17)).astype(np.int64)[inside], starts
 
 
+def word_scores(table: np.ndarray, grams: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Log-likelihoods by word and language, a block of words at a time."""
+    ends = np.r_[starts[1:], len(grams)]
+    out = np.empty((len(starts), table.shape[1]))
+    for a in range(0, len(starts), WORDS):
+        lo, hi = starts[a], ends[min(a + WORDS, len(ends)) - 1]
+        out[a:a + WORDS] = np.add.reduceat(table[grams[lo:hi]], starts[a:a + WORDS] - lo, axis=0)
+    return out
+
+
 def em(likelihood: np.ndarray, weights: np.ndarray, rounds: int = 60, tolerance: float = 1e-6) -> tuple[np.ndarray, float]:
     """Proportions of the columns and the log-likelihood that they give."""
     last = -np.inf
@@ -106,12 +129,15 @@ def learn(docs: DataFrame, lang_col: str, text_col: str) -> tuple[list[str], np.
     d = d.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("t"))
     if d.select("lang").distinct().count() > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    rows = d.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
-    languages = sorted({r.lang for r in rows})
-    at = {lang: i for i, lang in enumerate(languages)}
+    rows = d.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    names = rows.column("lang").combine_chunks().dictionary_encode()  # at most MOST_LANGUAGES * BUCKETS rows
+    if isinstance(names, pa.ChunkedArray):
+        names = names.combine_chunks()
+    languages = sorted(names.dictionary.to_pylist())
+    at = np.array([languages.index(x) for x in names.dictionary.to_pylist()], np.int64)
     table = np.full((BUCKETS, len(languages)), 0.5)
-    for r in rows:
-        table[r.bucket, at[r.lang]] += r.n
+    if languages:
+        table[rows.column("bucket").to_numpy(), at[names.indices.to_numpy()]] += rows.column("n").to_numpy()
     return languages, np.log(table / table.sum(axis=0)).astype(np.float32) if languages else table.astype(np.float32)
 
 
@@ -131,7 +157,7 @@ def predict(docs: DataFrame, languages: list[str], table: np.ndarray, penalty: f
                 if not len(starts) or not languages:
                     rows.append(("und", 0.0, []))
                     continue
-                chosen, weights = mixture(np.add.reduceat(table[grams], starts, axis=0).astype(np.float64), penalty)
+                chosen, weights = mixture(word_scores(table, grams, starts), penalty)
                 order = sorted(range(len(chosen)), key=lambda i: (-weights[i], chosen[i]))
                 shares = [{"lang": languages[chosen[i]], "share": float(weights[i])} for i in order]
                 rows.append((shares[0]["lang"], min(1.0, shares[0]["share"]), shares))

@@ -8,19 +8,26 @@ block on any of them blocks the others, unless an allow rule names one of the
 component: an explicit allow takes precedence. All else is allowed.
 
 A node is a url without scheme and fragment, its host in lower case (A-Z); an
-empty path counts as ``/`` for the node only.
+empty path counts as ``/`` for the node only. Link targets are read as a browser
+does: character references decoded, relative ones resolved against the page's
+url, ``.`` and ``..`` segments too; ``canonical`` may stand anywhere in ``rel``.
+Pages' own urls are taken as they are.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, no
 rule and no aliases, and is allowed; null html has no links; pages with one
 url share a node and their links; links that point nowhere known still connect
 the pages that have them; of two rules equally long, allow wins, then the
-smaller; repeated rows are judged each; extra columns are ignored.
+smaller; repeated rows are judged each; extra columns are ignored; an empty
+table gives no rows; urls and html of any length are read whole, a page at a time.
 """
 
 from __future__ import annotations
 
+import html
+import re
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,37 +100,70 @@ def judge(df: DataFrame, rules: list[Rule], host: str = "host", path: str = "pat
     return df.join(best, (F.col(host) == best.h) & (F.col(path) == best.p), "left").drop("h", "p")
 
 
-def absolute(base: Column, href: Column) -> Column:
-    """The link target as a url; null if it has another scheme."""
-    scheme = F.regexp_extract(base, r"(?s)^(.*?)://", 1)
-    site = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_replace(path_of(base), "[^/]*$", "")
-    return (
-        F.when(href.rlike(r"(?i)^[a-z][a-z0-9+.-]*://"), href)
-        .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(site, href))
-        .when(href.rlike(r"(?i)^[a-z][a-z0-9+.-]*:"), F.lit(None))
-        .when((href == "") | href.startswith("#"), base)
-        .otherwise(F.concat(site, F.when(folder == "", "/").otherwise(folder), href))
-    )
-
-
-def page_links(html: Column) -> Column:
+def without_dots(path: str) -> str:
+    """An absolute path with ``.`` and ``..`` segments resolved."""
+    out: list[str] = []
+    parts = path.split("/")
+    for i, part in enumerate(parts):
+        if part not in (".", ".."):
+            out.append(part)
+            continue
+        if part == ".." and len(out) > 1:
+            out.pop()
+        if i == len(parts) - 1:
+            out.append("")
+    return "/".join(out)
+
+
+def resolve(base: str, href: str) -> str | None:
+    """The target of a link as written in html, as a url; None if it has another
+    scheme. ``base`` has ``://``."""
+    href = html.unescape(href).strip()
+    scheme, _, rest = base.partition("://")
+    host, path, query = re.match(r"(?s)([^/?#]*)([^?#]*)(\?[^#]*)?", rest).groups()
+    if re.match(r"(?i)[a-z][a-z0-9+.-]*:", href):
+        if not re.match(r"(?i)[a-z][a-z0-9+.-]*://", href):
+            return None
+        scheme, _, rest = href.partition("://")
+        host, path, query = re.match(r"(?s)([^/?#]*)([^?#]*)(\?[^#]*)?", rest).groups()
+    elif href.startswith("//"):
+        host, path, query = re.match(r"(?s)([^/?#]*)([^?#]*)(\?[^#]*)?", href[2:]).groups()
+    else:
+        own, own_query = re.match(r"(?s)([^?#]*)(\?[^#]*)?", href).groups()
+        if not own:  # the page itself, or its path with another query
+            return f"{scheme}://{host}{path}{query if own_query is None else own_query}" if query or own_query else f"{scheme}://{host}{path}"
+        path, query = own if own.startswith("/") else (path[:path.rfind("/") + 1] or "/") + own, own_query
+    return f"{scheme}://{host}{without_dots(path)}{query or ''}"
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """An attribute's value as written, without its quotes; empty if absent."""
+    value = F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
+    return F.regexp_replace(value, "^[\"']|[\"']$", "")
+
+
+def page_links(page: Column) -> Column:
     """Targets of a page's canonical links and refreshes, as written."""
-    tags = F.concat(
-        F.filter(F.regexp_extract_all(html, F.lit(r"(?is)<link\s[^>]*>"), 0), lambda t: t.rlike(r"(?is)\srel\s*=\s*[\"']?canonical[\"'\s/>]")),
-        F.filter(F.regexp_extract_all(html, F.lit(r"(?is)<meta\s[^>]*>"), 0), lambda t: t.rlike(r"(?is)\shttp-equiv\s*=\s*[\"']?refresh[\"'\s/>]")),
-    )
-    href = F.transform(tags, lambda t: F.coalesce(
-        F.nullif(F.regexp_extract(t, r"(?is)\shref\s*=\s*[\"']?([^\"'\s>]*)", 1), F.lit("")),
-        F.nullif(F.regexp_extract(t, r"(?is)url\s*=\s*'?([^\"'\s>]*)", 1), F.lit(""))))
-    return F.filter(href, lambda h: h.isNotNull())
+    tags = lambda name: F.regexp_extract_all(page, F.lit(rf"(?is)<{name}\s(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>"), 0)
+    words = lambda v: F.split(F.lower(F.trim(v)), r"\s+")
+    links = F.filter(tags("link"), lambda t: F.array_contains(words(attribute(t, "rel")), "canonical"))
+    moves = F.filter(tags("meta"), lambda t: F.lower(F.trim(attribute(t, "http-equiv"))) == "refresh")
+    href = F.concat(
+        F.transform(links, lambda t: attribute(t, "href")),
+        F.transform(moves, lambda t: F.regexp_extract(attribute(t, "content"), r"(?is)url\s*=\s*[\"']?([^\"'\s]*)", 1)))
+    return F.filter(href, lambda h: h != "")
 
 
 def alias_edges(pages: DataFrame, url_col: str, html_col: str, redirects: DataFrame | None) -> DataFrame:
     """Edges (a, b) between nodes; ``redirects`` has columns ``src`` and ``dst``, urls."""
     links = pages.select(F.col(f"`{url_col}`").alias("u"), F.explode(page_links(F.col(f"`{html_col}`"))).alias("href"))
-    edges = links.select(node_of(F.col("u")).alias("a"), node_of(absolute(F.col("u"), F.col("href"))).alias("b"))
+
+    @F.pandas_udf("string")
+    def target(base: pd.Series, href: pd.Series) -> pd.Series:
+        return pd.Series([resolve(u, h) for u, h in zip(base, href)], dtype=object)
+
+    links = links.filter(F.col("u").contains("://"))
+    edges = links.select(node_of(F.col("u")).alias("a"), node_of(target("u", "href")).alias("b"))
     if redirects is not None:
         edges = edges.unionByName(redirects.select(node_of(F.col("src")).alias("a"), node_of(F.col("dst")).alias("b")))
     return edges.filter("a is not null and b is not null")
