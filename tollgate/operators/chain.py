@@ -11,6 +11,7 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 
@@ -33,6 +34,43 @@ def allowed_chain(ts: np.ndarray, cooldown_ms: int, last_allowed: int | None) ->
     return ok
 
 
+def key_runs(keys: np.ndarray, ts: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The order of rows by (key, time, id), and the bounds of each key's run in it."""
+    code = pd.factorize(keys, use_na_sentinel=False)[0]
+    order = np.lexsort((ids.astype(str), ts, code))
+    code = code[order]
+    first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]).tolist()
+    return order, list(zip(first, [*first[1:], len(order)]))
+
+
+def allowed_by_key(keys: np.ndarray, ts: np.ndarray, ids: np.ndarray, cooldown_ms: int, last: dict[str | None, int]) -> np.ndarray:
+    """The allowed mask of rows of several keys in any order. ``last``: the last
+    allowed time of each key, which is brought up to date."""
+    ok = np.zeros(len(ts), dtype=bool)
+    order, runs = key_runs(keys, ts, ids)
+    times = ts[order]
+    for a, b in runs:
+        key = keys[order[a]]
+        hit = np.flatnonzero(allowed_chain(times[a:b], cooldown_ms, last.get(key)))
+        if hit.size:
+            ok[order[a + hit]] = True
+            last[key] = int(times[a + hit[-1]])
+    return ok
+
+
+def previous_by_key(keys: np.ndarray, ts: np.ndarray, ids: np.ndarray, last: dict[str | None, tuple[str, int]]) -> np.ndarray:
+    """The id before each row among those of its key, by (time, id). ``last``:
+    each key's last (id, time), which is brought up to date."""
+    before = np.empty(len(ts), dtype=object)
+    order, runs = key_runs(keys, ts, ids)
+    before[order[1:]] = ids[order[:-1]]
+    for a, b in runs:
+        key, end = keys[order[a]], order[b - 1]
+        before[order[a]] = last[key][0] if key in last else None
+        last[key] = (str(ids[end]), int(ts[end]))
+    return before
+
+
 def exits(ts: np.ndarray, cooldown_ms: int) -> tuple[np.ndarray, np.ndarray]:
     """The exit of a stretch as a step function of the first time that may be
     allowed: the exit is ``last[i]`` for the least i with time <= ``upto[i]``,

@@ -7,10 +7,16 @@ operators however the requests were dealt over micro-batches, as long as none is
 later than the watermark's delay (Spark drops those and counts them as
 ``numRowsDroppedByWatermark``; so does it with times up to the epoch).
 
-In Python only times and ids of one sender's due requests are gathered; the rows
-come from the state and go out again chunk by chunk. The throttle's state ends
-by itself: a timer at the last allowed time plus the cooldown removes it, since
-every later request is allowed with or without it.
+Senders are dealt by hash to ``buckets``, the groups that Spark keeps state of: a
+call has all due requests of a bucket, in place of a call, and some messages to
+the state store, for every sender. Requests wait as frames. In Python only keys,
+times and ids of one bucket's due requests are gathered; the frames come from the
+state and go out again one by one. A timer wakes a bucket when its next request
+is due or its next sender is to be forgotten: the throttle forgets a sender a
+cooldown after its last allowed time, since every later request is allowed with
+or without it. What a bucket remembers of its senders (``memory``, a row a sender)
+is read and written whole, so choose ``buckets`` for the number of senders. It
+belongs to the state: keep it for as long as a checkpoint is used.
 
 A row without an id is a clock tick: it moves the watermark and is not returned.
 The session must use the RocksDB state store
@@ -19,9 +25,9 @@ The session must use the RocksDB state store
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -31,117 +37,150 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tollgate.operators.chain import allowed_chain
+from tollgate.operators.chain import allowed_by_key, previous_by_key
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-#: Rows that go out in one frame.
-FRAME = 1 << 13
+#: Groups of senders that state is kept of.
+BUCKETS = 256
+#: Columns of a request's sender, as text, and of its bucket.
+SENDER, BUCKET = "in_order_sender", "in_order_bucket"
 
 
 class InOrder(StatefulProcessor):
     """Holds rows until the watermark passes them. Subclasses decide them."""
 
     def __init__(self, schema: T.StructType, out: str, ts: str, id_col: str, memory: str):
-        self.schema, self.out, self.memory_schema = schema, out, memory
-        self.names = schema.names
-        self.ts, self.id = self.names.index(ts), self.names.index(id_col)
+        self.names, self.out, self.memory_schema = schema.names, out, f"sender string, {memory}"
+        self.ts, self.id = ts, id_col
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.memory = handle.getValueState("memory", self.memory_schema)
-        self.waiting = handle.getListState("waiting", self.schema)
+        self.memory = handle.getListState("memory", self.memory_schema)
+        self.waiting = handle.getListState("waiting", "first long, last long, rows binary")
+        self.timer = handle.getValueState("timer", "at long")
+
+    def held(self, f: pd.DataFrame) -> tuple[int, int, bytes]:
+        return int(f[self.ts].min()), int(f[self.ts].max()), pickle.dumps(f, protocol=5)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first = []
         for f in rows:
-            f = f[f[self.names[self.id]].notna()]
+            f = f[f[self.id].notna()]
             if len(f):
-                self.waiting.appendList([tuple(v.item() if isinstance(v, np.generic) else v for v in r) for r in f[self.names].itertuples(index=False, name=None)])
-                for at in {int(f[self.names[self.ts]].min()), int(f[self.names[self.ts]].max())}:
-                    self.handle.registerTimer(at)
+                chunk = self.held(f[[*self.names, SENDER]])
+                self.waiting.appendValue(chunk)
+                first.append(chunk[0])
+        if first:
+            set_for = self.timer.get()[0] if self.timer.exists() else None
+            if set_for is None or min(first) < set_for:
+                if set_for is not None:
+                    self.handle.deleteTimer(set_for)
+                self.wake(min(first))
         return iter(())
 
+    def wake(self, at: int) -> None:
+        self.handle.registerTimer(at)
+        self.timer.update((at,))
+
+    def due(self, now: int) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+        """The waiting frames with due rows, and which of their rows are due."""
+        for first, _, rows in self.waiting.get():
+            if first <= now:
+                f = pickle.loads(rows)
+                yield f, (f[self.ts] <= now).to_numpy()
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs()
-        memory = self.memory.get() if self.memory.exists() else None
-        due = [(r[self.ts], r[self.id]) for r in self.waiting.get() if r[self.ts] <= now] if self.waiting.exists() else []
-        if not due:
-            if memory is not None and self.over(memory, now):
-                self.memory.clear()
-            return
-        t = np.array([a for a, _ in due], np.int64)
-        ids = np.array([b for _, b in due], object)
-        order = np.lexsort((ids.astype(str), t))
-        values, memory = self.decide(t, ids, order, memory)
-        later, at = [], 0
-        rows = iter(self.waiting.get())
-        while chunk := list(islice(rows, FRAME)):
-            ready = [r for r in chunk if r[self.ts] <= now]
-            later += [tuple(r) for r in chunk if r[self.ts] > now]
-            if ready:
-                yield pd.DataFrame([tuple(r) for r in ready], columns=self.names).assign(**{self.out: values[at:at + len(ready)]})
-                at += len(ready)
-        self.waiting.clear()
-        if later:
-            self.waiting.put(later)
-        self.memory.update(memory)
-        ends = self.ends(memory)
-        if ends is not None:
-            self.handle.registerTimer(ends)
+        memory = {r[0]: self.remembered(r[1:]) for r in self.memory.get()} if self.memory.exists() else {}
+        later = []
+        if self.waiting.exists():
+            due = [(f[SENDER].to_numpy(object)[ready], f[self.ts].to_numpy(np.int64)[ready], f[self.id].to_numpy(object)[ready]) for f, ready in self.due(now)]
+            if due:
+                values, at = self.decide(*(np.concatenate(c) for c in zip(*due)), memory), 0
+                for f, ready in self.due(now):
+                    n = int(ready.sum())
+                    yield f.loc[ready, self.names].assign(**{self.out: values[at:at + n]})
+                    at += n
+                for first, last, rows in self.waiting.get():
+                    if first > now:
+                        later.append((first, last, rows))
+                    elif last > now:
+                        f = pickle.loads(rows)
+                        later.append(self.held(f[f[self.ts] > now]))
+                self.waiting.clear()
+                if later:
+                    self.waiting.put(later)
+            else:
+                later = [(first, last, None) for first, last, _ in self.waiting.get()]
+        memory = {k: m for k, m in memory.items() if self.ends(m) is None or self.ends(m) > now}
+        self.memory.clear()
+        if memory:
+            self.memory.put([(k, *self.row(m)) for k, m in memory.items()])
+        ends = [e for e in map(self.ends, memory.values()) if e is not None]
+        self.timer.clear()
+        if later or ends:
+            self.wake(min([c[0] for c in later] + ends))
 
     def close(self) -> None:
         pass
 
 
 class Throttle(InOrder):
+    """Remembers a sender's last allowed time."""
+
     def __init__(self, schema, out, ts, id_col, cooldown_ms: int):
         super().__init__(schema, out, ts, id_col, "at long")
         self.cooldown = cooldown_ms
 
-    def decide(self, t, ids, order, memory):
-        ok = np.zeros(len(t), bool)
-        last = None if memory is None else int(memory[0])
-        ok[order] = allowed_chain(t[order], self.cooldown, last)
-        return ok, (int(t[ok].max()) if ok.any() else last,)
+    def remembered(self, row):
+        return row[0]
 
-    def ends(self, memory):
-        return memory[0] + self.cooldown
+    def row(self, at):
+        return (at,)
 
-    def over(self, memory, now):
-        return memory[0] + self.cooldown <= now
+    def decide(self, senders, t, ids, memory):
+        return allowed_by_key(senders, t, ids, self.cooldown, memory)
+
+    def ends(self, at):
+        return at + self.cooldown
 
 
 class LastRequest(InOrder):
+    """Remembers a sender's last (id, time)."""
+
     def __init__(self, schema, out, ts, id_col, expire_ms: int | None):
         super().__init__(schema, out, ts, id_col, "id string, at long")
         self.expire = expire_ms
 
-    def decide(self, t, ids, order, memory):
-        out = np.empty(len(t), object)
-        out[order] = [None if memory is None else memory[0], *ids[order[:-1]]]
-        return out, (str(ids[order[-1]]), int(t[order[-1]]))
+    def remembered(self, row):
+        return tuple(row)
+
+    def row(self, last):
+        return last
 
-    def ends(self, memory):
-        return None if self.expire is None else memory[1] + self.expire
+    def decide(self, senders, t, ids, memory):
+        return previous_by_key(senders, t, ids, memory)
 
-    def over(self, memory, now):
-        return self.expire is not None and memory[1] + self.expire <= now
+    def ends(self, last):
+        return None if self.expire is None else last[1] + self.expire
 
 
-def _run(stream: DataFrame, processor: InOrder, kind: T.DataType, key: str, ts: str, delay: str) -> DataFrame:
+def _run(stream: DataFrame, processor: InOrder, kind: T.DataType, key: str, ts: str, delay: str, buckets: int) -> DataFrame:
     timed = stream.withColumn("_event", F.timestamp_millis(F.col(ts))).withWatermark("_event", delay)
+    dealt = timed.withColumns({SENDER: F.col(key).cast("string"), BUCKET: F.pmod(F.xxhash64(key), F.lit(buckets))})
     out = T.StructType([*stream.schema.fields, T.StructField(processor.out, kind)])
-    return timed.groupBy(key).transformWithStateInPandas(processor, out, "Append", "EventTime")
+    return dealt.groupBy(BUCKET).transformWithStateInPandas(processor, out, "Append", "EventTime")
 
 
-def throttle_in_order(stream: DataFrame, cooldown_ms: int, delay: str = "0 seconds", key: str = "from_id", ts: str = "timestamp", id_col: str = "id") -> DataFrame:
+def throttle_in_order(stream: DataFrame, cooldown_ms: int, delay: str = "0 seconds", key: str = "from_id", ts: str = "timestamp", id_col: str = "id", buckets: int = BUCKETS) -> DataFrame:
     """The input rows plus ``allowed``, as the watermark passes them. A sender's
     state is removed once the watermark is a cooldown past its last allowed request."""
-    return _run(stream, Throttle(stream.schema, "allowed", ts, id_col, int(cooldown_ms)), T.BooleanType(), key, ts, delay)
+    return _run(stream, Throttle(stream.schema, "allowed", ts, id_col, int(cooldown_ms)), T.BooleanType(), key, ts, delay, buckets)
 
 
-def last_request_in_order(stream: DataFrame, delay: str = "0 seconds", expire_ms: int | None = None, key: str = "from_id", ts: str = "timestamp", id_col: str = "id") -> DataFrame:
+def last_request_in_order(stream: DataFrame, delay: str = "0 seconds", expire_ms: int | None = None, key: str = "from_id", ts: str = "timestamp", id_col: str = "id", buckets: int = BUCKETS) -> DataFrame:
     """The input rows plus ``last_id``. ``expire_ms``: a sender is forgotten once
     the watermark is so long past its last request."""
-    return _run(stream, LastRequest(stream.schema, "last_id", ts, id_col, expire_ms), T.StringType(), key, ts, delay)
+    return _run(stream, LastRequest(stream.schema, "last_id", ts, id_col, expire_ms), T.StringType(), key, ts, delay, buckets)
