@@ -1,12 +1,17 @@
 """Throttle and previous request as stateful operators on Spark's state store.
 
-``groupBy(sender).applyInPandasWithState``: Spark keeps one state row per
-sender, checkpointed with the query; each micro-batch hands a sender's new
-requests to one call, in chunks. Only times and ids are gathered to be put in
+``groupBy(bucket).applyInPandasWithState``: senders are dealt by hash to
+``buckets``, and Spark keeps one state row per bucket, checkpointed with the
+query, that has an entry for each of its senders; a call for every sender would
+cost more than its few requests. Each micro-batch hands a bucket's new requests
+to one call, in chunks. Only senders, times and ids are gathered to be put in
 order; the rows themselves go out chunk by chunk. A request older than the
 remembered allowed one is refused (it counts as late). The previous request is
 that of the batch before, then by time within a batch: what came later in an
 earlier batch does not matter.
+
+The state of a bucket is read and written whole: choose ``buckets`` for the
+number of senders, and keep it for as long as a checkpoint is used.
 """
 
 from __future__ import annotations
@@ -18,10 +23,11 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tollgate.operators.chain import allowed_chain
+from tollgate.operators.chain import allowed_by_key, previous_by_key
 from tollgate.schema import DEFAULT_COOLDOWN_MS
 
 # The per-sender functions run in Python workers: ship this module's code by
@@ -29,11 +35,21 @@ from tollgate.schema import DEFAULT_COOLDOWN_MS
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _ordered(frames: list[pd.DataFrame], ts: str, id_col: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Times and ids of all chunks, and their order by (time, id)."""
+#: Groups of senders that state is kept of.
+BUCKETS = 256
+#: Columns of a request's sender, as text, and of its bucket.
+SENDER, BUCKET = "_sender", "_bucket"
+
+
+def _dealt(stream: DataFrame, key: str, buckets: int):
+    return stream.withColumns({SENDER: F.col(key).cast("string"), BUCKET: F.pmod(F.xxhash64(key), F.lit(buckets))}).groupBy(BUCKET)
+
+
+def _gathered(frames: list[pd.DataFrame], ts: str, id_col: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Senders, times and ids of all chunks."""
+    keys = np.concatenate([f[SENDER].to_numpy(object) for f in frames])
     t = np.concatenate([f[ts].astype("int64").to_numpy() for f in frames])
-    ids = np.concatenate([f[id_col].astype(object).to_numpy() for f in frames])
-    return t, ids, np.lexsort((ids.astype(str), t))
+    return keys, t, np.concatenate([f[id_col].astype(object).to_numpy() for f in frames])
 
 
 def _chunks(frames: list[pd.DataFrame], cols: list[str], name: str, values: np.ndarray) -> Iterator[pd.DataFrame]:
@@ -50,6 +66,7 @@ def throttle_with_state(
     ts: str = "timestamp",
     id_col: str = "id",
     expire_ms: int | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Streaming throttle: the input rows plus ``allowed``, appended per batch.
 
@@ -64,26 +81,32 @@ def throttle_with_state(
     cols = [f.name for f in stream.schema.fields]
 
     def step(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
+        frames = [] if state.hasTimedOut else [f for f in pdfs if len(f)]
+        if not frames and not state.hasTimedOut:
             return
-        frames = [f for f in pdfs if len(f)]
-        if not frames:
-            return
-        last = int(state.get[0]) if state.exists and state.get[0] is not None else None
-        t, _, order = _ordered(frames, ts, id_col)
-        ok = np.zeros(len(t), dtype=bool)
-        ok[order] = allowed_chain(t[order], c, last)
-        if ok.any():
-            last = int(t[ok].max())
-        if last is not None:
-            state.update((last,))
+        last, seen, ok = {}, {}, None
+        if state.exists:
+            senders, at, when = state.get
+            last, seen = dict(zip(senders, at)), dict(zip(senders, when))
+        now = state.getCurrentProcessingTimeMs()
+        if frames:
+            keys, t, ids = _gathered(frames, ts, id_col)
+            ok = allowed_by_key(keys, t, ids, c, last)
+            seen |= dict.fromkeys(set(keys), now)
+        if expire_ms is not None:
+            last = {s: at for s, at in last.items() if seen[s] + expire_ms > now}
+        if last:
+            state.update((list(last), list(last.values()), [seen[s] for s in last]))
             if expire_ms is not None:
-                state.setTimeoutDuration(int(expire_ms))
-        yield from _chunks(frames, cols, "allowed", ok)
+                state.setTimeoutDuration(min(seen[s] for s in last) + int(expire_ms) - now)
+        elif state.exists:
+            state.remove()
+        if frames:
+            yield from _chunks(frames, cols, "allowed", ok)
 
     timeout = GroupStateTimeout.NoTimeout if expire_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    return stream.groupBy(key).applyInPandasWithState(step, out_schema, "last_allowed long", "append", timeout)
+    held = "senders array<string>, last_allowed array<long>, seen array<long>"
+    return _dealt(stream, key, buckets).applyInPandasWithState(step, out_schema, held, "append", timeout)
 
 
 def last_request_with_state(
@@ -91,6 +114,7 @@ def last_request_with_state(
     key: str = "from_id",
     ts: str = "timestamp",
     id_col: str = "id",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Streaming previous request per sender: the input rows plus ``last_id``,
     by arrival (batch after batch, within one by ``(ts, id)``); no expiry."""
@@ -101,12 +125,12 @@ def last_request_with_state(
         frames = [f for f in pdfs if len(f)]
         if not frames:
             return
-        _, ids, order = _ordered(frames, ts, id_col)
-        last = np.empty(len(ids), dtype=object)
-        last[order] = [state.get[0] if state.exists else None, *ids[order[:-1]]]
-        state.update((str(ids[order[-1]]),))
-        yield from _chunks(frames, cols, "last_id", last)
-
-    return stream.groupBy(key).applyInPandasWithState(
-        step, out_schema, "last_id string", "append", GroupStateTimeout.NoTimeout
+        keys, t, ids = _gathered(frames, ts, id_col)
+        last = {s: (i, at) for s, i, at in zip(*state.get)} if state.exists else {}
+        before = previous_by_key(keys, t, ids, last)
+        state.update((list(last), [i for i, _ in last.values()], [at for _, at in last.values()]))
+        yield from _chunks(frames, cols, "last_id", before)
+
+    return _dealt(stream, key, buckets).applyInPandasWithState(
+        step, out_schema, "senders array<string>, ids array<string>, at array<long>", "append", GroupStateTimeout.NoTimeout
     )
