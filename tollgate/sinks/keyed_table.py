@@ -24,7 +24,7 @@ class KeyedTable:
     a row (null is a value like others). ``order``: columns that decide which row
     of a key stays. ``keep``: ``"greatest"`` or ``"least"`` of that order.
     ``buckets`` belongs to the files: choose it for the table's final size (a
-    bucket is rewritten by one task) and keep it."""
+    bucket is rewritten whole) and keep it."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str | T.StructType, key: Sequence[str], order: Sequence[str], buckets: int = 64, keep: str = "greatest"):
         if keep not in ("greatest", "least"):
@@ -65,5 +65,6 @@ class KeyedTable:
         old = self._files().filter(F.col("bucket").isin(touched))
         # Written before the files it was read from are replaced.
         merged = self._one_a_key(old.unionByName(new)).checkpoint(eager=True)
-        out = merged.select(*self._columns(), "bucket").repartition("bucket")
+        # A large bucket is written by several tasks, small ones by one.
+        out = merged.select(*self._columns(), "bucket").hint("rebalance", "bucket")
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path)

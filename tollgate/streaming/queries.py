@@ -45,7 +45,8 @@ def _stage_days(df: DataFrame, path: str) -> None:
     _order_by_name(df.sparkSession, path)
 
 
-def _order_by_name(spark: SparkSession, path: str) -> None:
+def _order_by_name(spark: SparkSession, path: str) -> int:
+    """Modification times in the order of the files' names; how many files there are."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -59,6 +60,7 @@ def _order_by_name(spark: SparkSession, path: str) -> None:
     t0 = 1_000_000_000_000
     for i, (_, p) in enumerate(sorted(files, key=lambda f: f[0])):
         fs.setTimes(p, t0 + i * 1000, -1)
+    return len(files)
 
 
 def _request_stream(spark: SparkSession, d: str, requests: DataFrame | None = None) -> DataFrame:
@@ -327,10 +329,14 @@ def q_rule_updates_stream(spark: SparkSession, d: str) -> DataFrame:
 def _fold_changes(spark: SparkSession, d: str):
     """Change events, with faulty ones, in any order over the micro-batches."""
     src, stored, bad, ck = (work_dir(spark, f"changes-{n}") for n in ("src", "state", "bad", "ck"))
-    t = EV.transfers(spark, d)
-    with_faults(change_events(t), t).repartition(6, F.xxhash64("value")).write.mode("overwrite").parquet(src)
+    # Spread by size before events are made of the rows, so that tasks and files
+    # grow in number and not in size; each micro-batch takes a third of them.
+    t = EV.transfers(spark, d).hint("rebalance", "id")
+    events = with_faults(change_events(t), t).withColumn("turn", F.pmod(F.xxhash64("value"), F.lit(3)).cast("int"))
+    events.write.mode("overwrite").partitionBy("turn").parquet(src)
+    files = _order_by_name(spark, src)
     state = C.change_state(spark, stored, buckets=8)
-    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 2).parquet(src)
+    stream = spark.readStream.schema("value string, turn int").option("maxFilesPerTrigger", max(1, -(-files // 3))).parquet(src).select("value")
     _until_done(C.keep_current_state(stream, state, bad, ck, trigger={"availableNow": True}))
     return state, bad
 
