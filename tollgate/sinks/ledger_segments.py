@@ -65,6 +65,7 @@ class LedgerSegments:
 
     def _open(self) -> list[tuple[str, int]]:
         """The last segment of each day, where it is not closed."""
+        self.spark.catalog.refreshTable(self.name)
         last: dict[str, int] = {}
         for row in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect():
             day, segment = (p.split("=", 1)[1] for p in row.partition.split("/"))
@@ -93,6 +94,8 @@ class LedgerSegments:
             new = new.join(there.select("day", "segment", *POSITION), ["day", "segment", *POSITION], "left_anti")
         cols = self.spark.table(self.name).columns
         new.select(*cols).repartitionByRange("day", *POSITION).write.insertInto(self.name)
+        # A micro-batch has a session of its own: this one would go on with the files it knew.
+        self.spark.catalog.refreshTable(self.name)
 
     def close_due(self, before: int | None = None, everything: bool = False) -> dict[str, int]:
         """Close open segments with ``flush_rows`` rows or a row older than
