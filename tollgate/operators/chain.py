@@ -43,18 +43,40 @@ def key_runs(keys: np.ndarray, ts: np.ndarray, ids: np.ndarray) -> tuple[np.ndar
     return order, list(zip(first, [*first[1:], len(order)]))
 
 
+#: Rows of a key up to which its chain is walked together with the other keys'.
+SHORT = 256
+
+
 def allowed_by_key(keys: np.ndarray, ts: np.ndarray, ids: np.ndarray, cooldown_ms: int, last: dict[str | None, int]) -> np.ndarray:
     """The allowed mask of rows of several keys in any order. ``last``: the last
-    allowed time of each key, which is brought up to date."""
+    allowed time of each key, which is brought up to date. Short runs are walked
+    side by side, a row of each at a time; a long one by itself."""
     ok = np.zeros(len(ts), dtype=bool)
     order, runs = key_runs(keys, ts, ids)
-    times = ts[order]
+    times, hit = ts[order], np.zeros(len(ts), dtype=bool)
+    short = []
     for a, b in runs:
-        key = keys[order[a]]
-        hit = np.flatnonzero(allowed_chain(times[a:b], cooldown_ms, last.get(key)))
-        if hit.size:
-            ok[order[a + hit]] = True
-            last[key] = int(times[a + hit[-1]])
+        if b - a > SHORT:
+            hit[a:b] = allowed_chain(times[a:b], cooldown_ms, last.get(keys[order[a]]))
+        else:
+            short.append((b - a, a))
+    if short:
+        size, first = np.array(sorted(short, reverse=True)).T
+        held = [last.get(keys[k]) for k in order[first]]
+        free = np.array([h is None for h in held])
+        before = np.array([0 if h is None else h for h in held], dtype=np.int64)
+        for k in range(size[0]):
+            n = np.count_nonzero(size > k)  # runs by falling size: those that go on
+            now = times[first[:n] + k]
+            yes = free[:n] | (now >= before[:n] + cooldown_ms)
+            hit[first[:n] + k] = yes
+            before[:n][yes] = now[yes]
+            free[:n] &= ~yes
+    ok[order] = hit
+    code = np.repeat(np.arange(len(runs)), [b - a for a, b in runs])
+    at = np.full(len(runs), -1)
+    at[code[hit]] = np.flatnonzero(hit)  # the last one of a run stays
+    last.update((keys[order[i]], int(times[i])) for i in at[at >= 0])
     return ok
 
 

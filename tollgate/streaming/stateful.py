@@ -5,7 +5,9 @@
 query, that has an entry for each of its senders; a call for every sender would
 cost more than its few requests. Each micro-batch hands a bucket's new requests
 to one call, in chunks. Only senders, times and ids are gathered to be put in
-order; the rows themselves go out chunk by chunk. A request older than the
+order; the rows themselves go out chunk by chunk, a chunk as one row of arrays
+(Spark fills up its state columns to the number of rows that go out, and looks
+at each of these), from which they are unpacked. A request older than the
 remembered allowed one is refused (it counts as late). The previous request is
 that of the batch before, then by time within a batch: what came later in an
 earlier batch does not matter.
@@ -52,11 +54,34 @@ def _gathered(frames: list[pd.DataFrame], ts: str, id_col: str) -> tuple[np.ndar
     return keys, t, np.concatenate([f[id_col].astype(object).to_numpy() for f in frames])
 
 
-def _chunks(frames: list[pd.DataFrame], cols: list[str], name: str, values: np.ndarray) -> Iterator[pd.DataFrame]:
+#: Types of columns that go out as arrays; with any other, rows go out as they are.
+PLAIN = (T.StringType, T.BooleanType, T.IntegerType, T.LongType, T.DoubleType)
+
+
+def _chunks(frames: list[pd.DataFrame], cols: list[str], name: str, values: np.ndarray, packed: bool) -> Iterator[pd.DataFrame]:
     at = 0
     for f in frames:
-        yield f[cols].assign(**{name: values[at:at + len(f)]})
+        out = f[cols].assign(**{name: values[at:at + len(f)]})
         at += len(f)
+        yield pd.DataFrame({c: [_array(out[c])] for c in out.columns}) if packed else out
+
+
+def _array(s: pd.Series) -> np.ndarray:
+    none = s.isna()
+    return (s.astype(object).where(~none, None) if none.any() else s).to_numpy()
+
+
+def _packed(schema: T.StructType) -> bool:
+    names = [f.name.lower() for f in schema.fields]
+    return all(isinstance(f.dataType, PLAIN) for f in schema.fields) and len(set(names)) == len(names)
+
+
+def _arrays(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in schema.fields])
+
+
+def _unpacked(df: DataFrame) -> DataFrame:
+    return df.select(F.inline(F.arrays_zip(*[F.col(f"`{c}`") for c in df.columns])).alias(*df.columns))
 
 
 def throttle_with_state(
@@ -78,7 +103,7 @@ def throttle_with_state(
     if expire_ms is not None and expire_ms < c:
         raise ValueError("a state that expires within the cooldown would let requests through")
     out_schema = T.StructType(stream.schema.fields + [T.StructField("allowed", T.BooleanType())])
-    cols = [f.name for f in stream.schema.fields]
+    cols, packed = [f.name for f in stream.schema.fields], _packed(out_schema)
 
     def step(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         frames = [] if state.hasTimedOut else [f for f in pdfs if len(f)]
@@ -102,11 +127,12 @@ def throttle_with_state(
         elif state.exists:
             state.remove()
         if frames:
-            yield from _chunks(frames, cols, "allowed", ok)
+            yield from _chunks(frames, cols, "allowed", ok, packed)
 
     timeout = GroupStateTimeout.NoTimeout if expire_ms is None else GroupStateTimeout.ProcessingTimeTimeout
     held = "senders array<string>, last_allowed array<long>, seen array<long>"
-    return _dealt(stream, key, buckets).applyInPandasWithState(step, out_schema, held, "append", timeout)
+    done = _dealt(stream, key, buckets).applyInPandasWithState(step, _arrays(out_schema) if packed else out_schema, held, "append", timeout)
+    return _unpacked(done) if packed else done
 
 
 def last_request_with_state(
@@ -119,7 +145,7 @@ def last_request_with_state(
     """Streaming previous request per sender: the input rows plus ``last_id``,
     by arrival (batch after batch, within one by ``(ts, id)``); no expiry."""
     out_schema = T.StructType(stream.schema.fields + [T.StructField("last_id", T.StringType())])
-    cols = [f.name for f in stream.schema.fields]
+    cols, packed = [f.name for f in stream.schema.fields], _packed(out_schema)
 
     def step(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         frames = [f for f in pdfs if len(f)]
@@ -129,8 +155,8 @@ def last_request_with_state(
         last = {s: (i, at) for s, i, at in zip(*state.get)} if state.exists else {}
         before = previous_by_key(keys, t, ids, last)
         state.update((list(last), [i for i, _ in last.values()], [at for _, at in last.values()]))
-        yield from _chunks(frames, cols, "last_id", before)
+        yield from _chunks(frames, cols, "last_id", before, packed)
 
-    return _dealt(stream, key, buckets).applyInPandasWithState(
-        step, out_schema, "senders array<string>, ids array<string>, at array<long>", "append", GroupStateTimeout.NoTimeout
-    )
+    held = "senders array<string>, ids array<string>, at array<long>"
+    done = _dealt(stream, key, buckets).applyInPandasWithState(step, _arrays(out_schema) if packed else out_schema, held, "append", GroupStateTimeout.NoTimeout)
+    return _unpacked(done) if packed else done
